@@ -20,8 +20,12 @@ def surrogate_key(c) -> Column:
 
 
 def date_key(ts) -> Column:
-    """yyyyMMdd integer of the calendar day of ``ts`` (session time zone, pinned UTC)."""
-    return F.date_format(F.to_date(_col(ts)), "yyyyMMdd").cast("int")
+    """yyyyMMdd integer of the calendar day of ``ts`` (session time zone, pinned UTC).
+
+    Integer arithmetic on the date parts instead of formatting a string per row.
+    """
+    d = F.to_date(_col(ts))
+    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
 def safe_ratio(num, den) -> Column:

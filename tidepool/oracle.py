@@ -151,3 +151,111 @@ def compose(final: str, extra: dict[str, str] | None = None) -> str:
 
 def model(name: str) -> str:
     return compose(f"SELECT * FROM {name}")
+
+
+# ---------------------------------------------------------------------------
+# Quality gate and constraint suite, restated in SQL.
+# ---------------------------------------------------------------------------
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+def _pyl(values) -> str:
+    return str(list(values))
+
+
+def gate_sql(view: str, table: str, rules: dict, present: list[str], source: str | None = None,
+             tag: str = "g") -> tuple[dict[str, str], str]:
+    """(extra CTEs, SELECT of check rows) for one table; ``source`` is a table/view to count."""
+    present_set = set(present)
+    not_null = [c for c in rules.get("not_null", []) or [] if c in present_set]
+    unique = list(rules.get("unique", []) or [])
+    checks = list(rules.get("checks", []) or [])
+    aggs = ["CAST(count(*) AS BIGINT) AS n_rows"]
+    aggs.append(f"(SELECT CAST(count(*) AS BIGINT) FROM {source}) AS n_source" if source
+                else "CAST(count(*) AS BIGINT) AS n_source")
+    if unique:
+        keys = ", ".join(unique)
+        aggs.append(f"(SELECT CAST(count(*) AS BIGINT) FROM (SELECT {keys} FROM {view} GROUP BY {keys} "
+                    f"HAVING count(*) > 1) d) AS dup_groups")
+    for i, c in enumerate(not_null):
+        aggs.append(f"CAST(count_if({c} IS NULL) AS BIGINT) AS nn{i}")
+    for j, r in enumerate(checks):
+        c = r.get("column")
+        if c not in present_set:
+            continue
+        if r.get("type") == "min_value":
+            aggs.append(f"CAST(count_if({c} IS NOT NULL AND {c} < {_lit(r['min'])}) AS BIGINT) AS r{j}")
+        elif r.get("type") == "accepted_values":
+            vals = ", ".join(_lit(v) for v in r["values"])
+            aggs.append(f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN ({vals})) AS BIGINT) AS r{j}")
+    mname = f"{tag}_metrics"
+    extra = {mname: f"SELECT {', '.join(aggs)} FROM {view}"}
+
+    rows = []
+
+    def row(name, status, detail, bad):
+        rows.append(f"SELECT {_lit(table)} AS table_name, CAST({len(rows) + 1} AS INTEGER) AS check_order, "
+                    f"{_lit(name)} AS check_name, {status} AS status, {detail} AS detail, "
+                    f"CAST({bad} AS BIGINT) AS bad_rows FROM {mname}")
+
+    expected = list(rules.get("columns", []) or [])
+    miss, unexp = sorted(set(expected) - present_set), sorted(present_set - set(expected))
+    if miss or unexp:
+        row("columns", "'FAIL'", _lit(f"missing={miss} unexpected={unexp}"), "NULL")
+    else:
+        row("columns", "'PASS'", _lit(f"{len(expected)} columns match"), "NULL")
+    row("row_count", "CASE WHEN n_source = n_rows THEN 'PASS' ELSE 'FAIL' END",
+        "CASE WHEN n_source = n_rows THEN CAST(n_rows AS VARCHAR) || ' rows match' "
+        "ELSE 'source=' || CAST(n_source AS VARCHAR) || ' extracted=' || CAST(n_rows AS VARCHAR) END",
+        "abs(n_source - n_rows)")
+    if rules.get("not_null"):
+        total = " + ".join(f"nn{i}" for i in range(len(not_null))) or "0"
+        names = ", ".join(f"CASE WHEN nn{i} > 0 THEN {_lit(repr(c))} END" for i, c in enumerate(not_null))
+        listing = f"concat_ws(', ', {names})" if not_null else "''"
+        row("not_null", f"CASE WHEN ({total}) > 0 THEN 'FAIL' ELSE 'PASS' END",
+            f"CASE WHEN ({total}) > 0 THEN 'nulls found in [' || {listing} || ']' "
+            f"ELSE 'no nulls in required columns' END", f"({total})")
+    if unique:
+        row("unique", "CASE WHEN dup_groups > 0 THEN 'FAIL' ELSE 'PASS' END",
+            f"CASE WHEN dup_groups > 0 THEN {_lit('duplicates in ' + _pyl(unique))} "
+            f"ELSE {_lit(_pyl(unique) + ' unique')} END", "dup_groups")
+    for j, r in enumerate(checks):
+        t, c = r.get("type"), r.get("column")
+        if t in ("min_value", "accepted_values"):
+            name = f"{t}.{c}"
+            if c not in present_set:
+                row(name, "'FAIL'", _lit(f"column {c} missing"), "NULL")
+            elif t == "min_value":
+                row(name, f"CASE WHEN r{j} > 0 THEN 'FAIL' ELSE 'PASS' END",
+                    f"CASE WHEN r{j} > 0 THEN CAST(r{j} AS VARCHAR) || {_lit(' rows < ' + str(r['min']))} "
+                    f"ELSE {_lit('all >= ' + str(r['min']))} END", f"r{j}")
+            else:
+                row(name, f"CASE WHEN r{j} > 0 THEN 'FAIL' ELSE 'PASS' END",
+                    f"CASE WHEN r{j} > 0 THEN CAST(r{j} AS VARCHAR) || {_lit(' rows outside ' + _pyl(r['values']))} "
+                    f"ELSE 'all values accepted' END", f"r{j}")
+        else:
+            row(f"unknown_check.{t}", "'FAIL'", "'unknown rule type'", "NULL")
+    return extra, "\nUNION ALL\n".join(rows)
+
+
+def suite_sql(specs) -> str:
+    """SELECT of suite rows (model, column_name, test, failing_rows, status) for ``specs``."""
+    parts = []
+    for _layer, model, column, test, values in specs:
+        head = f"SELECT {_lit(model)} AS model, {_lit(column)} AS column_name, {_lit(test)} AS test, "
+        if test == "not_null":
+            parts.append(head + f"CAST(count_if({column} IS NULL) AS BIGINT) AS failing_rows FROM {model}")
+        elif test == "unique":
+            parts.append(head + f"CAST(COALESCE(sum(n), 0) AS BIGINT) AS failing_rows FROM "
+                                f"(SELECT {column}, count(*) AS n FROM {model} WHERE {column} IS NOT NULL "
+                                f"GROUP BY {column} HAVING count(*) > 1) d")
+        else:
+            vals = ", ".join(_lit(v) for v in values)
+            parts.append(head + f"CAST(count_if({column} IS NOT NULL AND {column} NOT IN ({vals})) AS BIGINT) "
+                                f"AS failing_rows FROM {model}")
+    body = "\nUNION ALL\n".join(parts)
+    return f"SELECT *, CASE WHEN failing_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (\n{body}\n) s"

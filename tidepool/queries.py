@@ -43,3 +43,251 @@ def _model_query(name: str):
 
 for _m in ALL_MODELS:
     register(f"q_{_m}", oracle.model(_m))(_model_query(_m))
+
+
+# ---------------------------------------------------------------------------
+# Primitive queries over the model building blocks
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidepool.config import load_rules, load_tests  # noqa: E402
+from tidepool.operators import constraints, quality  # noqa: E402
+from tidepool.plans import dims, marts  # noqa: E402
+from tidepool.schema import CONTRACTS, SOURCE_TABLES  # noqa: E402
+from tidepool.sources.bindings import BINDINGS, bind, read_table  # noqa: E402
+
+
+@register("q_surrogate_keys", oracle.compose(
+    "SELECT id, md5(id) AS transaction_key, md5(customer_phone) AS customer_key FROM transactions"))
+def q_surrogate_keys(spark, sf_dir):
+    from tidepool.functions import surrogate_key
+    configure(spark)
+    t = bind(spark, sf_dir, "transactions")
+    return t.select("id", surrogate_key("id").alias("transaction_key"),
+                    surrogate_key("customer_phone").alias("customer_key"))
+
+
+@register("q_date_keys", oracle.compose(
+    "SELECT date_key, CAST(count(*) AS BIGINT) AS n FROM ("
+    "SELECT CAST(strftime(CAST(scheduled_date AS DATE), '%Y%m%d') AS INTEGER) AS date_key FROM booking_logs "
+    "UNION ALL SELECT CAST(strftime(CAST(created_at AS DATE), '%Y%m%d') AS INTEGER) AS date_key "
+    "FROM completed_items) k GROUP BY date_key"))
+def q_date_keys(spark, sf_dir):
+    from tidepool.functions import date_key
+    configure(spark)
+    bl = bind(spark, sf_dir, "booking_logs").select(date_key("scheduled_date").alias("date_key"))
+    ci = bind(spark, sf_dir, "completed_items").select(date_key("created_at").alias("date_key"))
+    return bl.unionByName(ci).groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q_customer_union", oracle.compose("SELECT * FROM customer_contacts"))
+def q_customer_union(spark, sf_dir):
+    configure(spark)
+    return dims.customer_contacts(bind(spark, sf_dir, "booking_groups"), bind(spark, sf_dir, "transactions"))
+
+
+@register("q_customer_latest", oracle.compose("SELECT * FROM latest_customers"))
+def q_customer_latest(spark, sf_dir):
+    configure(spark)
+    return dims.latest_customers(dims.customer_contacts(bind(spark, sf_dir, "booking_groups"),
+                                                        bind(spark, sf_dir, "transactions")))
+
+
+@register("q_customer_agg", oracle.compose("SELECT * FROM customer_agg"))
+def q_customer_agg(spark, sf_dir):
+    return marts.customer_agg(_models(spark, sf_dir)["fact_transactions"])
+
+
+@register("q_item_sales", oracle.compose("SELECT * FROM item_sales"))
+def q_item_sales(spark, sf_dir):
+    return marts.item_sales(_models(spark, sf_dir)["fact_completed_items"])
+
+
+@register("q_treatment_agg", oracle.compose("SELECT * FROM treatment_agg"))
+def q_treatment_agg(spark, sf_dir):
+    return marts.treatment_agg(_models(spark, sf_dir)["fact_treatment_activities"])
+
+
+# ---------------------------------------------------------------------------
+# Quality gate
+# ---------------------------------------------------------------------------
+RULES = load_rules()
+
+# A deliberately strict rule set for the transactions feed: it exercises
+# every check kind and every failure path on real data (a missing and an
+# unexpected column, NULLs in required columns, a non-unique "key", a range
+# and an enumeration violation, a rule on an absent column, an unknown rule).
+PROBE_TABLE = "transactions_probe"
+PROBE_RULES = {
+    "columns": [c for c in CONTRACTS["transactions"].fieldNames() if c != "gift_card_id"] + ["loyalty_tier"],
+    "not_null": ["id", "customer_phone", "discount_amount", "coupon_code"],
+    "unique": ["customer_name"],
+    "checks": [
+        {"type": "min_value", "column": "total_price", "min": 0},
+        {"type": "min_value", "column": "discount_amount", "min": 100000},
+        {"type": "accepted_values", "column": "source", "values": ["gift_card", "membership", "treatment"]},
+        {"type": "min_value", "column": "total", "min": 0},
+        {"type": "accepted_values", "column": "channel", "values": ["web", "desk"]},
+        {"type": "mystery", "column": "id"},
+    ],
+}
+
+
+def _gate_oracle(items) -> str:
+    """items: [(view, table_name, rules, source)] -> one statement with all check rows."""
+    extra, selects = {}, []
+    for k, (view, table, rules, source) in enumerate(items):
+        e, s = oracle.gate_sql(view, table, rules, CONTRACTS[view].fieldNames(), source, tag=f"g{k}")
+        extra.update(e)
+        selects.append(s)
+    return oracle.compose("\nUNION ALL\n".join(selects), extra)
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _gate_probe(spark, sf_dir):
+    configure(spark)
+    return quality.gate(bind(spark, sf_dir, "transactions"), PROBE_TABLE, PROBE_RULES)
+
+
+def _gate_all(spark, sf_dir):
+    configure(spark)
+    return _union([quality.gate(bind(spark, sf_dir, t), t, RULES.get(t)) for t in SOURCE_TABLES])
+
+
+register("q_gate_table", _gate_oracle([("transactions", PROBE_TABLE, PROBE_RULES, None)]))(_gate_probe)
+register("q_gate_all", _gate_oracle([(t, t, RULES[t], None) for t in SOURCE_TABLES]))(_gate_all)
+
+
+def _summary_oracle() -> str:
+    checks = _gate_oracle([("transactions", PROBE_TABLE, PROBE_RULES, None)] +
+                          [(t, t, RULES[t], None) for t in SOURCE_TABLES])
+    return (f"SELECT table_name, CASE WHEN count_if(status <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall, "
+            f"CASE WHEN count_if(status <> 'PASS') = 0 THEN NULL ELSE "
+            f"string_agg(CASE WHEN status <> 'PASS' THEN check_name END, ', ' ORDER BY check_order) END "
+            f"AS failed_checks FROM (\n{checks}\n) c GROUP BY table_name")
+
+
+@register("q_gate_summary", _summary_oracle())
+def q_gate_summary(spark, sf_dir):
+    return quality.overall(_gate_probe(spark, sf_dir).unionByName(_gate_all(spark, sf_dir)))
+
+
+# ---- single checks -----------------------------------------------------------
+
+def _row_count_oracle() -> str:
+    parts = []
+    for t in SOURCE_TABLES:
+        src = BINDINGS[t].source
+        parts.append(
+            f"SELECT {oracle._lit(t)} AS table_name, 'row_count' AS check_name, "
+            f"CASE WHEN s = n THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"CASE WHEN s = n THEN CAST(n AS VARCHAR) || ' rows match' "
+            f"ELSE 'source=' || CAST(s AS VARCHAR) || ' extracted=' || CAST(n AS VARCHAR) END AS detail "
+            f"FROM (SELECT (SELECT CAST(count(*) AS BIGINT) FROM {src}) AS s, "
+            f"(SELECT CAST(count(*) AS BIGINT) FROM {t}) AS n) x")
+    return oracle.compose("\nUNION ALL\n".join(parts))
+
+
+@register("q_check_row_count", _row_count_oracle())
+def q_check_row_count(spark, sf_dir):
+    """Did the extract deliver every source row? Source = raw driver table, batch = bound feed."""
+    configure(spark)
+    frames = [quality.gate(bind(spark, sf_dir, t), t, {"columns": CONTRACTS[t].fieldNames()},
+                           source=read_table(spark, sf_dir, BINDINGS[t].source).select(F.lit(1).alias("_one")))
+              for t in SOURCE_TABLES]
+    return _union(frames).where(F.col("check_name") == "row_count").select(
+        "table_name", "check_name", "status", "detail")
+
+
+NOT_NULL_PROBE = ["customer_phone", "discount_amount", "id"]
+
+
+@register("q_check_not_null", oracle.compose("SELECT column_name, failing_rows AS null_rows, status FROM (\n" +
+                                             oracle.suite_sql([("", "transactions", c, "not_null", None)
+                                                               for c in NOT_NULL_PROBE]) + "\n) q"))
+def q_check_not_null(spark, sf_dir):
+    configure(spark)
+    t = bind(spark, sf_dir, "transactions")
+    return constraints.model_tests(t, "transactions", [(c, "not_null", None) for c in NOT_NULL_PROBE]).select(
+        "column_name", F.col("failing_rows").alias("null_rows"), "status")
+
+
+def _single_check(spark, df, table, rules, name, bad_alias):
+    configure(spark)
+    return quality.gate(df, table, rules).where(F.col("check_name") == name).select(
+        "check_name", "status", "detail", F.col("bad_rows").alias(bad_alias))
+
+
+_UNIQUE_RULES = {"unique": ["l_orderkey", "l_linenumber"]}
+_LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_MIN_RULES = {"checks": [{"type": "min_value", "column": "c_acctbal", "min": 0}]}
+_CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_ACCEPTED_RULES = {"checks": [{"type": "accepted_values", "column": "source",
+                               "values": ["gift_card", "membership", "treatment"]}]}
+
+
+def _plain_check_oracle(view, columns, rules, name, bad_alias):
+    e, s = oracle.gate_sql(view, view, rules, columns, None, tag="c")
+    return oracle.compose(f"SELECT check_name, status, detail, bad_rows AS {bad_alias} FROM (\n{s}\n) q "
+                          f"WHERE check_name = {oracle._lit(name)}", e)
+
+
+@register("q_check_unique", _plain_check_oracle("lineitem", _LINEITEM_COLS, _UNIQUE_RULES, "unique",
+                                                "duplicate_groups"))
+def q_check_unique(spark, sf_dir):
+    return _single_check(spark, read_table(spark, sf_dir, "lineitem"), "lineitem", _UNIQUE_RULES, "unique",
+                         "duplicate_groups")
+
+
+@register("q_check_min_value", _plain_check_oracle("customer", _CUSTOMER_COLS, _MIN_RULES, "min_value.c_acctbal",
+                                                   "bad_rows"))
+def q_check_min_value(spark, sf_dir):
+    return _single_check(spark, read_table(spark, sf_dir, "customer"), "customer", _MIN_RULES,
+                         "min_value.c_acctbal", "bad_rows")
+
+
+@register("q_check_accepted_values", _plain_check_oracle("transactions", CONTRACTS["transactions"].fieldNames(),
+                                                         _ACCEPTED_RULES, "accepted_values.source", "bad_rows"))
+def q_check_accepted_values(spark, sf_dir):
+    return _single_check(spark, bind(spark, sf_dir, "transactions"), "transactions", _ACCEPTED_RULES,
+                         "accepted_values.source", "bad_rows")
+
+
+# ---------------------------------------------------------------------------
+# Constraint suite
+# ---------------------------------------------------------------------------
+SUITE = load_tests()
+
+
+def _suite_frames(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    frames = {}
+    for _layer, model, *_ in SUITE:
+        if model not in frames:
+            frames[model] = m[model] if model in ALL_MODELS else bind(spark, sf_dir, model)
+    return frames
+
+
+def _suite_query(kind: str | None):
+    cols = ["model", "column_name", "test", "failing_rows", "status"] if kind is None else \
+        ["model", "column_name", "failing_rows"]
+    specs = [s for s in SUITE if kind is None or s[3] == kind]
+
+    def run(spark, sf_dir):
+        return constraints.run_suite(spark, _suite_frames(spark, sf_dir), specs).select(*cols)
+
+    sql = oracle.compose(f"SELECT {', '.join(cols)} FROM (\n{oracle.suite_sql(specs)}\n) t")
+    return run, sql
+
+
+for _key, _kind in [("q_test_not_null", "not_null"), ("q_test_unique", "unique"),
+                    ("q_test_accepted_values", "accepted_values"), ("q_test_suite", None)]:
+    _fn, _sql = _suite_query(_kind)
+    register(_key, _sql)(_fn)
