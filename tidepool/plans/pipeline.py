@@ -1,0 +1,208 @@
+"""Jobs: extract batch (R1), staging load (R2), model build (R3), tests, end-to-end run.
+
+Each table is processed as its own set of Spark jobs; only per-table
+metric rows (counts, check rows) reach the driver. Every write goes to a
+fresh staged folder first and is published by rename, so a failed gate or
+a failed cast leaves the previous snapshot intact.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from tidepool.config import load_rules, load_tests
+from tidepool.operators import constraints, quality
+from tidepool.plans.models import ALL_MODELS, MART_MODELS, Models
+from tidepool.schema import CONTRACTS, SOURCE_TABLES
+from tidepool.session import configure
+from tidepool.sources import audit, fs, lake
+from tidepool.sources.staging import apply_contract
+
+EXTRACT_SYSTEM = "source_db"
+LOAD_SYSTEM = "raw_lake"
+
+
+def new_batch_id(now: dt.datetime | None = None) -> str:
+    return (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
+
+
+def _staged(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), "_staged", *parts])
+
+
+def _write_observed(df: DataFrame, writer) -> int:
+    """Run ``writer(df')`` and return the number of rows it wrote (no extra pass)."""
+    obs = Observation()
+    writer(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return int(obs.get["rows"])
+
+
+def _read_raw(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
+    if fmt == "csv":
+        return apply_contract(lake.read_csv_text(spark, path, schema.fieldNames()), schema)
+    return spark.read.parquet(path).drop("year", "month", "day")
+
+
+def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str, batch_id: str,
+                  ingest_date: dt.date, rules: dict | None, validate: bool = True, fmt: str = "parquet",
+                  keep_history: bool = False) -> dict:
+    """S1+S2+gate+publish for one table. Always returns an audit record."""
+    started = dt.datetime.now()
+    record = audit.new_record("extract", EXTRACT_SYSTEM, table, batch_id)
+    staged = _staged(root, "raw", table, batch_id)
+    try:
+        source_count = source.count()                                   # S2
+        written = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt))  # S1 + S5
+        batch = _read_raw(spark, staged, fmt, source.schema)
+        validation = {"overall": quality.SKIPPED, "checks": []}
+        if validate:
+            overall, checks = quality.verdict(quality.gate(batch, table, rules, source=source_count), rules)
+            validation = {"overall": overall, "checks": checks}
+        record["validation"] = validation
+        if validation["overall"] == quality.FAIL:
+            fs.delete(spark, staged)
+            return audit.finish(record, status="VALIDATION_FAILED", rows_extracted=written, rows_loaded=0,
+                                error_message="validation failed; batch not published")
+        target = lake.table_path(root, table)
+        history = f"{root.rstrip('/')}/_history/raw/{table}/{batch_id}" if keep_history else None
+        fs.publish(spark, staged, target, history)                      # S6: snapshot replace
+        path = lake.partition_path(root, table, ingest_date)
+        return audit.finish(record, started, status="SUCCESS", rows_extracted=written, rows_loaded=written,
+                            file_path=path, destination=target)
+    except Exception as exc:  # recorded, the batch goes on with the next table
+        fs.delete(spark, staged)
+        return audit.finish(record, status="FAILED", error_message=str(exc))
+
+
+def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, batch_id: str | None = None,
+           tables: list[str] | None = None, rules: dict | None = None, validate: bool = True,
+           error_policy: str = "continue", fmt: str = "parquet", ingest_date: dt.date | None = None,
+           keep_history: bool = False) -> list[dict]:
+    """Extract every table, gate it, publish it; write the audit records."""
+    configure(spark)
+    now = dt.datetime.now()
+    batch_id = batch_id or new_batch_id(now)
+    ingest_date = ingest_date or now.date()
+    rules = load_rules() if rules is None else rules
+    records = []
+    for table in tables or list(sources):
+        rec = extract_table(spark, sources[table], table, root, batch_id, ingest_date, rules.get(table),
+                            validate, fmt, keep_history)
+        records.append(rec)
+        if rec["status"] != "SUCCESS" and error_policy == "stop":
+            break
+    audit.write_audit(spark, records, root, "extract", batch_id)
+    return records
+
+
+def staging_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/staging/{table}"
+
+
+def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: str = "parquet") -> dict:
+    """S9+S10: positional read of the raw snapshot, ANSI cast to the contract,
+    write, publish, count. A bad value raises during the write: nothing is
+    published and the record carries no ``rows_loaded``."""
+    started = dt.datetime.now()
+    record = audit.new_record("load", LOAD_SYSTEM, table, batch_id)
+    staged = _staged(root, "staging", table, batch_id)
+    try:
+        contract = CONTRACTS[table]
+        raw = lake.table_path(root, table)
+        if fmt == "csv":
+            typed = apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
+        else:
+            src = spark.read.parquet(raw)
+            typed = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+        typed.write.mode("errorifexists").parquet(staged)
+        target = staging_path(root, table)
+        fs.publish(spark, staged, target)
+        loaded = spark.read.parquet(target).count()                     # S10: verify what is now served
+        return audit.finish(record, started, status="SUCCESS", rows_loaded=loaded, destination=target)
+    except Exception as exc:
+        fs.delete(spark, staged)
+        return audit.finish(record, status="FAILED", error_message=str(exc).split("\n")[0])
+
+
+def load_staging(spark: SparkSession, root: str, tables: list[str] | None = None, batch_id: str | None = None,
+                 fmt: str = "parquet", error_policy: str = "continue") -> list[dict]:
+    """R2: full load of each table into staging; audit records appended."""
+    configure(spark)
+    batch_id = batch_id or new_batch_id()
+    records = []
+    for table in tables or SOURCE_TABLES:
+        rec = load_table(spark, table, root, batch_id, fmt)
+        records.append(rec)
+        if rec["status"] != "SUCCESS" and error_policy == "stop":
+            break
+    audit.write_audit(spark, records, root, "load", batch_id)
+    return records
+
+
+def read_staging(spark: SparkSession, root: str, tables=None) -> dict[str, DataFrame]:
+    return {t: spark.read.parquet(staging_path(root, t)) for t in (tables or SOURCE_TABLES)}
+
+
+def model_path(root: str, name: str) -> str:
+    layer = "mart" if name in MART_MODELS else "warehouse"
+    return f"{root.rstrip('/')}/{layer}/{name}"
+
+
+def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_days: int, as_of: str,
+                 staging: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
+    """Build every model in dependency order, each written as a table.
+
+    A written model replaces its lazy plan, so downstream marts read the
+    table instead of recomputing it (the write is the lineage cut).
+    """
+    configure(spark)
+    models = Models(spark, dict(staging or read_staging(spark, root)), calendar_start, calendar_days, as_of)
+    paths = {}
+    for name in ALL_MODELS:
+        target = model_path(root, name)
+        staged = _staged(root, "models", name, new_batch_id() + "_" + name)
+        models[name].write.mode("errorifexists").parquet(staged)
+        fs.publish(spark, staged, target)
+        models.replace(name, spark.read.parquet(target))
+        paths[name] = target
+    return paths
+
+
+def run_tests(spark: SparkSession, root: str) -> DataFrame:
+    """The constraint suite over the published staging tables and models."""
+    frames = {}
+    for _layer, model, *_ in load_tests():
+        if model not in frames:
+            frames[model] = spark.read.parquet(model_path(root, model) if model in ALL_MODELS
+                                               else staging_path(root, model))
+    return constraints.run_suite(spark, frames, load_tests())
+
+
+def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str,
+                 calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None) -> dict:
+    """Ingest -> load -> build -> test. A failed table fails its step and blocks the next."""
+    batch_id = batch_id or new_batch_id()
+    summary: dict = {"batch_id": batch_id}
+    extract = ingest(spark, sources, root, batch_id, fmt=fmt)
+    summary["extract"] = extract
+    if any(r["status"] != "SUCCESS" for r in extract):
+        summary["status"] = "EXTRACT_FAILED"
+        return summary
+    loaded = load_staging(spark, root, list(sources), batch_id, fmt)
+    summary["load"] = loaded
+    if any(r["status"] != "SUCCESS" for r in loaded):
+        summary["status"] = "LOAD_FAILED"
+        return summary
+    summary["models"] = build_models(spark, root, calendar_start, calendar_days, as_of)
+    suite = run_tests(spark, root)
+    suite_path = f"{root.rstrip('/')}/tests/{batch_id}"
+    suite.write.mode("overwrite").parquet(suite_path)
+    failed = spark.read.parquet(suite_path).where(F.col("status") != "PASS").count()
+    summary["tests_path"] = suite_path
+    summary["tests_failed"] = failed
+    summary["status"] = "SUCCESS" if failed == 0 else "TESTS_FAILED"
+    return summary

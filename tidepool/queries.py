@@ -291,3 +291,203 @@ for _key, _kind in [("q_test_not_null", "not_null"), ("q_test_unique", "unique")
                     ("q_test_accepted_values", "accepted_values"), ("q_test_suite", None)]:
     _fn, _sql = _suite_query(_kind)
     register(_key, _sql)(_fn)
+
+
+# ---------------------------------------------------------------------------
+# Sources, lake, staging, audit
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from tidepool.plans import pipeline  # noqa: E402
+from tidepool.session import scratch_path  # noqa: E402
+from tidepool.sources import lake  # noqa: E402
+from tidepool.sources.staging import apply_contract, contract_report  # noqa: E402
+
+_DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
+@register("q_scan_table", oracle.compose("SELECT * FROM booking_logs"))
+def q_scan_table(spark, sf_dir):
+    configure(spark)
+    return bind(spark, sf_dir, "booking_logs")
+
+
+@register("q_source_row_count", oracle.compose("\nUNION ALL\n".join(
+    f"SELECT {oracle._lit(t)} AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}" for t in SOURCE_TABLES)))
+def q_source_row_count(spark, sf_dir):
+    configure(spark)
+    return _union([bind(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
+                   .select(F.lit(t).alias("table_name"), "row_count") for t in SOURCE_TABLES])
+
+
+def _profile_sql(t: str) -> str:
+    cols = CONTRACTS[t].fieldNames()
+    nulls = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+    return (f"SELECT {oracle._lit(t)} AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+            f"CAST({len(cols)} AS INTEGER) AS column_count, CAST({nulls} AS BIGINT) AS null_cells FROM {t}")
+
+
+@register("q_source_profile", oracle.compose("\nUNION ALL\n".join(_profile_sql(t) for t in SOURCE_TABLES)))
+def q_source_profile(spark, sf_dir):
+    """Per table: rows, columns, NULL cells; one aggregate per table."""
+    configure(spark)
+    parts = []
+    for t in SOURCE_TABLES:
+        df = bind(spark, sf_dir, t)
+        nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0).cast("long"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), nulls.cast("long").alias("null_cells")).select(
+            F.lit(t).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells"))
+    return _union(parts)
+
+
+def _contract_text(spark, sf_dir):
+    """completed_items as delivered text, with an unparseable price on some parts."""
+    b = BINDINGS["completed_items"]
+    text = read_table(spark, sf_dir, b.source).selectExpr(*b.exprs, "l_partkey AS _pk")
+    cols = CONTRACTS["completed_items"].fieldNames()
+    return text.select(*[(F.when(F.col("_pk") % 97 == 0, F.lit("abc")).otherwise(F.col(c).cast("string"))
+                          if c == "price" else F.col(c).cast("string")).alias(c) for c in cols])
+
+
+def _contract_oracle() -> str:
+    b = BINDINGS["completed_items"]
+    contract = CONTRACTS["completed_items"]
+    cols = contract.fieldNames()
+    text = ", ".join(f"CASE WHEN _pk % 97 = 0 THEN 'abc' ELSE CAST({c} AS VARCHAR) END AS {c}" if c == "price"
+                     else f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+    body = (f"SELECT {text} FROM (SELECT {', '.join(b.exprs)}, l_partkey AS _pk FROM {b.source}) s")
+    parts = [f"SELECT {oracle._lit(f.name)} AS column_name, CAST(count_if({f.name} IS NOT NULL AND "
+             f"TRY_CAST({f.name} AS {_DUCK_TYPES[f.dataType.simpleString()]}) IS NULL) AS BIGINT) AS uncastable_rows "
+             f"FROM ci_text" for f in contract.fields]
+    return oracle.compose("\nUNION ALL\n".join(parts), {"ci_text": body})
+
+
+@register("q_schema_contract", _contract_oracle())
+def q_schema_contract(spark, sf_dir):
+    configure(spark)
+    return contract_report(_contract_text(spark, sf_dir), CONTRACTS["completed_items"])
+
+
+INGEST_DATE = _dt.date(2026, 8, 9)
+
+
+@register("q_raw_roundtrip", oracle.compose(
+    "SELECT '2026' AS \"year\", '08' AS \"month\", '09' AS \"day\", source, CAST(count(*) AS BIGINT) AS n, "
+    "CAST(sum(total_price) AS BIGINT) AS total FROM transactions GROUP BY source"))
+def q_raw_roundtrip(spark, sf_dir):
+    """Gate + publish transactions as CSV under the ingestion-date partition, then read it back."""
+    configure(spark)
+    root = scratch_path(spark, "raw_roundtrip")
+    recs = pipeline.ingest(spark, {"transactions": bind(spark, sf_dir, "transactions")}, root,
+                           batch_id="20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
+    assert recs[0]["status"] == "SUCCESS", recs[0]
+    cols = CONTRACTS["transactions"].fieldNames() + ["year", "month", "day"]
+    raw = (spark.read.schema(", ".join(f"`{c}` string" for c in cols)).options(**lake.CSV_READ)
+           .csv(lake.table_path(root, "transactions")))
+    return raw.groupBy("year", "month", "day", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("total_price").cast("long")).alias("total"))
+
+
+@register("q_snapshot_replace", oracle.compose("SELECT * FROM transactions WHERE source = 'treatment'"))
+def q_snapshot_replace(spark, sf_dir):
+    """Two batches into one table folder: only the later snapshot is served."""
+    configure(spark)
+    root = scratch_path(spark, "snapshot_replace")
+    tx = bind(spark, sf_dir, "transactions")
+    first = pipeline.ingest(spark, {"transactions": tx}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
+    second = pipeline.ingest(spark, {"transactions": tx.where(F.col("source") == "treatment")}, root,
+                             "20260809_010000", ingest_date=INGEST_DATE)
+    assert first[0]["status"] == second[0]["status"] == "SUCCESS", (first, second)
+    return spark.read.parquet(lake.table_path(root, "transactions")).drop("year", "month", "day")
+
+
+@register("q_csv_format_scan", oracle.compose("SELECT * FROM reviews"))
+def q_csv_format_scan(spark, sf_dir):
+    """Reviews (free text with quotes, commas) through the CSV lake and back to contract types."""
+    configure(spark)
+    root = scratch_path(spark, "csv_scan")
+    recs = pipeline.ingest(spark, {"reviews": bind(spark, sf_dir, "reviews")}, root, "20260809_023000",
+                           fmt="csv", ingest_date=INGEST_DATE)
+    assert recs[0]["status"] == "SUCCESS", recs[0]
+    contract = CONTRACTS["reviews"]
+    return apply_contract(lake.read_csv_text(spark, lake.table_path(root, "reviews"), contract.fieldNames()),
+                          contract)
+
+
+@register("q_stage_load", oracle.compose("SELECT * FROM completed_items"))
+def q_stage_load(spark, sf_dir):
+    """completed_items: CSV lake -> positional ANSI cast -> staging table."""
+    configure(spark)
+    root = scratch_path(spark, "stage_load")
+    pipeline.ingest(spark, {"completed_items": bind(spark, sf_dir, "completed_items")}, root, "20260809_023000",
+                    fmt="csv", ingest_date=INGEST_DATE)
+    recs = pipeline.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
+    assert recs[0]["status"] == "SUCCESS", recs[0]
+    return spark.read.parquet(pipeline.staging_path(root, "completed_items"))
+
+
+def _audit_frame(spark, root):
+    return spark.read.parquet(f"{root}/audit")
+
+
+@register("q_load_verify", oracle.compose("\nUNION ALL\n".join(
+    f"SELECT {oracle._lit(t)} AS table_name, CAST(count(*) AS BIGINT) AS source_rows, "
+    f"CAST(count(*) AS BIGINT) AS loaded_rows, TRUE AS matches FROM {t}" for t in SOURCE_TABLES)))
+def q_load_verify(spark, sf_dir):
+    """All eleven feeds: extract (CSV lake) then load; compare extracted and loaded counts."""
+    configure(spark)
+    root = scratch_path(spark, "load_verify")
+    sources = {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}
+    pipeline.ingest(spark, sources, root, "20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
+    pipeline.load_staging(spark, root, SOURCE_TABLES, "20260809_023000", fmt="csv")
+    a = _audit_frame(spark, root)
+    return a.groupBy(F.col("source_table").alias("table_name")).agg(
+        F.max(F.when(F.col("job") == "extract", F.col("rows_extracted"))).alias("source_rows"),
+        F.max(F.when(F.col("job") == "load", F.col("rows_loaded"))).alias("loaded_rows"),
+    ).select("table_name", "source_rows", "loaded_rows",
+             F.coalesce(F.col("source_rows") == F.col("loaded_rows"), F.lit(False)).alias("matches"))
+
+
+AUDIT_TABLES = ["treatments", "spa_products", "booking_groups", "booking_logs", "transactions", "completed_items",
+                "members"]
+FAILING_FEED = "spa_products"
+
+
+def _audit_oracle() -> str:
+    parts = []
+    for t in AUDIT_TABLES:
+        failing = t == FAILING_FEED
+        status = "'VALIDATION_FAILED'" if failing else "'SUCCESS'"
+        loaded = "CAST(0 AS BIGINT)" if failing else "CAST(count(*) AS BIGINT)"
+        parts.append(f"SELECT {oracle._lit(t)} AS source_table, {status} AS status, "
+                     f"CAST(count(*) AS BIGINT) AS rows_extracted, {loaded} AS rows_loaded FROM {t}")
+    return oracle.compose("\nUNION ALL\n".join(parts))
+
+
+def _bad_products(df):
+    """A broken upstream batch: every price sign-flipped."""
+    return df.withColumn("price", -F.col("price"))
+
+
+@register("q_batch_audit", _audit_oracle())
+def q_batch_audit(spark, sf_dir):
+    """Ingest seven feeds; the spa_products batch arrives broken and is blocked by the gate."""
+    configure(spark)
+    root = scratch_path(spark, "batch_audit")
+    sources = {t: bind(spark, sf_dir, t) for t in AUDIT_TABLES}
+    sources[FAILING_FEED] = _bad_products(sources[FAILING_FEED])
+    pipeline.ingest(spark, sources, root, "20260809_023000", ingest_date=INGEST_DATE)
+    return _audit_frame(spark, root).select("source_table", "status", "rows_extracted", "rows_loaded")
+
+
+@register("q_gate_publish", oracle.compose("SELECT * FROM spa_products"))
+def q_gate_publish(spark, sf_dir):
+    """A clean batch is published; the next, broken batch is refused and the clean one stays served."""
+    configure(spark)
+    root = scratch_path(spark, "gate_publish")
+    clean = bind(spark, sf_dir, "spa_products")
+    ok = pipeline.ingest(spark, {"spa_products": clean}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
+    bad = pipeline.ingest(spark, {"spa_products": _bad_products(clean)}, root, "20260809_010000",
+                          ingest_date=INGEST_DATE)
+    assert ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad)
+    return spark.read.parquet(lake.table_path(root, "spa_products")).drop("year", "month", "day")
