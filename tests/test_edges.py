@@ -142,3 +142,15 @@ def test_error_policy(spark, workdir, policy, expected):
     rules = {t: {"columns": ["nope"]} for t in sources}
     recs = pipeline.ingest(spark, sources, workdir, "p", rules=rules, error_policy=policy)
     assert len(recs) == expected and all(r["status"] == "VALIDATION_FAILED" for r in recs)
+
+
+def test_operations_mart_keyed_equals_joined(spark):
+    from tidepool.plans.models import fixture_models
+    from tidepool.sources.bindings import bind_all
+    staging = bind_all(spark, "/root/testdata/sf0.01")
+    fast = fixture_models(spark, staging)
+    exact = fixture_models(spark, staging)
+    exact.trusted_keys = False
+    a, b = fast["mart_operations_booking"], exact["mart_operations_booking"]
+    assert a.count() == b.count() == 1017
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

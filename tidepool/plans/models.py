@@ -36,6 +36,9 @@ class Models:
     calendar_start: str = calendar.DEFAULT_START
     calendar_days: int = calendar.DEFAULT_DAYS
     as_of: str = "2030-01-01"
+    # Staging keys passed the unique gate; lets marts skip joins that can only
+    # return the row they started from (see marts.mart_operations_booking_keyed).
+    trusted_keys: bool = True
     _built: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -78,6 +81,9 @@ class Models:
         return marts.mart_customer_analytics(self["dim_customer"], self["fact_transactions"], self.as_of)
 
     def _mart_operations_booking(self):
+        if self.trusted_keys:
+            return marts.mart_operations_booking_keyed(self.staging["booking_logs"], self["dim_date"],
+                                                       self.calendar_days)
         return marts.mart_operations_booking(self["fact_treatment_activities"], self.staging["booking_logs"],
                                              self["dim_date"], self.calendar_days)
 
