@@ -1,0 +1,20 @@
+import pytest
+
+from tidepool.sources.jdbc import jdbc_options, quote_ident
+
+
+def test_quote_ident_escapes_quotes():
+    assert quote_ident('we"ird') == '"we""ird"'
+
+
+def test_partitioned_options():
+    o = jdbc_options("jdbc:postgresql://db/x", {"user": "u"}, table="transactions", partition_column="seq",
+                     lower=1, upper=1000, num_partitions=16)
+    assert o["dbtable"] == '"transactions"' and o["numPartitions"] == "16" and o["user"] == "u"
+
+
+def test_options_validation():
+    with pytest.raises(ValueError):
+        jdbc_options("u", table="a", query="select 1")
+    with pytest.raises(ValueError):
+        jdbc_options("u", table="a", partition_column="id")

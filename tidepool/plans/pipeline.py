@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidepool.config import load_rules, load_tests
 from tidepool.operators import constraints, quality
-from tidepool.plans.models import ALL_MODELS, MART_MODELS, Models
+from tidepool.plans.models import ALL_MODELS, MART_MODELS, WAREHOUSE_MODELS, Models
 from tidepool.schema import CONTRACTS, SOURCE_TABLES
 from tidepool.session import configure
 from tidepool.sources import audit, fs, lake
@@ -169,22 +169,35 @@ def model_path(root: str, name: str) -> str:
 
 
 def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_days: int, as_of: str,
-                 staging: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
-    """Build every model in dependency order, each written as a table.
-
-    A written model replaces its lazy plan, so downstream marts read the
-    table instead of recomputing it (the write is the lineage cut).
+                 staging: Mapping[str, DataFrame] | None = None,
+                 parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
+    """Build every model, layer by layer, each written as a table.
+
+    Models of one layer only depend on the layer below, so their jobs are
+    submitted concurrently. A written model replaces its lazy plan, so the
+    marts read the warehouse tables instead of recomputing them (the write
+    is the lineage cut).
     """
     configure(spark)
     models = Models(spark, dict(staging or read_staging(spark, root)), calendar_start, calendar_days, as_of)
-    paths = {}
-    for name in ALL_MODELS:
+    batch = new_batch_id()
+
+    def write(name: str) -> str:
         target = model_path(root, name)
-        staged = _staged(root, "models", name, new_batch_id() + "_" + name)
+        staged = _staged(root, "models", name, batch)
         models[name].write.mode("errorifexists").parquet(staged)
         fs.publish(spark, staged, target)
-        models.replace(name, spark.read.parquet(target))
-        paths[name] = target
+        return target
+
+    paths: dict[str, str] = {}
+    for layer in (WAREHOUSE_MODELS, MART_MODELS):
+        for name in layer:          # plans are built on this thread; only the writes run concurrently
+            models[name]
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(layer)))) as pool:
+            for name, target in zip(layer, pool.map(write, layer)):
+                paths[name] = target
+        for name in layer:
+            models.replace(name, spark.read.parquet(paths[name]))
     return paths
 
 

@@ -491,3 +491,22 @@ def q_gate_publish(spark, sf_dir):
                           ingest_date=INGEST_DATE)
     assert ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad)
     return spark.read.parquet(lake.table_path(root, "spa_products")).drop("year", "month", "day")
+
+
+# ---------------------------------------------------------------------------
+# End to end
+# ---------------------------------------------------------------------------
+from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START  # noqa: E402
+
+
+@register("q_pipeline_run", oracle.compose(
+    f"SELECT model, column_name, test, failing_rows, status FROM (\n{oracle.suite_sql(SUITE)}\n) t"))
+def q_pipeline_run(spark, sf_dir):
+    """ingest -> staging load -> model build (written tables) -> constraint suite, read back."""
+    configure(spark)
+    root = scratch_path(spark, "pipeline")
+    summary = pipeline.run_pipeline(spark, {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}, root,
+                                    FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF,
+                                    batch_id="20260809_023000")
+    assert summary["status"] in ("SUCCESS", "TESTS_FAILED"), summary.get("status")
+    return spark.read.parquet(summary["tests_path"])
