@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -183,18 +184,57 @@ BINDINGS: dict[str, Binding] = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (parquet)."""
+# Below this input size spreading rows over the cores costs more than it saves.
+MIN_SPREAD_BYTES = 4 * 1024 * 1024
+
+
+def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread_if_underpartitioned(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that arrives in too few splits.
+
+    A parquet file is split by row groups; a big file written as ONE row group
+    is read by one task, and all per-row work up to the first shuffle (string
+    keys, MD5s, partial aggregates) would run on one core. In that case - and
+    only then - the rows are spread round-robin once. Column pruning and
+    filters still reach the scan (they are pushed below the repartition). A
+    cluster-scale input (thousands of splits) never takes this branch.
+
+    Rows are hashed on their position in the (deterministic) input split:
+    even spread whatever the values (identical rows do not pile up), no
+    pre-shuffle sort as round-robin needs, same placement on a task retry.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or _input_bytes(spark, df) < MIN_SPREAD_BYTES:
+        return df
+    return (df.withColumn("_spread", F.monotonically_increasing_id())
+            .repartition(cores, "_spread").drop("_spread"))
+
+
+def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (parquet), spread over the cores if it arrives in too few splits."""
+    return spread_if_underpartitioned(spark, scan_table(spark, sf_dir, name))
+
+
 def bind(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A staging-shaped DataFrame for ``table`` over the driver tables."""
     b = BINDINGS[table]
-    df = read_table(spark, sf_dir, b.source)
+    df = scan_table(spark, sf_dir, b.source)
     if b.where:
-        df = df.where(b.where)
-    return df.selectExpr(*b.exprs)
+        df = df.where(b.where)   # reaches the parquet scan
+    return spread_if_underpartitioned(spark, df).selectExpr(*b.exprs)
 
 
 def bind_all(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
