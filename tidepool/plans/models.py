@@ -9,6 +9,7 @@ materialises every model as a table).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ FIXTURE_AS_OF = "2002-01-01"
 @dataclass
 class Models:
     spark: SparkSession
-    staging: dict[str, DataFrame]
+    staging: Mapping[str, DataFrame]
     calendar_start: str = calendar.DEFAULT_START
     calendar_days: int = calendar.DEFAULT_DAYS
     as_of: str = "2030-01-01"
@@ -94,5 +95,5 @@ class Models:
         return marts.mart_treatment_analytics(self["dim_treatment"], self["fact_treatment_activities"])
 
 
-def fixture_models(spark: SparkSession, staging: dict[str, DataFrame]) -> Models:
+def fixture_models(spark: SparkSession, staging: Mapping[str, DataFrame]) -> Models:
     return Models(spark, staging, FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF)

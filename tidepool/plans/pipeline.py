@@ -31,7 +31,7 @@ def new_batch_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
 
 
-DEFAULT_PARALLELISM = 4
+DEFAULT_PARALLELISM = 8
 
 
 def _for_each_table(tables: list[str], job: Callable[[str], dict], error_policy: str, parallelism: int) -> list[dict]:

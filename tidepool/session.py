@@ -39,6 +39,8 @@ def build_session(master: str = "local[*]", app: str = "tidepool",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture on every Column call: error context only, costs Py4J round trips
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")

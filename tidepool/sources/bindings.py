@@ -10,6 +10,7 @@ and column sets into the parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -213,14 +214,23 @@ def spread_if_underpartitioned(spark: SparkSession, df: DataFrame) -> DataFrame:
     pre-shuffle sort as round-robin needs, same placement on a task retry.
     """
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _input_bytes(spark, df) < MIN_SPREAD_BYTES:
+    if _input_bytes(spark, df) < MIN_SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return (df.withColumn("_spread", F.monotonically_increasing_id())
             .repartition(cores, "_spread").drop("_spread"))
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of a driver table. The driver tables are read-only inputs, so one
+    scan (file listing + footer schema) per session is reused by every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -237,8 +247,31 @@ def bind(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spread_if_underpartitioned(spark, df).selectExpr(*b.exprs)
 
 
-def bind_all(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFrame]:
-    return {t: bind(spark, sf_dir, t) for t in (tables or BINDINGS)}
+class LazyBindings(Mapping):
+    """``table -> bound DataFrame``, bound on first access (a query only plans
+    and lists the driver tables it actually reads)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, tables=None):
+        self._spark, self._dir = spark, sf_dir
+        self._tables = list(tables or BINDINGS)
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._tables:
+            raise KeyError(table)
+        if table not in self._cache:
+            self._cache[table] = bind(self._spark, self._dir, table)
+        return self._cache[table]
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
+def bind_all(spark: SparkSession, sf_dir: str, tables=None) -> Mapping[str, DataFrame]:
+    return LazyBindings(spark, sf_dir, tables)
 
 
 def sql_ctes(tables) -> list[str]:
