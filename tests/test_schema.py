@@ -39,3 +39,20 @@ def test_bindings_produce_contract_types(spark):
         got = [(f.name, f.dataType) for f in df.schema.fields]
         want = [(f.name, f.dataType) for f in CONTRACTS[table].fields]
         assert got == want, table
+
+
+def test_partition_sizing_scales_with_input(spark):
+    from tidepool.session import size_for
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                                  "spark.sql.files.maxPartitionBytes")}
+    try:
+        applied = size_for(spark, 100 * 1024 ** 4)   # 100 TB
+        assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+        assert "spark.sql.shuffle.partitions" not in applied      # tests set 8 explicitly: kept
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        small = size_for(spark, 10 * 1024 ** 2)
+        cores = spark.sparkContext.defaultParallelism
+        assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(4 * cores)
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -19,7 +19,7 @@ from tidepool.config import load_rules, load_tests
 from tidepool.operators import constraints, quality
 from tidepool.plans.models import ALL_MODELS, MART_MODELS, WAREHOUSE_MODELS, Models
 from tidepool.schema import CONTRACTS, SOURCE_TABLES
-from tidepool.session import configure
+from tidepool.session import configure, size_for
 from tidepool.sources import audit, fs, lake
 from tidepool.sources.staging import apply_contract
 
@@ -212,10 +212,18 @@ def run_tests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str,
-                 calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None) -> dict:
-    """Ingest -> load -> build -> test. A failed table fails its step and blocks the next."""
+                 calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
+                 input_bytes: int | None = None) -> dict:
+    """Ingest -> load -> build -> test. A failed table fails its step and blocks the next.
+
+    Partition sizing follows the input volume (``session.size_for``); file
+    sources are measured, other sources (JDBC) need ``input_bytes`` given.
+    """
+    configure(spark)
+    if input_bytes is None:
+        input_bytes = sum(fs.input_bytes(spark, df) for df in sources.values())
     batch_id = batch_id or new_batch_id()
-    summary: dict = {"batch_id": batch_id}
+    summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes)}
     extract = ingest(spark, sources, root, batch_id, fmt=fmt)
     summary["extract"] = extract
     if any(r["status"] != "SUCCESS" for r in extract):

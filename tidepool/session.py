@@ -31,6 +31,39 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Partition sizing: a shuffle partition should hold ~256 MB of input-equivalent
+# data so a reducer's share fits executor memory (spilling beyond that), and
+# never fewer than a few partitions per core. AQE coalesces the small ones.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` of input, applied only where the
+    session still has Spark's defaults (an operator's explicit choice wins).
+
+    * initial shuffle partitions = input / 256 MB, at least 4 x cores, capped -
+      AQE starts there and coalesces down to the advisory size;
+    * scan splits of 256 MB (fewer, fuller tasks at 100 TB scale);
+    * broadcast joins stay at Spark's 10 MB default threshold (measured size).
+    """
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(4 * cores, -(-int(input_bytes) // TARGET_PARTITION_BYTES)))
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    }
+    applied = {}
+    if spark.conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) in (None, "", "128MB", "134217728") or key == "spark.sql.shuffle.partitions":
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def build_session(master: str = "local[*]", app: str = "tidepool",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local/test session builder. On a cluster, the cluster's own session is used."""

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.sources.fs import input_bytes
+
 
 @dataclass(frozen=True)
 class Binding:
@@ -189,16 +191,6 @@ BINDINGS: dict[str, Binding] = {
 MIN_SPREAD_BYTES = 4 * 1024 * 1024
 
 
-def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
 def spread_if_underpartitioned(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Give every core a share of an input that arrives in too few splits.
 
@@ -214,7 +206,7 @@ def spread_if_underpartitioned(spark: SparkSession, df: DataFrame) -> DataFrame:
     pre-shuffle sort as round-robin needs, same placement on a task retry.
     """
     cores = spark.sparkContext.defaultParallelism
-    if _input_bytes(spark, df) < MIN_SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
+    if input_bytes(spark, df) < MIN_SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return (df.withColumn("_spread", F.monotonically_increasing_id())
             .repartition(cores, "_spread").drop("_spread"))

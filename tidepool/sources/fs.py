@@ -16,6 +16,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def input_bytes(spark: SparkSession, df) -> int:
+    """Total size of the files a DataFrame scans (0 for non-file sources such as JDBC)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return bool(fs.exists(p))
