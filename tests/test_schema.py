@@ -46,6 +46,8 @@ def test_partition_sizing_scales_with_input(spark):
     keep = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
                                                   "spark.sql.files.maxPartitionBytes")}
     try:
+        for k in keep:
+            spark.conf.unset(k)
         applied = size_for(spark, 100 * 1024 ** 4)   # 100 TB
         assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
         assert "spark.sql.shuffle.partitions" not in applied      # tests set 8 explicitly: kept
