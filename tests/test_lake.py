@@ -36,3 +36,23 @@ def test_keep_history(spark, workdir):
     pipeline.ingest(spark, {"t": df}, workdir, "h1", rules={}, keep_history=True)
     pipeline.ingest(spark, {"t": df}, workdir, "h2", rules={}, keep_history=True)
     assert fs.exists(spark, f"{workdir}/_history/raw/t/h2")
+
+
+def test_json_columns_load_as_variant(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tidepool.schema import CONTRACTS
+    cols = CONTRACTS["spa_products"].fieldNames()
+    row = {c: None for c in cols}
+    row.update(id="1", slug="s", name="n", price="100", category="c", details='{"size": 7}')
+    df = spark.createDataFrame([tuple(row[c] for c in cols)], ", ".join(f"{c} string" for c in cols))
+    pipeline.ingest(spark, {"spa_products": df}, workdir, "v1", rules={}, fmt="csv")
+    rec = pipeline.load_staging(spark, workdir, ["spa_products"], "v1", fmt="csv", json_as_variant=True)[0]
+    assert rec["status"] == "SUCCESS"
+    got = spark.read.parquet(pipeline.staging_path(workdir, "spa_products"))
+    assert got.schema["details"].dataType.typeName() == "variant"
+    assert got.select(F.variant_get("details", "$.size", "int").alias("s")).first().s == 7
+    bad = df.withColumn("details", F.lit("{not json"))
+    pipeline.ingest(spark, {"spa_products": bad}, workdir, "v2", rules={}, fmt="csv")
+    rec = pipeline.load_staging(spark, workdir, ["spa_products"], "v2", fmt="csv", json_as_variant=True)[0]
+    assert rec["status"] == "FAILED"

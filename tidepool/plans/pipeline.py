@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidepool.config import load_rules, load_tests
 from tidepool.operators import constraints, quality
 from tidepool.plans.models import ALL_MODELS, MART_MODELS, WAREHOUSE_MODELS, Models
-from tidepool.schema import CONTRACTS, SOURCE_TABLES
+from tidepool.schema import CONTRACTS, JSON_COLUMNS, SOURCE_TABLES
 from tidepool.session import configure, size_for
 from tidepool.sources import audit, fs, lake
 from tidepool.sources.staging import apply_contract
@@ -122,21 +122,24 @@ def staging_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/staging/{table}"
 
 
-def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: str = "parquet") -> dict:
+def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: str = "parquet",
+               json_as_variant: bool = False) -> dict:
     """S9+S10: positional read of the raw snapshot, ANSI cast to the contract,
     write, publish, count. A bad value raises during the write: nothing is
-    published and the record carries no ``rows_loaded``."""
+    published and the record carries no ``rows_loaded``. With
+    ``json_as_variant`` the JSON columns are stored as VARIANT."""
     started = dt.datetime.now()
     record = audit.new_record("load", LOAD_SYSTEM, table, batch_id)
     staged = _staged(root, "staging", table, batch_id)
     try:
         contract = CONTRACTS[table]
         raw = lake.table_path(root, table)
+        variants = JSON_COLUMNS[table] if json_as_variant else ()
         if fmt == "csv":
-            typed = apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
+            typed = apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract, variants)
         else:
-            src = spark.read.parquet(raw)
-            typed = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+            src = spark.read.parquet(raw).select(*contract.fieldNames())
+            typed = apply_contract(src, contract, variants)
         typed.write.mode("errorifexists").parquet(staged)
         target = staging_path(root, table)
         fs.publish(spark, staged, target)
@@ -149,11 +152,12 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
 
 def load_staging(spark: SparkSession, root: str, tables: list[str] | None = None, batch_id: str | None = None,
                  fmt: str = "parquet", error_policy: str = "continue",
-                 parallelism: int = DEFAULT_PARALLELISM) -> list[dict]:
+                 parallelism: int = DEFAULT_PARALLELISM, json_as_variant: bool = False) -> list[dict]:
     """R2: full load of each table into staging; audit records appended."""
     configure(spark)
     batch_id = batch_id or new_batch_id()
-    records = _for_each_table(list(tables or SOURCE_TABLES), lambda t: load_table(spark, t, root, batch_id, fmt),
+    records = _for_each_table(list(tables or SOURCE_TABLES),
+                              lambda t: load_table(spark, t, root, batch_id, fmt, json_as_variant),
                               error_policy, parallelism)
     audit.write_audit(spark, records, root, "load", batch_id)
     return records

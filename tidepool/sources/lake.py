@@ -26,6 +26,9 @@ CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "em
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
             "enforceSchema": "true"}
 NULL_TOKENS = ("", "NULL")
+# multiLine CSV cannot be split on read: one file = one read task. Bounding the
+# rows per file keeps files (and read tasks) at a few hundred MB at most.
+CSV_MAX_RECORDS_PER_FILE = 2_000_000
 
 
 def table_path(root: str, table: str) -> str:
@@ -47,7 +50,7 @@ def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet")
     out = df.select("*", *[F.lit(v).alias(k) for k, v in p.items()])
     w = out.write.mode("errorifexists").partitionBy("year", "month", "day")
     if fmt == "csv":
-        w.options(**CSV_WRITE).csv(path)
+        w.options(**CSV_WRITE).option("maxRecordsPerFile", CSV_MAX_RECORDS_PER_FILE).csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     else:

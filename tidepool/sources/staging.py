@@ -15,12 +15,22 @@ from pyspark.sql import types as T
 from tidepool.schema import UnmappedTypeError
 
 
-def apply_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Positional cast of ``df`` (same column count) to ``contract`` names and types."""
+def apply_contract(df: DataFrame, contract: T.StructType, variant_columns=()) -> DataFrame:
+    """Positional cast of ``df`` (same column count) to ``contract`` names and types.
+
+    ``variant_columns`` (JSON text in the contract) are parsed into VARIANT with
+    ``parse_json``: malformed JSON raises and aborts the load like any other
+    uncastable value.
+    """
     if len(df.columns) < len(contract.fields):
         raise UnmappedTypeError(f"batch has {len(df.columns)} columns, contract {len(contract.fields)}")
-    return df.select(*[F.col(src).cast(f.dataType).alias(f.name)
-                       for src, f in zip(df.columns, contract.fields)])
+    out = []
+    for src, f in zip(df.columns, contract.fields):
+        c = F.col(src).cast(f.dataType)
+        if f.name in variant_columns:
+            c = F.parse_json(c)
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
 def contract_report(df: DataFrame, contract: T.StructType) -> DataFrame:
