@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tidepool.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="tidepool-test-ckpt-")
-    s = build_session("local[*]", "tidepool-tests", 8, {"spark.checkpoint.dir": ckpt})
-    s.sparkContext.setCheckpointDir(ckpt)
+    from tidepool.session import build_session, shared_dir
+    s = build_session("local[*]", "tidepool-tests", 8)
+    shared_dir(s)   # the session's spark.checkpoint.dir; a temporary one only if it is unset
     yield s
     s.stop()
 

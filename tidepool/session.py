@@ -97,7 +97,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir()
-    if not path:
+    if not path:   # unset (local runs, tests): create one and register it
         path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         sc.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)
