@@ -7,14 +7,24 @@ DuckDB statement for each key (absent only where no SQL equivalent exists).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool import oracle
-from tidepool.plans.models import ALL_MODELS, fixture_models
-from tidepool.session import configure
-from tidepool.sources.bindings import bind_all
+from tidepool.config import load_rules, load_tests
+from tidepool.functions import date_key, surrogate_key
+from tidepool.operators import constraints, quality
+from tidepool.plans import dims, marts, pipeline
+from tidepool.plans.models import (ALL_MODELS, FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START,
+                                   fixture_models)
+from tidepool.schema import CONTRACTS, SOURCE_TABLES
+from tidepool.session import configure, scratch_path
+from tidepool.sources import lake
+from tidepool.sources.bindings import BINDINGS, bind, bind_all, read_table
+from tidepool.sources.staging import apply_contract, contract_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,19 +58,11 @@ for _m in ALL_MODELS:
 # ---------------------------------------------------------------------------
 # Primitive queries over the model building blocks
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from tidepool.config import load_rules, load_tests  # noqa: E402
-from tidepool.operators import constraints, quality  # noqa: E402
-from tidepool.plans import dims, marts  # noqa: E402
-from tidepool.schema import CONTRACTS, SOURCE_TABLES  # noqa: E402
-from tidepool.sources.bindings import BINDINGS, bind, read_table  # noqa: E402
 
 
 @register("q_surrogate_keys", oracle.compose(
     "SELECT id, md5(id) AS transaction_key, md5(customer_phone) AS customer_key FROM transactions"))
 def q_surrogate_keys(spark, sf_dir):
-    from tidepool.functions import surrogate_key
     configure(spark)
     t = bind(spark, sf_dir, "transactions")
     return t.select("id", surrogate_key("id").alias("transaction_key"),
@@ -73,7 +75,6 @@ def q_surrogate_keys(spark, sf_dir):
     "UNION ALL SELECT CAST(strftime(CAST(created_at AS DATE), '%Y%m%d') AS INTEGER) AS date_key "
     "FROM completed_items) k GROUP BY date_key"))
 def q_date_keys(spark, sf_dir):
-    from tidepool.functions import date_key
     configure(spark)
     bl = bind(spark, sf_dir, "booking_logs").select(date_key("scheduled_date").alias("date_key"))
     ci = bind(spark, sf_dir, "completed_items").select(date_key("created_at").alias("date_key"))
@@ -296,12 +297,7 @@ for _key, _kind in [("q_test_not_null", "not_null"), ("q_test_unique", "unique")
 # ---------------------------------------------------------------------------
 # Sources, lake, staging, audit
 # ---------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from tidepool.plans import pipeline  # noqa: E402
-from tidepool.session import scratch_path  # noqa: E402
-from tidepool.sources import lake  # noqa: E402
-from tidepool.sources.staging import apply_contract, contract_report  # noqa: E402
 
 _DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
 
@@ -496,7 +492,6 @@ def q_gate_publish(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # End to end
 # ---------------------------------------------------------------------------
-from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START  # noqa: E402
 
 
 @register("q_pipeline_run", oracle.compose(
