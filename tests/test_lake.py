@@ -56,3 +56,30 @@ def test_json_columns_load_as_variant(spark, workdir):
     pipeline.ingest(spark, {"spa_products": bad}, workdir, "v2", rules={}, fmt="csv")
     rec = pipeline.load_staging(spark, workdir, ["spa_products"], "v2", fmt="csv", json_as_variant=True)[0]
     assert rec["status"] == "FAILED"
+
+
+def test_csv_bytes_follow_the_dialect(spark, workdir):
+    import glob
+
+    from tidepool.session import local_path
+    df = spark.createDataFrame([(1, 'say "hi", ok', None), (2, "", "x")], "col1 long, col2 string, col3 string")
+    path = f"{workdir}/bytes"
+    lake.write_batch(df.coalesce(1), path, dt.date(2026, 8, 9), fmt="csv")
+    files = glob.glob(f"{local_path(path)}/year=2026/month=08/day=09/*.csv")
+    assert len(files) == 1
+    assert open(files[0]).read() == 'col1,col2,col3\n1,"say ""hi"", ok",\n2,"",x\n'
+    back = lake.read_csv_text(spark, path, ["col1", "col2", "col3"]).orderBy("col1").collect()
+    assert [tuple(r) for r in back] == [("1", 'say "hi", ok', None), ("2", None, "x")]
+
+
+def test_batch_manifest_json(spark, workdir):
+    import glob
+    import json
+
+    from tidepool.session import local_path
+    df = spark.createDataFrame([(1,)], "id long")
+    pipeline.ingest(spark, {"t": df}, workdir, "m1", rules={"t": {"columns": ["id"]}})
+    text = "".join(open(f).read() for f in glob.glob(f"{local_path(workdir)}/manifests/extract_log_m1/*.txt"))
+    manifest = json.loads(text)
+    assert manifest["batch_id"] == "m1" and manifest["tables"][0]["status"] == "SUCCESS"
+    assert manifest["tables"][0]["validation"]["overall"] == "PASS"
