@@ -9,6 +9,7 @@ a failed cast leaves the previous snapshot intact.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -51,7 +52,8 @@ def _for_each_table(tables: list[str], job: Callable[[str], dict], error_policy:
 
 
 def _staged(root: str, *parts: str) -> str:
-    return "/".join([root.rstrip("/"), "_staged", *parts])
+    """A fresh staging folder (unique per attempt, never reused)."""
+    return "/".join([root.rstrip("/"), "_staged", *parts, uuid.uuid4().hex])
 
 
 def _write_observed(df: DataFrame, writer) -> int:
@@ -184,11 +186,10 @@ def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_d
     """
     configure(spark)
     models = Models(spark, dict(staging or read_staging(spark, root)), calendar_start, calendar_days, as_of)
-    batch = new_batch_id()
 
     def write(name: str) -> str:
         target = model_path(root, name)
-        staged = _staged(root, "models", name, batch)
+        staged = _staged(root, "models", name)
         models[name].write.mode("errorifexists").parquet(staged)
         fs.publish(spark, staged, target)
         return target

@@ -212,17 +212,17 @@ def spread_if_underpartitioned(spark: SparkSession, df: DataFrame) -> DataFrame:
             .repartition(cores, "_spread").drop("_spread"))
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def scan_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of a driver table. The driver tables are read-only inputs, so one
     scan (file listing + footer schema) per session is reused by every query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    cached = _SCANS.get(path)
+    if cached is None or cached[0] is not spark:
+        cached = _SCANS[path] = (spark, spark.read.parquet(path))
+    return cached[1]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
