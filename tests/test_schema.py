@@ -58,3 +58,10 @@ def test_partition_sizing_scales_with_input(spark):
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_pipeline_config_lists_the_eleven_feeds():
+    from tidepool.config import load_pipeline_config
+    from tidepool.schema import SOURCE_TABLES
+    cfg = load_pipeline_config()
+    assert cfg["tables"] == SOURCE_TABLES and cfg["error_policy"] == "continue" and cfg["load_type"] == "full"

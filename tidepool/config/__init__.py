@@ -23,6 +23,15 @@ def load_rules(path: str | Path = RULES_PATH) -> dict:
 
 
 TESTS_PATH = Path(__file__).with_name("tests.yaml")
+PIPELINE_PATH = Path(__file__).with_name("pipeline.yaml")
+
+
+def load_pipeline_config(path: str | Path = PIPELINE_PATH) -> dict:
+    """Feeds in load order, error policy (continue | stop), source system, load type."""
+    cfg = copy.deepcopy(_load(str(path)))
+    if cfg.get("error_policy", "continue") not in ("continue", "stop"):
+        raise ValueError(f"error_policy must be continue or stop, got {cfg['error_policy']!r}")
+    return cfg
 
 
 def load_tests(path: str | Path = TESTS_PATH) -> list[tuple[str, str, str, str, list | None]]:

@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.config import load_rules, load_tests
+from tidepool.config import load_pipeline_config, load_rules, load_tests
 from tidepool.operators import constraints, quality
 from tidepool.plans.models import ALL_MODELS, MART_MODELS, WAREHOUSE_MODELS, Models
 from tidepool.schema import CONTRACTS, JSON_COLUMNS, SOURCE_TABLES
@@ -24,7 +24,7 @@ from tidepool.session import configure, size_for
 from tidepool.sources import audit, fs, lake
 from tidepool.sources.staging import apply_contract
 
-EXTRACT_SYSTEM = "source_db"
+EXTRACT_SYSTEM = load_pipeline_config().get("source_system", "operational_db")
 LOAD_SYSTEM = "raw_lake"
 
 
@@ -102,10 +102,17 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
 
 def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, batch_id: str | None = None,
            tables: list[str] | None = None, rules: dict | None = None, validate: bool = True,
-           error_policy: str = "continue", fmt: str = "parquet", ingest_date: dt.date | None = None,
+           error_policy: str | None = None, fmt: str = "parquet", ingest_date: dt.date | None = None,
            keep_history: bool = False, parallelism: int = DEFAULT_PARALLELISM) -> list[dict]:
-    """Extract every table, gate it, publish it; write the audit records."""
+    """Extract every table, gate it, publish it; write the audit records.
+
+    Defaults (feed order, error policy) come from ``config/pipeline.yaml``.
+    """
     configure(spark)
+    cfg = load_pipeline_config()
+    error_policy = error_policy or cfg["error_policy"]
+    if tables is None:
+        tables = [t for t in cfg["tables"] if t in sources] + [t for t in sources if t not in cfg["tables"]]
     now = dt.datetime.now()
     batch_id = batch_id or new_batch_id(now)
     ingest_date = ingest_date or now.date()
@@ -153,12 +160,15 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
 
 
 def load_staging(spark: SparkSession, root: str, tables: list[str] | None = None, batch_id: str | None = None,
-                 fmt: str = "parquet", error_policy: str = "continue",
+                 fmt: str = "parquet", error_policy: str | None = None,
                  parallelism: int = DEFAULT_PARALLELISM, json_as_variant: bool = False) -> list[dict]:
     """R2: full load of each table into staging; audit records appended."""
     configure(spark)
+    cfg = load_pipeline_config()
+    error_policy = error_policy or cfg["error_policy"]
+    tables = tables or cfg["tables"]
     batch_id = batch_id or new_batch_id()
-    records = _for_each_table(list(tables or SOURCE_TABLES),
+    records = _for_each_table(list(tables),
                               lambda t: load_table(spark, t, root, batch_id, fmt, json_as_variant),
                               error_policy, parallelism)
     audit.write_audit(spark, records, root, "load", batch_id)
