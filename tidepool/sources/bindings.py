@@ -6,6 +6,13 @@ The text is valid in both Spark SQL and DuckDB, so the very same binding
 feeds ``selectExpr`` on the Spark side and the CTEs of the SQL oracle.
 Bindings are narrow (scan -> filter -> project) and push their filters
 and column sets into the parquet scan.
+
+The few predicates here derive *which entities exist* from a generic table:
+parts split into treatments (``p_partkey % 4 <> 0``) and retail products
+(the rest, so every part is one or the other); one customer in three holds
+a membership; gift cards are the orders of one priority class; reviews are
+the purchase events; a consultation is the opening turn of a conversation.
+They define the data model and are never used to shrink a query's input.
 """
 
 from __future__ import annotations
