@@ -83,3 +83,39 @@ def test_batch_manifest_json(spark, workdir):
     manifest = json.loads(text)
     assert manifest["batch_id"] == "m1" and manifest["tables"][0]["status"] == "SUCCESS"
     assert manifest["tables"][0]["validation"]["overall"] == "PASS"
+
+
+def test_pointer_publishing_swaps_without_moving_data(spark, workdir):
+    first = spark.createDataFrame([(1, "a")], "id long, v string")
+    second = spark.createDataFrame([(2, "b"), (3, "c")], "id long, v string")
+    r1 = pipeline.ingest(spark, {"t": first}, workdir, "p1", rules={}, publish_mode="pointer")[0]
+    served1 = pipeline.published(spark, lake.table_path(workdir, "t"))
+    assert r1["status"] == "SUCCESS" and "/_batches/" in served1
+    assert [r.id for r in spark.read.parquet(served1).collect()] == [1]
+    pipeline.ingest(spark, {"t": second}, workdir, "p2", rules={}, publish_mode="pointer")
+    served2 = pipeline.published(spark, lake.table_path(workdir, "t"))
+    assert served2 != served1 and not fs.exists(spark, served1)      # previous batch removed after the swap
+    assert sorted(r.id for r in spark.read.parquet(served2).collect()) == [2, 3]
+    bad = spark.createDataFrame([(4, None)], "id long, v string")
+    rec = pipeline.ingest(spark, {"t": bad}, workdir, "p3", rules={"t": {"columns": ["id", "v"], "not_null": ["v"]}},
+                          publish_mode="pointer")[0]
+    assert rec["status"] == "VALIDATION_FAILED"
+    assert pipeline.published(spark, lake.table_path(workdir, "t")) == served2
+
+
+def test_pipeline_pointer_mode_matches_rename_mode(spark, workdir):
+    from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
+    from tidepool.schema import SOURCE_TABLES
+    from tidepool.sources.bindings import bind
+    sf = "/root/testdata/sf0.001"
+    sources = {t: bind(spark, sf, t) for t in SOURCE_TABLES}
+    out = {}
+    for mode in ("rename", "pointer"):
+        root = f"{workdir}/{mode}"
+        summary = pipeline.run_pipeline(spark, sources, root, FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS,
+                                        FIXTURE_AS_OF, batch_id="b", publish_mode=mode)
+        out[mode] = sorted(tuple(r) for r in spark.read.parquet(summary["tests_path"]).collect())
+        mart = spark.read.parquet(pipeline.published(spark, pipeline.model_path(root, "mart_revenue_daily")))
+        out[mode + "_mart"] = mart.count()
+    assert out["rename"] == out["pointer"] and len(out["rename"]) == 72
+    assert out["rename_mart"] == out["pointer_mart"] == 1368

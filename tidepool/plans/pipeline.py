@@ -56,6 +56,30 @@ def _staged(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "_staged", *parts, uuid.uuid4().hex])
 
 
+PUBLISH_MODES = ("rename", "pointer")
+
+
+def _stage_dir(root: str, kind: str, name: str, target: str, mode: str, *extra: str) -> str:
+    """Where a new snapshot is written before it is published."""
+    if mode == "pointer":
+        return fs.batch_dir(target, "_".join([*extra, uuid.uuid4().hex]))
+    return _staged(root, kind, name, *extra)
+
+
+def _publish(spark: SparkSession, staged: str, target: str, mode: str, history: str | None = None) -> None:
+    if mode not in PUBLISH_MODES:
+        raise ValueError(f"publish mode must be one of {PUBLISH_MODES}, got {mode!r}")
+    if mode == "pointer":
+        fs.publish_pointer(spark, staged, target, keep_history=history is not None)
+    else:
+        fs.publish(spark, staged, target, history)
+
+
+def published(spark: SparkSession, target: str) -> str:
+    """The folder currently served for ``target`` (either publish mode)."""
+    return fs.resolve(spark, target)
+
+
 def _write_observed(df: DataFrame, writer) -> int:
     """Run ``writer(df')`` and return the number of rows it wrote (no extra pass)."""
     obs = Observation()
@@ -71,11 +95,12 @@ def _read_raw(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
 
 def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str, batch_id: str,
                   ingest_date: dt.date, rules: dict | None, validate: bool = True, fmt: str = "parquet",
-                  keep_history: bool = False) -> dict:
+                  keep_history: bool = False, publish_mode: str = "rename") -> dict:
     """S1+S2+gate+publish for one table. Always returns an audit record."""
     started = dt.datetime.now()
     record = audit.new_record("extract", EXTRACT_SYSTEM, table, batch_id)
-    staged = _staged(root, "raw", table, batch_id)
+    target = lake.table_path(root, table)
+    staged = _stage_dir(root, "raw", table, target, publish_mode, batch_id)
     try:
         source_count = source.count()                                   # S2
         written = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt))  # S1 + S5
@@ -89,10 +114,10 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
             fs.delete(spark, staged)
             return audit.finish(record, status="VALIDATION_FAILED", rows_extracted=written, rows_loaded=0,
                                 error_message="validation failed; batch not published")
-        target = lake.table_path(root, table)
         history = f"{root.rstrip('/')}/_history/raw/{table}/{batch_id}" if keep_history else None
-        fs.publish(spark, staged, target, history)                      # S6: snapshot replace
-        path = lake.partition_path(root, table, ingest_date)
+        _publish(spark, staged, target, publish_mode, history)          # S6: snapshot replace
+        path = lake.partition_path(root, table, ingest_date) if publish_mode == "rename" else \
+            lake.partition_path_under(staged, ingest_date)
         return audit.finish(record, started, status="SUCCESS", rows_extracted=written, rows_loaded=written,
                             file_path=path, destination=target)
     except Exception as exc:  # recorded, the batch goes on with the next table
@@ -103,7 +128,8 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
 def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, batch_id: str | None = None,
            tables: list[str] | None = None, rules: dict | None = None, validate: bool = True,
            error_policy: str | None = None, fmt: str = "parquet", ingest_date: dt.date | None = None,
-           keep_history: bool = False, parallelism: int = DEFAULT_PARALLELISM) -> list[dict]:
+           keep_history: bool = False, parallelism: int = DEFAULT_PARALLELISM,
+           publish_mode: str = "rename") -> list[dict]:
     """Extract every table, gate it, publish it; write the audit records.
 
     Defaults (feed order, error policy) come from ``config/pipeline.yaml``.
@@ -120,7 +146,7 @@ def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, bat
 
     def job(table: str) -> dict:
         return extract_table(spark, sources[table], table, root, batch_id, ingest_date, rules.get(table),
-                             validate, fmt, keep_history)
+                             validate, fmt, keep_history, publish_mode)
 
     records = _for_each_table(list(tables or sources), job, error_policy, parallelism)
     audit.write_audit(spark, records, root, "extract", batch_id)
@@ -132,17 +158,18 @@ def staging_path(root: str, table: str) -> str:
 
 
 def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: str = "parquet",
-               json_as_variant: bool = False) -> dict:
+               json_as_variant: bool = False, publish_mode: str = "rename") -> dict:
     """S9+S10: positional read of the raw snapshot, ANSI cast to the contract,
     write, publish, count. A bad value raises during the write: nothing is
     published and the record carries no ``rows_loaded``. With
     ``json_as_variant`` the JSON columns are stored as VARIANT."""
     started = dt.datetime.now()
     record = audit.new_record("load", LOAD_SYSTEM, table, batch_id)
-    staged = _staged(root, "staging", table, batch_id)
+    target = staging_path(root, table)
+    staged = _stage_dir(root, "staging", table, target, publish_mode, batch_id)
     try:
         contract = CONTRACTS[table]
-        raw = lake.table_path(root, table)
+        raw = published(spark, lake.table_path(root, table))
         variants = JSON_COLUMNS[table] if json_as_variant else ()
         if fmt == "csv":
             typed = apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract, variants)
@@ -150,9 +177,8 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
             src = spark.read.parquet(raw).select(*contract.fieldNames())
             typed = apply_contract(src, contract, variants)
         typed.write.mode("errorifexists").parquet(staged)
-        target = staging_path(root, table)
-        fs.publish(spark, staged, target)
-        loaded = spark.read.parquet(target).count()                     # S10: verify what is now served
+        _publish(spark, staged, target, publish_mode)
+        loaded = spark.read.parquet(published(spark, target)).count()   # S10: verify what is now served
         return audit.finish(record, started, status="SUCCESS", rows_loaded=loaded, destination=target)
     except Exception as exc:
         fs.delete(spark, staged)
@@ -161,7 +187,8 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
 
 def load_staging(spark: SparkSession, root: str, tables: list[str] | None = None, batch_id: str | None = None,
                  fmt: str = "parquet", error_policy: str | None = None,
-                 parallelism: int = DEFAULT_PARALLELISM, json_as_variant: bool = False) -> list[dict]:
+                 parallelism: int = DEFAULT_PARALLELISM, json_as_variant: bool = False,
+                 publish_mode: str = "rename") -> list[dict]:
     """R2: full load of each table into staging; audit records appended."""
     configure(spark)
     cfg = load_pipeline_config()
@@ -169,14 +196,14 @@ def load_staging(spark: SparkSession, root: str, tables: list[str] | None = None
     tables = tables or cfg["tables"]
     batch_id = batch_id or new_batch_id()
     records = _for_each_table(list(tables),
-                              lambda t: load_table(spark, t, root, batch_id, fmt, json_as_variant),
+                              lambda t: load_table(spark, t, root, batch_id, fmt, json_as_variant, publish_mode),
                               error_policy, parallelism)
     audit.write_audit(spark, records, root, "load", batch_id)
     return records
 
 
 def read_staging(spark: SparkSession, root: str, tables=None) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(staging_path(root, t)) for t in (tables or SOURCE_TABLES)}
+    return {t: spark.read.parquet(published(spark, staging_path(root, t))) for t in (tables or SOURCE_TABLES)}
 
 
 def model_path(root: str, name: str) -> str:
@@ -186,7 +213,7 @@ def model_path(root: str, name: str) -> str:
 
 def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_days: int, as_of: str,
                  staging: Mapping[str, DataFrame] | None = None,
-                 parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
+                 parallelism: int = DEFAULT_PARALLELISM, publish_mode: str = "rename") -> dict[str, str]:
     """Build every model, layer by layer, each written as a table.
 
     Models of one layer only depend on the layer below, so their jobs are
@@ -199,9 +226,9 @@ def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_d
 
     def write(name: str) -> str:
         target = model_path(root, name)
-        staged = _staged(root, "models", name)
+        staged = _stage_dir(root, "models", name, target, publish_mode)
         models[name].write.mode("errorifexists").parquet(staged)
-        fs.publish(spark, staged, target)
+        _publish(spark, staged, target, publish_mode)
         return target
 
     paths: dict[str, str] = {}
@@ -212,7 +239,7 @@ def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_d
             for name, target in zip(layer, pool.map(write, layer)):
                 paths[name] = target
         for name in layer:
-            models.replace(name, spark.read.parquet(paths[name]))
+            models.replace(name, spark.read.parquet(published(spark, paths[name])))
     return paths
 
 
@@ -221,14 +248,14 @@ def run_tests(spark: SparkSession, root: str) -> DataFrame:
     frames = {}
     for _layer, model, *_ in load_tests():
         if model not in frames:
-            frames[model] = spark.read.parquet(model_path(root, model) if model in ALL_MODELS
-                                               else staging_path(root, model))
+            frames[model] = spark.read.parquet(published(spark, model_path(root, model) if model in ALL_MODELS
+                                                         else staging_path(root, model)))
     return constraints.run_suite(spark, frames, load_tests())
 
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str,
                  calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
-                 input_bytes: int | None = None) -> dict:
+                 input_bytes: int | None = None, publish_mode: str = "rename") -> dict:
     """Ingest -> load -> build -> test. A failed table fails its step and blocks the next.
 
     Partition sizing follows the input volume (``session.size_for``); file
@@ -239,17 +266,18 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
         input_bytes = sum(fs.input_bytes(spark, df) for df in sources.values())
     batch_id = batch_id or new_batch_id()
     summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes)}
-    extract = ingest(spark, sources, root, batch_id, fmt=fmt)
+    extract = ingest(spark, sources, root, batch_id, fmt=fmt, publish_mode=publish_mode)
     summary["extract"] = extract
     if any(r["status"] != "SUCCESS" for r in extract):
         summary["status"] = "EXTRACT_FAILED"
         return summary
-    loaded = load_staging(spark, root, list(sources), batch_id, fmt)
+    loaded = load_staging(spark, root, list(sources), batch_id, fmt, publish_mode=publish_mode)
     summary["load"] = loaded
     if any(r["status"] != "SUCCESS" for r in loaded):
         summary["status"] = "LOAD_FAILED"
         return summary
-    summary["models"] = build_models(spark, root, calendar_start, calendar_days, as_of)
+    summary["models"] = build_models(spark, root, calendar_start, calendar_days, as_of,
+                                     publish_mode=publish_mode)
     suite = run_tests(spark, root)
     suite_path = f"{root.rstrip('/')}/tests/{batch_id}"
     suite.write.mode("overwrite").parquet(suite_path)

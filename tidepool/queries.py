@@ -379,7 +379,7 @@ def q_raw_roundtrip(spark, sf_dir):
     assert recs[0]["status"] == "SUCCESS", recs[0]
     cols = CONTRACTS["transactions"].fieldNames() + ["year", "month", "day"]
     raw = (spark.read.schema(", ".join(f"`{c}` string" for c in cols)).options(**lake.CSV_READ)
-           .csv(lake.table_path(root, "transactions")))
+           .csv(pipeline.published(spark, lake.table_path(root, "transactions"))))
     return raw.groupBy("year", "month", "day", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("total_price").cast("long")).alias("total"))
 
@@ -394,7 +394,8 @@ def q_snapshot_replace(spark, sf_dir):
     second = pipeline.ingest(spark, {"transactions": tx.where(F.col("source") == "treatment")}, root,
                              "20260809_010000", ingest_date=INGEST_DATE)
     assert first[0]["status"] == second[0]["status"] == "SUCCESS", (first, second)
-    return spark.read.parquet(lake.table_path(root, "transactions")).drop("year", "month", "day")
+    return spark.read.parquet(pipeline.published(spark, lake.table_path(root, "transactions"))).drop(
+        "year", "month", "day")
 
 
 @register("q_csv_format_scan", oracle.compose("SELECT * FROM reviews"))
@@ -406,8 +407,8 @@ def q_csv_format_scan(spark, sf_dir):
                            fmt="csv", ingest_date=INGEST_DATE)
     assert recs[0]["status"] == "SUCCESS", recs[0]
     contract = CONTRACTS["reviews"]
-    return apply_contract(lake.read_csv_text(spark, lake.table_path(root, "reviews"), contract.fieldNames()),
-                          contract)
+    raw = pipeline.published(spark, lake.table_path(root, "reviews"))
+    return apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
 
 
 @register("q_stage_load", oracle.compose("SELECT * FROM completed_items"))
@@ -419,7 +420,7 @@ def q_stage_load(spark, sf_dir):
                     fmt="csv", ingest_date=INGEST_DATE)
     recs = pipeline.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
     assert recs[0]["status"] == "SUCCESS", recs[0]
-    return spark.read.parquet(pipeline.staging_path(root, "completed_items"))
+    return spark.read.parquet(pipeline.published(spark, pipeline.staging_path(root, "completed_items")))
 
 
 def _audit_frame(spark, root):
@@ -486,7 +487,8 @@ def q_gate_publish(spark, sf_dir):
     bad = pipeline.ingest(spark, {"spa_products": _bad_products(clean)}, root, "20260809_010000",
                           ingest_date=INGEST_DATE)
     assert ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad)
-    return spark.read.parquet(lake.table_path(root, "spa_products")).drop("year", "month", "day")
+    return spark.read.parquet(pipeline.published(spark, lake.table_path(root, "spa_products"))).drop(
+        "year", "month", "day")
 
 
 # ---------------------------------------------------------------------------

@@ -47,6 +47,54 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+POINTER = "_CURRENT"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small object in a single create (atomic PUT on object stores)."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p, jvm = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def resolve(spark: SparkSession, target: str) -> str:
+    """The folder currently served as ``target``: the batch its pointer names
+    (pointer publishing), else ``target`` itself (rename publishing)."""
+    pointer = f"{target.rstrip('/')}/{POINTER}"
+    return read_text(spark, pointer).strip() if exists(spark, pointer) else target
+
+
+def batch_dir(target: str, batch: str) -> str:
+    """Where a batch is written under pointer publishing (its final home)."""
+    return f"{target.rstrip('/')}/_batches/{batch}"
+
+
+def publish_pointer(spark: SparkSession, staged: str, target: str, keep_history: bool = False) -> None:
+    """Swap ``target``'s pointer to ``staged`` (a folder below ``target/_batches``).
+
+    No data moves: on object stores a directory rename is a copy of every object,
+    while this is one small atomic PUT. The previous batch is removed after the
+    swap unless history is kept. Readers go through ``resolve``.
+    """
+    pointer = f"{target.rstrip('/')}/{POINTER}"
+    previous = read_text(spark, pointer).strip() if exists(spark, pointer) else None
+    write_text(spark, pointer, staged)
+    if previous and previous != staged and not keep_history:
+        delete(spark, previous)
+
+
 def publish(spark: SparkSession, staged: str, target: str, history: str | None = None) -> None:
     """Swap ``staged`` in as ``target``. The old target moves to ``history`` (kept)
     or to a side folder that is removed only after the swap succeeded."""

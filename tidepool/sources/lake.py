@@ -40,8 +40,12 @@ def partition_values(ingest: dt.date) -> dict[str, str]:
 
 
 def partition_path(root: str, table: str, ingest: dt.date) -> str:
+    return partition_path_under(table_path(root, table), ingest)
+
+
+def partition_path_under(folder: str, ingest: dt.date) -> str:
     p = partition_values(ingest)
-    return f"{table_path(root, table)}/year={p['year']}/month={p['month']}/day={p['day']}"
+    return f"{folder.rstrip('/')}/year={p['year']}/month={p['month']}/day={p['day']}"
 
 
 def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet") -> None:
