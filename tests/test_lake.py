@@ -119,3 +119,14 @@ def test_pipeline_pointer_mode_matches_rename_mode(spark, workdir):
         out[mode + "_mart"] = mart.count()
     assert out["rename"] == out["pointer"] and len(out["rename"]) == 72
     assert out["rename_mart"] == out["pointer_mart"] == 1368
+
+
+def test_cli_extract_and_load(spark, workdir):
+    from tidepool import cli
+    code = cli.main(["extract", "--root", workdir, "--tables", "site_settings,members", "--fixtures",
+                     "/root/testdata/sf0.001", "--batch-id", "c1"])
+    assert code == 0
+    assert cli.main(["load", "--root", workdir, "--tables", "site_settings,members", "--batch-id", "c1"]) == 0
+    served = spark.read.parquet(pipeline.published(spark, pipeline.staging_path(workdir, "members")))
+    assert served.count() == 50
+    assert cli.main(["load", "--root", workdir, "--tables", "reviews", "--batch-id", "c1"]) == 1   # never extracted
