@@ -79,7 +79,7 @@ def test_batch_manifest_json(spark, workdir):
     from tidepool.session import local_path
     df = spark.createDataFrame([(1,)], "id long")
     pipeline.ingest(spark, {"t": df}, workdir, "m1", rules={"t": {"columns": ["id"]}})
-    text = "".join(open(f).read() for f in glob.glob(f"{local_path(workdir)}/manifests/extract_log_m1/*.txt"))
+    text = "".join(open(f).read() for f in glob.glob(f"{local_path(workdir)}/manifests/extract_log_m1.json"))
     manifest = json.loads(text)
     assert manifest["batch_id"] == "m1" and manifest["tables"][0]["status"] == "SUCCESS"
     assert manifest["tables"][0]["validation"]["overall"] == "PASS"

@@ -9,6 +9,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidepool.sources import fs
+
 CHECK_STRUCT = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("status", T.StringType()),
     T.StructField("detail", T.StringType()),
@@ -66,6 +68,6 @@ def write_audit(spark: SparkSession, records: list[dict], root: str, job: str, b
     records_frame(spark, records).write.mode("append").partitionBy("batch_id").parquet(path)
     manifest = {"batch_id": batch_id, "generated_at": dt.datetime.now().isoformat(), "tables": records}
     text = json.dumps(manifest, indent=2, ensure_ascii=False, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{root.rstrip('/')}/manifests/{job}_log_{batch_id}")
+    # one small driver-side document (one record per table): a single file write, no Spark job
+    fs.write_text(spark, f"{root.rstrip('/')}/manifests/{job}_log_{batch_id}.json", text)
     return path
