@@ -53,8 +53,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
     p.add_argument("--jdbc-driver")
-    p.add_argument("--calendar-start", default=FIXTURE_CALENDAR_START)
-    p.add_argument("--calendar-days", type=int, default=FIXTURE_CALENDAR_DAYS)
+    p.add_argument("--calendar-start", default=FIXTURE_CALENDAR_START,
+                   help="first calendar day (default: Jan 1 of the earliest fact year)")
+    p.add_argument("--calendar-days", type=int, default=FIXTURE_CALENDAR_DAYS,
+                   help="calendar length (default: through Dec 31 of the latest fact year)")
     p.add_argument("--as-of", default=FIXTURE_AS_OF, help="reference date for recency (default: fixture date)")
     args = p.parse_args(argv)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
+from tidepool.plans.models import FIXTURE_AS_OF
 from tidepool.sources.bindings import BINDINGS
 
 
@@ -19,12 +19,18 @@ def _dk(ts: str) -> str:
 
 
 MODEL_SQL: dict[str, str] = {
+    "calendar_bounds": """
+SELECT make_date(CAST(year(min(d)) AS INTEGER), 1, 1) AS first_day,
+       make_date(CAST(year(max(d)) AS INTEGER), 12, 31) AS last_day
+FROM (SELECT CAST(created_at AS DATE) AS d FROM transactions
+      UNION ALL SELECT CAST(created_at AS DATE) FROM completed_items
+      UNION ALL SELECT CAST(scheduled_date AS DATE) FROM booking_logs) x""",
     "dim_date": f"""
 SELECT {_dk('d')} AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS "year",
        CAST(month(d) AS INTEGER) AS "month", strftime(d, '%b') AS month_name, CAST(day(d) AS INTEGER) AS "day",
        strftime(d, '%a') AS day_of_week, CAST(quarter(d) AS INTEGER) AS quarter
-FROM (SELECT CAST(DATE '{FIXTURE_CALENDAR_START}' + CAST(i AS INTEGER) AS DATE) AS d
-      FROM range({FIXTURE_CALENDAR_DAYS}) t(i))""",
+FROM (SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS d
+      FROM calendar_bounds) s""",
     "customer_contacts": """
 SELECT customer_phone, customer_name, email, created_at FROM booking_groups
 UNION ALL

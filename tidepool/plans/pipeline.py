@@ -211,11 +211,13 @@ def model_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_days: int, as_of: str,
+def build_models(spark: SparkSession, root: str, calendar_start: str | None, calendar_days: int | None, as_of: str,
                  staging: Mapping[str, DataFrame] | None = None,
                  parallelism: int = DEFAULT_PARALLELISM, publish_mode: str = "rename") -> dict[str, str]:
     """Build every model, layer by layer, each written as a table.
 
+    ``calendar_start``/``calendar_days`` None: the calendar covers the facts' years.
+
     Models of one layer only depend on the layer below, so their jobs are
     submitted concurrently. A written model replaces its lazy plan, so the
     marts read the warehouse tables instead of recomputing them (the write
@@ -253,8 +255,8 @@ def run_tests(spark: SparkSession, root: str) -> DataFrame:
     return constraints.run_suite(spark, frames, load_tests())
 
 
-def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str,
-                 calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
+def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str | None,
+                 calendar_days: int | None, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
                  input_bytes: int | None = None, publish_mode: str = "rename") -> dict:
     """Ingest -> load -> build -> test. A failed table fails its step and blocks the next.
 
