@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tidepool.operators import joins
-from tidepool.plans import dims, marts
+from tidepool.plans import dims
 
 SF = "/root/testdata/sf0.001"
 
