@@ -39,3 +39,43 @@ def test_gate_and_suite_on_hot_key(spark):
     assert rows["unique"].status == "FAIL" and rows["unique"].bad_rows == 1
     suite = constraints.run_suite(spark, {"m": df}, [("", "m", "customer_phone", "unique", None)]).first()
     assert suite.failing_rows == 1000
+
+
+def test_hot_group_join_is_split_by_aqe(spark):
+    """One booking group holds a third of the bookings: AQE splits that partition of
+    the sort-merge join (the broadcast path is switched off to force the shuffle join)."""
+    from tidepool.plans import facts
+    n = 30000
+    bookings = spark.range(n).select(
+        F.col("id").cast("string").alias("id"),
+        F.lit("treatment").alias("item_type"),
+        F.when(F.col("id") % 3 == 0, F.lit("g-hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5000).cast("string")))
+        .alias("group_id"),
+        F.lit(100).cast("long").alias("price"), F.lit("guest").alias("guest_name"), F.lit("booked").alias("status"),
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp").alias("scheduled_date"),
+        (F.col("id") % 40).cast("string").alias("treatment_id"))
+    groups = spark.range(5000).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("id"),
+                                      F.concat(F.lit("+62"), F.col("id").cast("string")).alias("customer_phone")) \
+        .unionByName(spark.createDataFrame([("g-hot", "+62hot")], "id string, customer_phone string"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = facts.fact_treatment_activities(bookings, groups)
+        rows = fact.groupBy(F.col("customer_key").isNull().alias("orphan")).count().collect()
+        qe = fact._jdf.queryExecution()
+        qe.toRdd().count()                       # run this very plan so AQE finalises it
+        plan = qe.executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan, plan
+        assert {r.orphan: r["count"] for r in rows} == {False: n}
+        hot = fact.where(F.col("customer_key") == F.md5(F.lit("+62hot"))).count()
+        assert hot == n // 3
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
