@@ -109,11 +109,14 @@ def test_pipeline_pointer_mode_matches_rename_mode(spark, workdir):
     from tidepool.sources.bindings import bind
     sf = "/root/testdata/sf0.001"
     sources = {t: bind(spark, sf, t) for t in SOURCE_TABLES}
+    from tidepool.session import SIZING_KEYS
     out = {}
     for mode in ("rename", "pointer"):
         root = f"{workdir}/{mode}"
+        before = {k: spark.conf.get(k, None) for k in SIZING_KEYS}
         summary = pipeline.run_pipeline(spark, sources, root, FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS,
                                         FIXTURE_AS_OF, batch_id="b", publish_mode=mode)
+        assert {k: spark.conf.get(k, None) for k in SIZING_KEYS} == before      # sizing does not leak
         out[mode] = sorted(tuple(r) for r in spark.read.parquet(summary["tests_path"]).collect())
         mart = spark.read.parquet(pipeline.published(spark, pipeline.model_path(root, "mart_revenue_daily")))
         out[mode + "_mart"] = mart.count()

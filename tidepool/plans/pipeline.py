@@ -20,7 +20,7 @@ from tidepool.config import load_pipeline_config, load_rules, load_tests
 from tidepool.operators import constraints, quality
 from tidepool.plans.models import ALL_MODELS, MART_MODELS, WAREHOUSE_MODELS, Models
 from tidepool.schema import CONTRACTS, JSON_COLUMNS, SOURCE_TABLES
-from tidepool.session import configure, size_for
+from tidepool.session import SIZING_KEYS, configure, size_for
 from tidepool.sources import audit, fs, lake
 from tidepool.sources.staging import apply_contract
 
@@ -267,7 +267,18 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     if input_bytes is None:
         input_bytes = sum(fs.input_bytes(spark, df) for df in sources.values())
     batch_id = batch_id or new_batch_id()
+    before = {k: spark.conf.get(k, None) for k in SIZING_KEYS}
     summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes)}
+    try:
+        return _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
+                          summary)
+    finally:   # the sizing belongs to this run; the session goes back to what it was
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
+               summary: dict) -> dict:
     extract = ingest(spark, sources, root, batch_id, fmt=fmt, publish_mode=publish_mode)
     summary["extract"] = extract
     if any(r["status"] != "SUCCESS" for r in extract):

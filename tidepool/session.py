@@ -37,6 +37,8 @@ def configure(spark: SparkSession) -> SparkSession:
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+SIZING_KEYS = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
+               "spark.sql.shuffle.partitions")
 
 
 def size_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
