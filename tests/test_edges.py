@@ -50,20 +50,20 @@ def test_csv_dialect_roundtrip(spark, workdir, tmp_path):
 
 
 def test_bad_value_aborts_load_and_keeps_previous(spark, workdir):
-    from tidepool.plans import pipeline
+    from tidepool.plans import jobs
     from tidepool.schema import CONTRACTS
     cols = CONTRACTS["site_settings"].fieldNames()
     good = spark.createDataFrame([("1", "k", "v", None, "2024-01-01 00:00:00")], ", ".join(f"{c} string" for c in cols))
-    pipeline.ingest(spark, {"site_settings": good}, workdir, "b1", rules={}, fmt="csv",
+    jobs.ingest(spark, {"site_settings": good}, workdir, "b1", rules={}, fmt="csv",
                     ingest_date=dt.date(2026, 8, 9))
-    ok = pipeline.load_staging(spark, workdir, ["site_settings"], "b1", fmt="csv")
+    ok = jobs.load_staging(spark, workdir, ["site_settings"], "b1", fmt="csv")
     assert ok[0]["status"] == "SUCCESS" and ok[0]["rows_loaded"] == 1
     bad = good.withColumn("updated_at", F.lit("abc"))
-    pipeline.ingest(spark, {"site_settings": bad}, workdir, "b2", rules={}, fmt="csv",
+    jobs.ingest(spark, {"site_settings": bad}, workdir, "b2", rules={}, fmt="csv",
                     ingest_date=dt.date(2026, 8, 10))
-    rec = pipeline.load_staging(spark, workdir, ["site_settings"], "b2", fmt="csv")[0]
+    rec = jobs.load_staging(spark, workdir, ["site_settings"], "b2", fmt="csv")[0]
     assert rec["status"] == "FAILED" and "rows_loaded" not in rec
-    served = spark.read.parquet(pipeline.staging_path(workdir, "site_settings")).collect()
+    served = spark.read.parquet(jobs.staging_path(workdir, "site_settings")).collect()
     assert len(served) == 1 and served[0].updated_at == dt.datetime(2024, 1, 1)
 
 
@@ -136,11 +136,11 @@ def test_models_reuse_one_plan_per_model(spark):
 
 @pytest.mark.parametrize("policy,expected", [("continue", 3), ("stop", 1)])
 def test_error_policy(spark, workdir, policy, expected):
-    from tidepool.plans import pipeline
+    from tidepool.plans import jobs
     df = spark.createDataFrame([(1,)], "id long")
     sources = {t: df for t in ["a", "b", "c"]}
     rules = {t: {"columns": ["nope"]} for t in sources}
-    recs = pipeline.ingest(spark, sources, workdir, "p", rules=rules, error_policy=policy)
+    recs = jobs.ingest(spark, sources, workdir, "p", rules=rules, error_policy=policy)
     assert len(recs) == expected and all(r["status"] == "VALIDATION_FAILED" for r in recs)
 
 

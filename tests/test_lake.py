@@ -1,6 +1,6 @@
 import datetime as dt
 
-from tidepool.plans import pipeline
+from tidepool.plans import jobs
 from tidepool.sources import fs, lake
 
 
@@ -12,11 +12,11 @@ def test_partition_layout_is_zero_padded():
 def test_gate_blocks_publish_and_records(spark, workdir):
     good = spark.createDataFrame([(1, "Massage", 150000), (2, "Facial", 200000)], "id long, name string, price long")
     rules = {"t": {"columns": ["id", "name", "price"], "checks": [{"type": "min_value", "column": "price", "min": 0}]}}
-    ok = pipeline.ingest(spark, {"t": good}, workdir, "20260809_023000", rules=rules, ingest_date=dt.date(2026, 8, 9))[0]
+    ok = jobs.ingest(spark, {"t": good}, workdir, "20260809_023000", rules=rules, ingest_date=dt.date(2026, 8, 9))[0]
     assert ok["status"] == "SUCCESS" and ok["rows_extracted"] == ok["rows_loaded"] == 2
     assert ok["file_path"].endswith("raw/t/year=2026/month=08/day=09")
     bad = spark.createDataFrame([(1, "Massage", -5)], "id long, name string, price long")
-    rec = pipeline.ingest(spark, {"t": bad}, workdir, "20260810_023000", rules=rules)[0]
+    rec = jobs.ingest(spark, {"t": bad}, workdir, "20260810_023000", rules=rules)[0]
     assert rec["status"] == "VALIDATION_FAILED" and rec["rows_loaded"] == 0
     assert "validation failed" in rec["error_message"]
     served = spark.read.parquet(lake.table_path(workdir, "t")).collect()
@@ -27,14 +27,14 @@ def test_gate_blocks_publish_and_records(spark, workdir):
 
 def test_source_error_is_recorded(spark, workdir):
     broken = spark.createDataFrame([(1,)], "id long").selectExpr("raise_error('database went away') AS id")
-    rec = pipeline.ingest(spark, {"t": broken}, workdir, "e1", rules={})[0]
+    rec = jobs.ingest(spark, {"t": broken}, workdir, "e1", rules={})[0]
     assert rec["status"] == "FAILED" and "database went away" in rec["error_message"]
 
 
 def test_keep_history(spark, workdir):
     df = spark.createDataFrame([(1,)], "id long")
-    pipeline.ingest(spark, {"t": df}, workdir, "h1", rules={}, keep_history=True)
-    pipeline.ingest(spark, {"t": df}, workdir, "h2", rules={}, keep_history=True)
+    jobs.ingest(spark, {"t": df}, workdir, "h1", rules={}, keep_history=True)
+    jobs.ingest(spark, {"t": df}, workdir, "h2", rules={}, keep_history=True)
     assert fs.exists(spark, f"{workdir}/_history/raw/t/h2")
 
 
@@ -46,15 +46,15 @@ def test_json_columns_load_as_variant(spark, workdir):
     row = {c: None for c in cols}
     row.update(id="1", slug="s", name="n", price="100", category="c", details='{"size": 7}')
     df = spark.createDataFrame([tuple(row[c] for c in cols)], ", ".join(f"{c} string" for c in cols))
-    pipeline.ingest(spark, {"spa_products": df}, workdir, "v1", rules={}, fmt="csv")
-    rec = pipeline.load_staging(spark, workdir, ["spa_products"], "v1", fmt="csv", json_as_variant=True)[0]
+    jobs.ingest(spark, {"spa_products": df}, workdir, "v1", rules={}, fmt="csv")
+    rec = jobs.load_staging(spark, workdir, ["spa_products"], "v1", fmt="csv", json_as_variant=True)[0]
     assert rec["status"] == "SUCCESS"
-    got = spark.read.parquet(pipeline.staging_path(workdir, "spa_products"))
+    got = spark.read.parquet(jobs.staging_path(workdir, "spa_products"))
     assert got.schema["details"].dataType.typeName() == "variant"
     assert got.select(F.variant_get("details", "$.size", "int").alias("s")).first().s == 7
     bad = df.withColumn("details", F.lit("{not json"))
-    pipeline.ingest(spark, {"spa_products": bad}, workdir, "v2", rules={}, fmt="csv")
-    rec = pipeline.load_staging(spark, workdir, ["spa_products"], "v2", fmt="csv", json_as_variant=True)[0]
+    jobs.ingest(spark, {"spa_products": bad}, workdir, "v2", rules={}, fmt="csv")
+    rec = jobs.load_staging(spark, workdir, ["spa_products"], "v2", fmt="csv", json_as_variant=True)[0]
     assert rec["status"] == "FAILED"
 
 
@@ -78,7 +78,7 @@ def test_batch_manifest_json(spark, workdir):
 
     from tidepool.session import local_path
     df = spark.createDataFrame([(1,)], "id long")
-    pipeline.ingest(spark, {"t": df}, workdir, "m1", rules={"t": {"columns": ["id"]}})
+    jobs.ingest(spark, {"t": df}, workdir, "m1", rules={"t": {"columns": ["id"]}})
     text = "".join(open(f).read() for f in glob.glob(f"{local_path(workdir)}/manifests/extract_log_m1.json"))
     manifest = json.loads(text)
     assert manifest["batch_id"] == "m1" and manifest["tables"][0]["status"] == "SUCCESS"
@@ -88,19 +88,19 @@ def test_batch_manifest_json(spark, workdir):
 def test_pointer_publishing_swaps_without_moving_data(spark, workdir):
     first = spark.createDataFrame([(1, "a")], "id long, v string")
     second = spark.createDataFrame([(2, "b"), (3, "c")], "id long, v string")
-    r1 = pipeline.ingest(spark, {"t": first}, workdir, "p1", rules={}, publish_mode="pointer")[0]
-    served1 = pipeline.published(spark, lake.table_path(workdir, "t"))
+    r1 = jobs.ingest(spark, {"t": first}, workdir, "p1", rules={}, publish_mode="pointer")[0]
+    served1 = jobs.published(spark, lake.table_path(workdir, "t"))
     assert r1["status"] == "SUCCESS" and "/_batches/" in served1
     assert [r.id for r in spark.read.parquet(served1).collect()] == [1]
-    pipeline.ingest(spark, {"t": second}, workdir, "p2", rules={}, publish_mode="pointer")
-    served2 = pipeline.published(spark, lake.table_path(workdir, "t"))
+    jobs.ingest(spark, {"t": second}, workdir, "p2", rules={}, publish_mode="pointer")
+    served2 = jobs.published(spark, lake.table_path(workdir, "t"))
     assert served2 != served1 and not fs.exists(spark, served1)      # previous batch removed after the swap
     assert sorted(r.id for r in spark.read.parquet(served2).collect()) == [2, 3]
     bad = spark.createDataFrame([(4, None)], "id long, v string")
-    rec = pipeline.ingest(spark, {"t": bad}, workdir, "p3", rules={"t": {"columns": ["id", "v"], "not_null": ["v"]}},
+    rec = jobs.ingest(spark, {"t": bad}, workdir, "p3", rules={"t": {"columns": ["id", "v"], "not_null": ["v"]}},
                           publish_mode="pointer")[0]
     assert rec["status"] == "VALIDATION_FAILED"
-    assert pipeline.published(spark, lake.table_path(workdir, "t")) == served2
+    assert jobs.published(spark, lake.table_path(workdir, "t")) == served2
 
 
 def test_pipeline_pointer_mode_matches_rename_mode(spark, workdir):
@@ -114,11 +114,11 @@ def test_pipeline_pointer_mode_matches_rename_mode(spark, workdir):
     for mode in ("rename", "pointer"):
         root = f"{workdir}/{mode}"
         before = {k: spark.conf.get(k, None) for k in SIZING_KEYS}
-        summary = pipeline.run_pipeline(spark, sources, root, FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS,
+        summary = jobs.run_pipeline(spark, sources, root, FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS,
                                         FIXTURE_AS_OF, batch_id="b", publish_mode=mode)
         assert {k: spark.conf.get(k, None) for k in SIZING_KEYS} == before      # sizing does not leak
         out[mode] = sorted(tuple(r) for r in spark.read.parquet(summary["tests_path"]).collect())
-        mart = spark.read.parquet(pipeline.published(spark, pipeline.model_path(root, "mart_revenue_daily")))
+        mart = spark.read.parquet(jobs.published(spark, jobs.model_path(root, "mart_revenue_daily")))
         out[mode + "_mart"] = mart.count()
     assert out["rename"] == out["pointer"] and len(out["rename"]) == 72
     assert out["rename_mart"] == out["pointer_mart"] == 1368
@@ -130,6 +130,6 @@ def test_cli_extract_and_load(spark, workdir):
                      "/root/testdata/sf0.001", "--batch-id", "c1"])
     assert code == 0
     assert cli.main(["load", "--root", workdir, "--tables", "site_settings,members", "--batch-id", "c1"]) == 0
-    served = spark.read.parquet(pipeline.published(spark, pipeline.staging_path(workdir, "members")))
+    served = spark.read.parquet(jobs.published(spark, jobs.staging_path(workdir, "members")))
     assert served.count() == 50
     assert cli.main(["load", "--root", workdir, "--tables", "reviews", "--batch-id", "c1"]) == 1   # never extracted

@@ -20,7 +20,7 @@ def _explain(df) -> str:
 
 READ_ONLY = [n for n in sorted(E.queries()) if n not in {
     "q_raw_roundtrip", "q_snapshot_replace", "q_csv_format_scan", "q_stage_load", "q_load_verify",
-    "q_batch_audit", "q_gate_publish", "q_pipeline_run"}]
+    "q_batch_audit", "q_gate_publish", "q_end_to_end_run"}]
 
 
 @pytest.mark.parametrize("name", READ_ONLY)

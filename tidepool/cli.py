@@ -17,7 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tidepool.config import load_pipeline_config
-from tidepool.plans import pipeline
+from tidepool.plans import jobs
 from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
 from tidepool.session import configure
 
@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--batch-id", help="batch id (default: YYYYMMDD_HHMMSS)")
     p.add_argument("--no-validate", action="store_true", help="skip the quality gate on extract")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="raw lake format")
-    p.add_argument("--publish-mode", default="rename", choices=list(pipeline.PUBLISH_MODES))
+    p.add_argument("--publish-mode", default="rename", choices=list(jobs.PUBLISH_MODES))
     p.add_argument("--error-policy", choices=["continue", "stop"])
     p.add_argument("--fixtures", help="directory of driver parquet tables (fixture bindings)")
     p.add_argument("--jdbc-url")
@@ -62,26 +62,26 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = configure(SparkSession.builder.appName(f"tidepool-{args.step}").getOrCreate())
     tables = args.tables.split(",") if args.tables else load_pipeline_config()["tables"]
-    batch_id = args.batch_id or pipeline.new_batch_id()
+    batch_id = args.batch_id or jobs.new_batch_id()
     out: dict = {"step": args.step, "batch_id": batch_id}
     failed = 0
     if args.step == "extract":
-        recs = pipeline.ingest(spark, _sources(spark, args, tables), args.root, batch_id, tables=tables,
+        recs = jobs.ingest(spark, _sources(spark, args, tables), args.root, batch_id, tables=tables,
                                validate=not args.no_validate, error_policy=args.error_policy, fmt=args.format,
                                publish_mode=args.publish_mode)
         out["records"], failed = recs, _failed(recs)
     elif args.step == "load":
-        recs = pipeline.load_staging(spark, args.root, tables, batch_id, args.format, args.error_policy,
+        recs = jobs.load_staging(spark, args.root, tables, batch_id, args.format, args.error_policy,
                                      publish_mode=args.publish_mode)
         out["records"], failed = recs, _failed(recs)
     elif args.step == "build":
-        out["models"] = pipeline.build_models(spark, args.root, args.calendar_start, args.calendar_days, args.as_of,
+        out["models"] = jobs.build_models(spark, args.root, args.calendar_start, args.calendar_days, args.as_of,
                                               publish_mode=args.publish_mode)
     elif args.step == "test":
-        rows = [r.asDict() for r in pipeline.run_tests(spark, args.root).collect()]   # 72 rows
+        rows = [r.asDict() for r in jobs.run_tests(spark, args.root).collect()]   # 72 rows
         out["tests"], failed = rows, sum(1 for r in rows if r["status"] != "PASS")
     else:
-        summary = pipeline.run_pipeline(spark, _sources(spark, args, tables), args.root, args.calendar_start,
+        summary = jobs.run_pipeline(spark, _sources(spark, args, tables), args.root, args.calendar_start,
                                         args.calendar_days, args.as_of, args.format, batch_id,
                                         publish_mode=args.publish_mode)
         out["summary"], failed = summary, int(summary["status"] != "SUCCESS")

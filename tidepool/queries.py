@@ -17,7 +17,7 @@ from tidepool import oracle
 from tidepool.config import load_rules, load_tests
 from tidepool.functions import date_key, surrogate_key
 from tidepool.operators import constraints, quality
-from tidepool.plans import dims, marts, pipeline
+from tidepool.plans import dims, jobs, marts
 from tidepool.plans.models import (ALL_MODELS, FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START,
                                    fixture_models)
 from tidepool.schema import CONTRACTS, SOURCE_TABLES
@@ -374,12 +374,12 @@ def q_raw_roundtrip(spark, sf_dir):
     """Gate + publish transactions as CSV under the ingestion-date partition, then read it back."""
     configure(spark)
     root = scratch_path(spark, "raw_roundtrip")
-    recs = pipeline.ingest(spark, {"transactions": bind(spark, sf_dir, "transactions")}, root,
+    recs = jobs.ingest(spark, {"transactions": bind(spark, sf_dir, "transactions")}, root,
                            batch_id="20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
     assert recs[0]["status"] == "SUCCESS", recs[0]
     cols = CONTRACTS["transactions"].fieldNames() + ["year", "month", "day"]
     raw = (spark.read.schema(", ".join(f"`{c}` string" for c in cols)).options(**lake.CSV_READ)
-           .csv(pipeline.published(spark, lake.table_path(root, "transactions"))))
+           .csv(jobs.published(spark, lake.table_path(root, "transactions"))))
     return raw.groupBy("year", "month", "day", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("total_price").cast("long")).alias("total"))
 
@@ -390,11 +390,11 @@ def q_snapshot_replace(spark, sf_dir):
     configure(spark)
     root = scratch_path(spark, "snapshot_replace")
     tx = bind(spark, sf_dir, "transactions")
-    first = pipeline.ingest(spark, {"transactions": tx}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
-    second = pipeline.ingest(spark, {"transactions": tx.where(F.col("source") == "treatment")}, root,
+    first = jobs.ingest(spark, {"transactions": tx}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
+    second = jobs.ingest(spark, {"transactions": tx.where(F.col("source") == "treatment")}, root,
                              "20260809_010000", ingest_date=INGEST_DATE)
     assert first[0]["status"] == second[0]["status"] == "SUCCESS", (first, second)
-    return spark.read.parquet(pipeline.published(spark, lake.table_path(root, "transactions"))).drop(
+    return spark.read.parquet(jobs.published(spark, lake.table_path(root, "transactions"))).drop(
         "year", "month", "day")
 
 
@@ -403,11 +403,11 @@ def q_csv_format_scan(spark, sf_dir):
     """Reviews (free text with quotes, commas) through the CSV lake and back to contract types."""
     configure(spark)
     root = scratch_path(spark, "csv_scan")
-    recs = pipeline.ingest(spark, {"reviews": bind(spark, sf_dir, "reviews")}, root, "20260809_023000",
+    recs = jobs.ingest(spark, {"reviews": bind(spark, sf_dir, "reviews")}, root, "20260809_023000",
                            fmt="csv", ingest_date=INGEST_DATE)
     assert recs[0]["status"] == "SUCCESS", recs[0]
     contract = CONTRACTS["reviews"]
-    raw = pipeline.published(spark, lake.table_path(root, "reviews"))
+    raw = jobs.published(spark, lake.table_path(root, "reviews"))
     return apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
 
 
@@ -416,11 +416,11 @@ def q_stage_load(spark, sf_dir):
     """completed_items: CSV lake -> positional ANSI cast -> staging table."""
     configure(spark)
     root = scratch_path(spark, "stage_load")
-    pipeline.ingest(spark, {"completed_items": bind(spark, sf_dir, "completed_items")}, root, "20260809_023000",
+    jobs.ingest(spark, {"completed_items": bind(spark, sf_dir, "completed_items")}, root, "20260809_023000",
                     fmt="csv", ingest_date=INGEST_DATE)
-    recs = pipeline.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
+    recs = jobs.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
     assert recs[0]["status"] == "SUCCESS", recs[0]
-    return spark.read.parquet(pipeline.published(spark, pipeline.staging_path(root, "completed_items")))
+    return spark.read.parquet(jobs.published(spark, jobs.staging_path(root, "completed_items")))
 
 
 def _audit_frame(spark, root):
@@ -435,8 +435,8 @@ def q_load_verify(spark, sf_dir):
     configure(spark)
     root = scratch_path(spark, "load_verify")
     sources = {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}
-    pipeline.ingest(spark, sources, root, "20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
-    pipeline.load_staging(spark, root, SOURCE_TABLES, "20260809_023000", fmt="csv")
+    jobs.ingest(spark, sources, root, "20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
+    jobs.load_staging(spark, root, SOURCE_TABLES, "20260809_023000", fmt="csv")
     a = _audit_frame(spark, root)
     return a.groupBy(F.col("source_table").alias("table_name")).agg(
         F.max(F.when(F.col("job") == "extract", F.col("rows_extracted"))).alias("source_rows"),
@@ -473,7 +473,7 @@ def q_batch_audit(spark, sf_dir):
     root = scratch_path(spark, "batch_audit")
     sources = {t: bind(spark, sf_dir, t) for t in AUDIT_TABLES}
     sources[FAILING_FEED] = _bad_products(sources[FAILING_FEED])
-    pipeline.ingest(spark, sources, root, "20260809_023000", ingest_date=INGEST_DATE)
+    jobs.ingest(spark, sources, root, "20260809_023000", ingest_date=INGEST_DATE)
     return _audit_frame(spark, root).select("source_table", "status", "rows_extracted", "rows_loaded")
 
 
@@ -483,11 +483,11 @@ def q_gate_publish(spark, sf_dir):
     configure(spark)
     root = scratch_path(spark, "gate_publish")
     clean = bind(spark, sf_dir, "spa_products")
-    ok = pipeline.ingest(spark, {"spa_products": clean}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
-    bad = pipeline.ingest(spark, {"spa_products": _bad_products(clean)}, root, "20260809_010000",
+    ok = jobs.ingest(spark, {"spa_products": clean}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
+    bad = jobs.ingest(spark, {"spa_products": _bad_products(clean)}, root, "20260809_010000",
                           ingest_date=INGEST_DATE)
     assert ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad)
-    return spark.read.parquet(pipeline.published(spark, lake.table_path(root, "spa_products"))).drop(
+    return spark.read.parquet(jobs.published(spark, lake.table_path(root, "spa_products"))).drop(
         "year", "month", "day")
 
 
@@ -496,13 +496,13 @@ def q_gate_publish(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-@register("q_pipeline_run", oracle.compose(
+@register("q_end_to_end_run", oracle.compose(
     f"SELECT model, column_name, test, failing_rows, status FROM (\n{oracle.suite_sql(SUITE)}\n) t"))
-def q_pipeline_run(spark, sf_dir):
+def q_end_to_end_run(spark, sf_dir):
     """ingest -> staging load -> model build (written tables) -> constraint suite, read back."""
     configure(spark)
-    root = scratch_path(spark, "pipeline")
-    summary = pipeline.run_pipeline(spark, {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}, root,
+    root = scratch_path(spark, "end_to_end")
+    summary = jobs.run_pipeline(spark, {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}, root,
                                     FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF,
                                     batch_id="20260809_023000")
     assert summary["status"] in ("SUCCESS", "TESTS_FAILED"), summary.get("status")

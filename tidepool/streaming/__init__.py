@@ -3,5 +3,5 @@
 The pipeline this library re-implements has no streaming part: every
 table is a full snapshot loaded by a daily batch (watermarks, windows and
 streaming state have nothing to model). All jobs here are bounded batch
-jobs; ``tidepool.plans.pipeline.run_pipeline`` is the scheduled unit.
+jobs; ``tidepool.plans.jobs.run_pipeline`` is the scheduled unit.
 """
