@@ -154,3 +154,11 @@ def test_operations_mart_keyed_equals_joined(spark):
     a, b = fast["mart_operations_booking"], exact["mart_operations_booking"]
     assert a.count() == b.count() == 1017
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_suite_unique_treats_signed_zero_as_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.5,)], "x double")
+    got = constraints.run_suite(spark, {"m": df}, [("", "m", "x", "unique", None)]).first()
+    assert got.failing_rows == 2
+    one = constraints.model_tests(df, "m", [("x", "unique", None)]).first()
+    assert one.failing_rows == 2

@@ -30,6 +30,16 @@ SUITE_SCHEMA = T.StructType([
 ])
 
 
+def _as_key(df: DataFrame, c: str):
+    """The tested value as text for grouping. Text equality must match SQL
+    equality: -0.0 and 0.0 are one value (session time zone is pinned to UTC, so
+    timestamps render injectively)."""
+    col = F.col(c)
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        col = F.when(col == 0, F.lit(0.0)).otherwise(col)
+    return col.cast("string")
+
+
 def model_tests(df: DataFrame, model: str, tests: list[tuple[str, str, list | None]]) -> DataFrame:
     """Run ``tests`` = [(column, test, values)] over one model -> suite rows."""
     row_level = [(i, c, t, v) for i, (c, t, v) in enumerate(tests) if t in ("not_null", "accepted_values")]
@@ -45,7 +55,7 @@ def model_tests(df: DataFrame, model: str, tests: list[tuple[str, str, list | No
     carrier = F.struct(F.lit(-1).alias("t"), F.lit(None).cast("string").alias("v"),
                        *[e.alias(k) for k, e in ind.items()])
     items = [carrier] + [
-        F.struct(F.lit(i).alias("t"), F.col(c).cast("string").alias("v"), *zeros) for i, c in uniq]
+        F.struct(F.lit(i).alias("t"), _as_key(df, c).alias("v"), *zeros) for i, c in uniq]
     exploded = df.select(F.inline(F.array(*items))).where((F.col("t") < 0) | F.col("v").isNotNull())
     grouped = exploded.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in ind])
     folded = grouped.agg(
@@ -87,7 +97,7 @@ def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds
             _m, c, t, values = tests[g]
             col = F.col(c)
             if t == "unique":
-                items.append(F.struct(F.lit(g).alias("g"), col.cast("string").alias("v"),
+                items.append(F.struct(F.lit(g).alias("g"), _as_key(frames[m], c).alias("v"),
                                       F.lit(0).cast("long").alias("bad")))
             else:
                 bad = col.isNull() if t == "not_null" else (col.isNotNull() & ~col.isin(list(values)))
