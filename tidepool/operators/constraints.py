@@ -104,8 +104,12 @@ def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds
                 items.append(F.struct(F.lit(g).alias("g"), F.lit(None).cast("string").alias("v"),
                                       F.when(bad, 1).otherwise(0).cast("long").alias("bad")))
         parts.append(frames[m].select(F.inline(F.array(*items))))
-    items = parts[0]
-    for p in parts[1:]:
+    # one neutral item per test (NULL value, no violation): a test over an empty
+    # model still yields its row, with 0 failing rows
+    seeds = spark.range(len(tests)).select(F.col("id").cast("int").alias("g"),
+                                           F.lit(None).cast("string").alias("v"), F.lit(0).cast("long").alias("bad"))
+    items = seeds
+    for p in parts:
         items = items.unionByName(p)
 
     unique_ids = [g for g, (_m, _c, t, _v) in enumerate(tests) if t == "unique"]
