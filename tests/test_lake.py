@@ -133,3 +133,18 @@ def test_cli_extract_and_load(spark, workdir):
     served = spark.read.parquet(jobs.published(spark, jobs.staging_path(workdir, "members")))
     assert served.count() == 50
     assert cli.main(["load", "--root", workdir, "--tables", "reviews", "--batch-id", "c1"]) == 1   # never extracted
+
+
+def test_pipeline_with_an_empty_feed(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tidepool.schema import SOURCE_TABLES
+    from tidepool.sources.bindings import bind
+    sources = {t: bind(spark, "/root/testdata/sf0.001", t) for t in SOURCE_TABLES}
+    sources["members"] = sources["members"].where(F.lit(False))          # a feed with no rows today
+    summary = jobs.run_pipeline(spark, sources, workdir, None, None, "2002-01-01", batch_id="e")
+    assert all(r["status"] == "SUCCESS" for r in summary["extract"] + summary["load"])
+    dim = spark.read.parquet(jobs.published(spark, jobs.model_path(workdir, "dim_customer")))
+    assert dim.count() == 147 and dim.where("is_member").count() == 0
+    suite = {(r.model, r.column_name, r.test): r.status for r in spark.read.parquet(summary["tests_path"]).collect()}
+    assert len(suite) == 72 and suite[("members", "id", "unique")] == "PASS"

@@ -88,9 +88,22 @@ def _write_observed(df: DataFrame, writer) -> int:
 
 
 def _read_raw(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
+    """Read back a batch we just wrote, with the schema we wrote it with (so an
+    empty batch - no data files at all - reads as an empty frame)."""
     if fmt == "csv":
         return apply_contract(lake.read_csv_text(spark, path, schema.fieldNames()), schema)
-    return spark.read.parquet(path).drop("year", "month", "day")
+    return spark.read.schema(schema).parquet(path).drop("year", "month", "day")
+
+
+def _read_parquet_snapshot(spark: SparkSession, path: str, contract) -> DataFrame:
+    """A published parquet snapshot; one without data files (an empty feed) reads
+    as an empty frame of the contract."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as exc:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        return spark.createDataFrame([], contract)
 
 
 def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str, batch_id: str,
@@ -174,7 +187,7 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
         if fmt == "csv":
             typed = apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract, variants)
         else:
-            src = spark.read.parquet(raw).select(*contract.fieldNames())
+            src = _read_parquet_snapshot(spark, raw, contract).select(*contract.fieldNames())
             typed = apply_contract(src, contract, variants)
         typed.write.mode("errorifexists").parquet(staged)
         _publish(spark, staged, target, publish_mode)
