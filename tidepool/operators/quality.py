@@ -71,12 +71,45 @@ def _missing(c: str) -> Column:
     return F.lit(f"column {c} missing")
 
 
-def gate(df: DataFrame, table: str, rules: dict | None, source=None) -> DataFrame:
+def indicators(df: DataFrame, rules: dict | None) -> dict[str, Column]:
+    """Per-row 0/1 violation flags of the row-level rules (not_null, min_value,
+    accepted_values), keyed by metric name. Summing them gives the bad-row counts;
+    they can be summed by the gate's own pass or observed during the batch write."""
+    if not rules:
+        return {}
+    present = set(df.columns)
+    not_null = [c for c in rules.get("not_null", []) or [] if c in present]
+    ind: dict[str, Column] = {}
+    for i, c in enumerate(not_null):
+        bad = F.col(c).isNull() | (F.isnan(F.col(c)) if _is_float(df, c) else F.lit(False))
+        ind[f"_nn{i}"] = bad
+    for j, rule in enumerate(list(rules.get("checks", []) or [])):
+        rtype, c = rule.get("type"), rule.get("column")
+        if c not in present or rtype not in ("min_value", "accepted_values"):
+            continue
+        value_ok = F.col(c).isNotNull() & (~F.isnan(F.col(c)) if _is_float(df, c) else F.lit(True))
+        if rtype == "min_value":
+            ind[f"_r{j}"] = value_ok & (F.col(c) < F.lit(rule["min"]))
+        else:
+            ind[f"_r{j}"] = value_ok & ~F.col(c).isin(list(rule["values"]))
+    return {k: F.when(e, 1).otherwise(0).cast("long") for k, e in ind.items()}
+
+
+def observed_metrics(df: DataFrame, rules: dict | None) -> list[Column]:
+    """Aggregate expressions for ``DataFrame.observe``: the row-level bad-row sums."""
+    return [F.sum(e).alias(k) for k, e in indicators(df, rules).items()]
+
+
+def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: dict | None = None) -> DataFrame:
     """Check rows for one batch.
 
     ``source`` is the source-side row count: an int (already known), a
     DataFrame (counted in the same job), or None (the batch is its own
     source, e.g. a file-only feed).
+
+    ``observed`` holds the row-level bad-row sums already collected while the
+    batch was written (``observed_metrics``); the gate's own pass then reads
+    only the key columns (row count, duplicates).
     """
     spark = df.sparkSession
     if not rules:
@@ -88,25 +121,15 @@ def gate(df: DataFrame, table: str, rules: dict | None, source=None) -> DataFram
     missing_keys = [c for c in unique if c not in present]
     if missing_keys:
         raise GateError(f"unique columns {missing_keys} not in batch")
-
-    # ---- per-row 0/1 indicators ------------------------------------------
-    ind: dict[str, Column] = {}
-    for i, c in enumerate(not_null):
-        bad = F.col(c).isNull() | (F.isnan(F.col(c)) if _is_float(df, c) else F.lit(False))
-        ind[f"_nn{i}"] = bad
     rule_checks = list(rules.get("checks", []) or [])
-    for j, rule in enumerate(rule_checks):
-        rtype, c = rule.get("type"), rule.get("column")
-        if c not in present or rtype not in ("min_value", "accepted_values"):
-            continue
-        value_ok = F.col(c).isNotNull() & (~F.isnan(F.col(c)) if _is_float(df, c) else F.lit(True))
-        if rtype == "min_value":
-            ind[f"_r{j}"] = value_ok & (F.col(c) < F.lit(rule["min"]))
-        else:
-            ind[f"_r{j}"] = value_ok & ~F.col(c).isin(list(rule["values"]))
 
-    rows = df.select(*[F.col(c) for c in unique], F.lit(0).alias("_side"),
-                     *[F.when(e, 1).otherwise(0).cast("long").alias(k) for k, e in ind.items()])
+    # ---- per-row 0/1 indicators (unless observed during the write) ---------
+    all_ind = indicators(df, rules)
+    ind = {} if observed is not None else all_ind
+    fixed = {k: F.lit(int(observed.get(k) or 0)).cast("long").alias(k) for k in all_ind} if observed is not None \
+        else {}
+
+    rows = df.select(*[F.col(c) for c in unique], F.lit(0).alias("_side"), *[e.alias(k) for k, e in ind.items()])
     if isinstance(source, DataFrame):
         key_types = {f.name: f.dataType for f in df.schema.fields}
         rows = rows.unionByName(source.select(
@@ -128,6 +151,9 @@ def gate(df: DataFrame, table: str, rules: dict | None, source=None) -> DataFram
             F.lit(0).cast("long").alias("dup_groups"),
             *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ind])
 
+    if fixed:
+        metrics = metrics.select("*", *fixed.values())
+
     n_rows = F.col("n_rows")
     if isinstance(source, DataFrame):
         n_source = F.col("n_source")

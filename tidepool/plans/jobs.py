@@ -80,11 +80,13 @@ def published(spark: SparkSession, target: str) -> str:
     return fs.resolve(spark, target)
 
 
-def _write_observed(df: DataFrame, writer) -> int:
-    """Run ``writer(df')`` and return the number of rows it wrote (no extra pass)."""
+def _write_observed(df: DataFrame, writer, metrics=()) -> dict:
+    """Run ``writer(df')``; return the rows it wrote (``_rows``) and the given
+    aggregate ``metrics``, all observed on the written rows (no extra pass; only
+    successful task attempts count)."""
     obs = Observation()
-    writer(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get["rows"])
+    writer(df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics))
+    return dict(obs.get)
 
 
 def _read_raw(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
@@ -116,11 +118,16 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
     staged = _stage_dir(root, "raw", table, target, publish_mode, batch_id)
     try:
         source_count = source.count()                                   # S2
-        written = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt))  # S1 + S5
+        # S1 + S5: one pass writes the batch and sums the row-level rule violations
+        # of the extracted rows (what the original gate saw before serialising)
+        observed = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt),
+                                   quality.observed_metrics(source, rules) if validate else ())
+        written = int(observed["_rows"])
         batch = _read_raw(spark, staged, fmt, source.schema)
         validation = {"overall": quality.SKIPPED, "checks": []}
-        if validate:
-            overall, checks = quality.verdict(quality.gate(batch, table, rules, source=source_count), rules)
+        if validate:   # the gate's own pass reads only the key columns of the written batch
+            checks_df = quality.gate(batch, table, rules, source=source_count, observed=observed)
+            overall, checks = quality.verdict(checks_df, rules)
             validation = {"overall": overall, "checks": checks}
         record["validation"] = validation
         if validation["overall"] == quality.FAIL:
