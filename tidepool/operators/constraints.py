@@ -106,7 +106,7 @@ def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds
         parts.append(frames[m].select(F.inline(F.array(*items))))
     # one neutral item per test (NULL value, no violation): a test over an empty
     # model still yields its row, with 0 failing rows
-    seeds = spark.range(len(tests)).select(F.col("id").cast("int").alias("g"),
+    seeds = spark.range(0, len(tests), 1, 1).select(F.col("id").cast("int").alias("g"),
                                            F.lit(None).cast("string").alias("v"), F.lit(0).cast("long").alias("bad"))
     items = seeds
     for p in parts:
