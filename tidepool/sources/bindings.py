@@ -271,8 +271,3 @@ class LazyBindings(Mapping):
 
 def bind_all(spark: SparkSession, sf_dir: str, tables=None) -> Mapping[str, DataFrame]:
     return LazyBindings(spark, sf_dir, tables)
-
-
-def sql_ctes(tables) -> list[str]:
-    """``name AS (...)`` CTE bodies for the oracle."""
-    return [f"{t} AS (\n{BINDINGS[t].sql()}\n)" for t in tables]

@@ -82,14 +82,3 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str], recursive:
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     return apply_null_rules(r.csv(path))
-
-
-def read_parquet_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                          with_partitions: bool = False) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        if with_partitions:
-            schema = T.StructType(schema.fields + [T.StructField(k, T.StringType()) for k in ("year", "month", "day")])
-        r = r.schema(schema)
-    df = r.parquet(path)
-    return df if with_partitions or schema is not None else df.drop("year", "month", "day")
