@@ -30,7 +30,7 @@ def test_unique_gate_vs_suite_nulls(spark):
     df = spark.createDataFrame([(None,), (None,), (1,)], "id long")
     gate = [r for r in quality.gate(df, "t", {"unique": ["id"]}).collect() if r.check_name == "unique"][0]
     assert gate.status == "FAIL"
-    suite = constraints.model_tests(df, "t", [("id", "unique", None)]).collect()[0]
+    suite = constraints.run_suite(spark, {"t": df}, [("", "t", "id", "unique", None)]).collect()[0]
     assert suite.failing_rows == 0 and suite.status == "PASS"
 
 
@@ -73,8 +73,8 @@ def test_outside_calendar_gets_null_date(spark):
     dd = dims.dim_date(spark, "2020-01-01", 3650)
     row = marts.mart_revenue_daily(fact, dd, 3650).collect()[0]
     assert row.transaction_date is None
-    suite = constraints.model_tests(marts.mart_revenue_daily(fact, dd, 3650), "m",
-                                    [("transaction_date", "not_null", None)]).collect()[0]
+    suite = constraints.run_suite(spark, {"m": marts.mart_revenue_daily(fact, dd, 3650)},
+                                  [("", "m", "transaction_date", "not_null", None)]).collect()[0]
     assert suite.status == "FAIL"
 
 
@@ -105,7 +105,8 @@ def test_members_fan_out(spark):
                                     "id string, phone string, joined_date timestamp, total_visits long")
     dc = dims.dim_customer(bg, tx, members)
     assert dc.count() == 2
-    r = constraints.model_tests(dc, "dim_customer", [("customer_phone", "unique", None)]).collect()[0]
+    r = constraints.run_suite(spark, {"dim_customer": dc}, [("", "dim_customer", "customer_phone", "unique", None)]) \
+        .collect()[0]
     assert r.status == "FAIL" and r.failing_rows == 2
 
 
@@ -160,5 +161,3 @@ def test_suite_unique_treats_signed_zero_as_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (1.5,)], "x double")
     got = constraints.run_suite(spark, {"m": df}, [("", "m", "x", "unique", None)]).first()
     assert got.failing_rows == 2
-    one = constraints.model_tests(df, "m", [("x", "unique", None)]).first()
-    assert one.failing_rows == 2

@@ -6,11 +6,11 @@ Semantics, per failing *row*:
                   ignored, unlike the pre-publish gate where NULL == NULL);
   accepted_values rows whose non-NULL value is outside the list.
 
-All tests of one model run as ONE job with ONE shuffle: each row emits a
-carrier item with its 0/1 row-level indicators plus one (test, value) item
-per unique-tested column; a single ``groupBy(test, value)`` (partial
-aggregation first, so a hot value or the carrier group combines map-side)
-yields duplicate counts and indicator sums, which fold into one row.
+The whole suite runs as ONE job (``run_suite``): every model contributes
+uniform (test, value, flag) items to one union, a single ``groupBy(test,
+value)`` (partial aggregation first, so a hot value or a row-level test's
+items combine map-side) yields duplicate counts and flag sums, and a second
+tiny ``groupBy(test)`` folds them into one row per test.
 """
 
 from __future__ import annotations
@@ -40,38 +40,6 @@ def _as_key(df: DataFrame, c: str):
     return col.cast("string")
 
 
-def model_tests(df: DataFrame, model: str, tests: list[tuple[str, str, list | None]]) -> DataFrame:
-    """Run ``tests`` = [(column, test, values)] over one model -> suite rows."""
-    row_level = [(i, c, t, v) for i, (c, t, v) in enumerate(tests) if t in ("not_null", "accepted_values")]
-    uniq = [(i, c) for i, (c, t, _) in enumerate(tests) if t == "unique"]
-
-    ind = {}
-    for i, c, t, v in row_level:
-        col = F.col(c)
-        bad = col.isNull() if t == "not_null" else (col.isNotNull() & ~col.isin(list(v)))
-        ind[f"_t{i}"] = F.when(bad, 1).otherwise(0).cast("long")
-
-    zeros = [F.lit(0).cast("long").alias(k) for k in ind]
-    carrier = F.struct(F.lit(-1).alias("t"), F.lit(None).cast("string").alias("v"),
-                       *[e.alias(k) for k, e in ind.items()])
-    items = [carrier] + [
-        F.struct(F.lit(i).alias("t"), _as_key(df, c).alias("v"), *zeros) for i, c in uniq]
-    exploded = df.select(F.inline(F.array(*items))).where((F.col("t") < 0) | F.col("v").isNotNull())
-    grouped = exploded.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in ind])
-    folded = grouped.agg(
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ind],
-        *[F.coalesce(F.sum(F.when((F.col("t") == i) & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias(f"_t{i}")
-          for i, _ in uniq])
-
-    rows = []
-    for i, (c, t, _) in enumerate(tests):
-        n = F.col(f"_t{i}").cast("long")
-        rows.append(F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(t).alias("test"),
-                             n.alias("failing_rows"),
-                             F.when(n == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status")))
-    return folded.select(F.inline(F.array(*rows)))
-
-
 def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds=None) -> DataFrame:
     """The whole suite as ONE job with two small shuffles.
 

@@ -215,7 +215,8 @@ NOT_NULL_PROBE = ["customer_phone", "discount_amount", "id"]
 def q_check_not_null(spark, sf_dir):
     configure(spark)
     t = bind(spark, sf_dir, "transactions")
-    return constraints.model_tests(t, "transactions", [(c, "not_null", None) for c in NOT_NULL_PROBE]).select(
+    specs = [("", "transactions", c, "not_null", None) for c in NOT_NULL_PROBE]
+    return constraints.run_suite(spark, {"transactions": t}, specs).select(
         "column_name", F.col("failing_rows").alias("null_rows"), "status")
 
 
