@@ -1,10 +1,15 @@
 """Session defaults and the shared work folder.
 
-The pipeline depends on three session settings for correct results:
+The pipeline depends on these session settings:
 UTC session time zone (date keys are taken from timestamps), ANSI mode
 (a bad value must abort a staging load, and integer overflow must raise),
-and adaptive execution (runtime broadcast decisions on measured sizes,
-skew-join splitting, partition coalescing).
+and adaptive execution (skew-join splitting, partition coalescing).
+
+Broadcast policy: a join side is broadcast only when its size is known -
+either proven by construction (explicit hints, e.g. the calendar, see
+``operators/joins.py``) or measured at runtime by AQE on the materialised
+shuffle output. The static planner's estimate from file sizes (compressed
+bytes, not what the side occupies in memory) is not used.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",                       # no estimate-based broadcasts
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),   # measured at runtime
 }
 
 
