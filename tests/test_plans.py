@@ -94,3 +94,15 @@ def test_gate_is_single_pass(spark):
     plan = _plan(quality.gate(df, "t", rules))
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1   # the batch is read once
     assert plan.count("Exchange") == 2   # keys, then the single-row fold
+
+
+def test_broadcasts_come_from_measured_sizes(spark):
+    """No estimate-based broadcast in the initial plan; AQE broadcasts the members side
+    of dim_customer only after measuring it."""
+    df = E.queries()["q_dim_customer"](spark, SF)
+    initial = _plan(df)
+    assert "SortMergeJoin" in initial and "BroadcastHashJoin" not in initial
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
