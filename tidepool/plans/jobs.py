@@ -2,8 +2,9 @@
 
 Each table is processed as its own set of Spark jobs; only per-table
 metric rows (counts, check rows) reach the driver. Every write goes to a
-fresh staged folder first and is published by rename, so a failed gate or
-a failed cast leaves the previous snapshot intact.
+fresh staged folder first and is published by rename (or by swapping a
+``_CURRENT`` pointer on object stores), so a failed gate or a failed cast
+leaves the previous snapshot intact.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ aggregate combines map-side, so a hot key (one date, one customer, one
 treatment holding a third of the rows) collapses to one partial row per
 map task before the shuffle. Dimension lookups then join the small
 aggregate. The calendar join is a broadcast whose size is bounded by the
-calendar length parameter, not by the data.
+calendar window's day count (a parameter, or the years the facts cover),
+never by the number of fact rows.
 """
 
 from __future__ import annotations

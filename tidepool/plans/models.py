@@ -2,9 +2,10 @@
 
 ``Models`` builds each model lazily once and reuses the same DataFrame for
 every consumer, so a mart and the constraint suite share one plan per
-model. ``materialize`` writes a model to the shared folder and continues
-from the written copy, which cuts lineage between layers (the reference
-materialises every model as a table).
+model. ``replace`` swaps in a written copy: ``jobs.build_models`` writes
+each layer to the shared folder and continues from the written tables,
+which cuts lineage between layers (the original pipeline materialises
+every model as a table).
 """
 
 from __future__ import annotations
