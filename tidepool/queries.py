@@ -508,3 +508,23 @@ def q_end_to_end_run(spark, sf_dir):
                                     batch_id="20260809_023000")
     assert summary["status"] in ("SUCCESS", "TESTS_FAILED"), summary.get("status")
     return spark.read.parquet(summary["tests_path"])
+
+
+def _extract_checks_oracle() -> str:
+    checks = _gate_oracle([(t, t, RULES[t], None) for t in SOURCE_TABLES])
+    return f"SELECT table_name, check_order, check_name, status, detail FROM (\n{checks}\n) g"
+
+
+@register("q_extract_checks", _extract_checks_oracle())
+def q_extract_checks(spark, sf_dir):
+    """The gate as the extract job runs it (row-level sums observed during the batch
+    write, key checks on the written batch), read back from the audit records."""
+    configure(spark)
+    root = scratch_path(spark, "extract_checks")
+    jobs.ingest(spark, {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}, root, "20260809_023000",
+                ingest_date=INGEST_DATE)
+    a = _audit_frame(spark, root)
+    return a.select("source_table", F.posexplode("validation").alias("pos", "check")).select(
+        F.col("source_table").alias("table_name"), (F.col("pos") + 1).cast("int").alias("check_order"),
+        F.col("check.name").alias("check_name"), F.col("check.status").alias("status"),
+        F.col("check.detail").alias("detail"))
