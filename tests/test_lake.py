@@ -165,3 +165,25 @@ def test_gate_uses_extracted_values_and_reads_only_keys(spark, workdir):
     plan = quality.gate(batch, "p", rules, observed={"_nn0": 0, "_nn1": 0})._jdf.queryExecution() \
         .executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan, plan
+
+
+def test_publish_restores_old_snapshot_when_swap_fails(spark, workdir, monkeypatch):
+    import pytest
+    old = f"{workdir}/target"
+    spark.createDataFrame([(1,)], "id long").write.parquet(old)
+    staged = f"{workdir}/staged"
+    spark.createDataFrame([(2,)], "id long").write.parquet(staged)
+    real_rename = fs.rename
+    calls = {"n": 0}
+
+    def flaky(spark_, src, dst):
+        calls["n"] += 1
+        if calls["n"] == 2:                      # moving the new batch into place fails
+            raise OSError("simulated rename failure")
+        return real_rename(spark_, src, dst)
+
+    monkeypatch.setattr(fs, "rename", flaky)
+    with pytest.raises(OSError):
+        fs.publish(spark, staged, old)
+    monkeypatch.setattr(fs, "rename", real_rename)
+    assert [r.id for r in spark.read.parquet(old).collect()] == [1]     # old snapshot back in place
