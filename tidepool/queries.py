@@ -63,6 +63,7 @@ for _m in ALL_MODELS:
 @register("q_surrogate_keys", oracle.compose(
     "SELECT id, md5(id) AS transaction_key, md5(customer_phone) AS customer_key FROM transactions"))
 def q_surrogate_keys(spark, sf_dir):
+    """MD5 surrogate keys of the transactions (NULL phone -> NULL customer key)."""
     configure(spark)
     t = bind(spark, sf_dir, "transactions")
     return t.select("id", surrogate_key("id").alias("transaction_key"),
@@ -75,6 +76,7 @@ def q_surrogate_keys(spark, sf_dir):
     "UNION ALL SELECT CAST(strftime(CAST(created_at AS DATE), '%Y%m%d') AS INTEGER) AS date_key "
     "FROM completed_items) k GROUP BY date_key"))
 def q_date_keys(spark, sf_dir):
+    """yyyyMMdd date keys of bookings and completed items, counted per key."""
     configure(spark)
     bl = bind(spark, sf_dir, "booking_logs").select(date_key("scheduled_date").alias("date_key"))
     ci = bind(spark, sf_dir, "completed_items").select(date_key("created_at").alias("date_key"))
@@ -83,12 +85,14 @@ def q_date_keys(spark, sf_dir):
 
 @register("q_customer_union", oracle.compose("SELECT * FROM customer_contacts"))
 def q_customer_union(spark, sf_dir):
+    """Every customer sighting - booking groups plus transactions (typed NULL email)."""
     configure(spark)
     return dims.customer_contacts(bind(spark, sf_dir, "booking_groups"), bind(spark, sf_dir, "transactions"))
 
 
 @register("q_customer_latest", oracle.compose("SELECT * FROM latest_customers"))
 def q_customer_latest(spark, sf_dir):
+    """One row per phone, the latest sighting (NULLs first, deterministic ties)."""
     configure(spark)
     return dims.latest_customers(dims.customer_contacts(bind(spark, sf_dir, "booking_groups"),
                                                         bind(spark, sf_dir, "transactions")))
@@ -96,16 +100,19 @@ def q_customer_latest(spark, sf_dir):
 
 @register("q_customer_agg", oracle.compose("SELECT * FROM customer_agg"))
 def q_customer_agg(spark, sf_dir):
+    """A2: per-customer transaction aggregate (partial/final hash aggregate)."""
     return marts.customer_agg(_models(spark, sf_dir)["fact_transactions"])
 
 
 @register("q_item_sales", oracle.compose("SELECT * FROM item_sales"))
 def q_item_sales(spark, sf_dir):
+    """A3: per-item units and revenue after the NULL-key filter (treatments included)."""
     return marts.item_sales(_models(spark, sf_dir)["fact_completed_items"])
 
 
 @register("q_treatment_agg", oracle.compose("SELECT * FROM treatment_agg"))
 def q_treatment_agg(spark, sf_dir):
+    """A4: per-treatment conditional counts and sums."""
     return marts.treatment_agg(_models(spark, sf_dir)["fact_treatment_activities"])
 
 
@@ -176,6 +183,7 @@ def _summary_oracle() -> str:
 
 @register("q_gate_summary", _summary_oracle())
 def q_gate_summary(spark, sf_dir):
+    """Q11: per-table verdict and failed-check list for the probe gate and the eleven feeds."""
     return quality.overall(_gate_probe(spark, sf_dir).unionByName(_gate_all(spark, sf_dir)))
 
 
@@ -213,6 +221,7 @@ NOT_NULL_PROBE = ["customer_phone", "discount_amount", "id"]
                                              oracle.suite_sql([("", "transactions", c, "not_null", None)
                                                                for c in NOT_NULL_PROBE]) + "\n) q"))
 def q_check_not_null(spark, sf_dir):
+    """Q3 per column: NULL rows in three transaction columns."""
     configure(spark)
     t = bind(spark, sf_dir, "transactions")
     specs = [("", "transactions", c, "not_null", None) for c in NOT_NULL_PROBE]
@@ -244,6 +253,7 @@ def _plain_check_oracle(view, columns, rules, name, bad_alias):
 @register("q_check_unique", _plain_check_oracle("lineitem", _LINEITEM_COLS, _UNIQUE_RULES, "unique",
                                                 "duplicate_groups"))
 def q_check_unique(spark, sf_dir):
+    """Q4: composite-key duplicates in the line items (NULL equals NULL)."""
     return _single_check(spark, read_table(spark, sf_dir, "lineitem"), "lineitem", _UNIQUE_RULES, "unique",
                          "duplicate_groups")
 
@@ -251,6 +261,7 @@ def q_check_unique(spark, sf_dir):
 @register("q_check_min_value", _plain_check_oracle("customer", _CUSTOMER_COLS, _MIN_RULES, "min_value.c_acctbal",
                                                    "bad_rows"))
 def q_check_min_value(spark, sf_dir):
+    """Q5: account balances below zero."""
     return _single_check(spark, read_table(spark, sf_dir, "customer"), "customer", _MIN_RULES,
                          "min_value.c_acctbal", "bad_rows")
 
@@ -258,6 +269,7 @@ def q_check_min_value(spark, sf_dir):
 @register("q_check_accepted_values", _plain_check_oracle("transactions", CONTRACTS["transactions"].fieldNames(),
                                                          _ACCEPTED_RULES, "accepted_values.source", "bad_rows"))
 def q_check_accepted_values(spark, sf_dir):
+    """Q6: transaction sources outside the mart's list."""
     return _single_check(spark, bind(spark, sf_dir, "transactions"), "transactions", _ACCEPTED_RULES,
                          "accepted_values.source", "bad_rows")
 
@@ -305,6 +317,7 @@ _DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN", "t
 
 @register("q_scan_table", oracle.compose("SELECT * FROM booking_logs"))
 def q_scan_table(spark, sf_dir):
+    """Full scan of a feed, all columns in contract order."""
     configure(spark)
     return bind(spark, sf_dir, "booking_logs")
 
@@ -312,6 +325,7 @@ def q_scan_table(spark, sf_dir):
 @register("q_source_row_count", oracle.compose("\nUNION ALL\n".join(
     f"SELECT {oracle._lit(t)} AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}" for t in SOURCE_TABLES)))
 def q_source_row_count(spark, sf_dir):
+    """Row count of each of the eleven feeds."""
     configure(spark)
     return _union([bind(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
                    .select(F.lit(t).alias("table_name"), "row_count") for t in SOURCE_TABLES])
@@ -361,6 +375,7 @@ def _contract_oracle() -> str:
 
 @register("q_schema_contract", _contract_oracle())
 def q_schema_contract(spark, sf_dir):
+    """S3: per contract column, non-NULL text values that would not cast."""
     configure(spark)
     return contract_report(_contract_text(spark, sf_dir), CONTRACTS["completed_items"])
 
