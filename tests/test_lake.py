@@ -187,3 +187,9 @@ def test_publish_restores_old_snapshot_when_swap_fails(spark, workdir, monkeypat
         fs.publish(spark, staged, old)
     monkeypatch.setattr(fs, "rename", real_rename)
     assert [r.id for r in spark.read.parquet(old).collect()] == [1]     # old snapshot back in place
+
+
+def test_partition_column_clash_is_a_clear_failure(spark, workdir):
+    df = spark.createDataFrame([(1, 2024)], "id long, year long")
+    rec = jobs.ingest(spark, {"t": df}, workdir, "c1", rules={})[0]
+    assert rec["status"] == "FAILED" and "collide with the ingest-date partition columns" in rec["error_message"]

@@ -51,6 +51,9 @@ def partition_path_under(folder: str, ingest: dt.date) -> str:
 def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet") -> None:
     """Write one batch under ``path`` partitioned by its ingestion date."""
     p = partition_values(ingest)
+    clash = [c for c in df.columns if c.lower() in p]
+    if clash:
+        raise ValueError(f"source columns {clash} collide with the ingest-date partition columns year/month/day")
     out = df.select("*", *[F.lit(v).alias(k) for k, v in p.items()])
     w = out.write.mode("errorifexists").partitionBy("year", "month", "day")
     if fmt == "csv":
