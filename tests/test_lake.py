@@ -193,3 +193,9 @@ def test_partition_column_clash_is_a_clear_failure(spark, workdir):
     df = spark.createDataFrame([(1, 2024)], "id long, year long")
     rec = jobs.ingest(spark, {"t": df}, workdir, "c1", rules={})[0]
     assert rec["status"] == "FAILED" and "collide with the ingest-date partition columns" in rec["error_message"]
+
+
+def test_unknown_feed_fails_alone(spark, workdir):
+    df = spark.createDataFrame([(1,)], "id long")
+    recs = jobs.ingest(spark, {"a": df}, workdir, "u1", tables=["a", "ghost"], rules={})
+    assert [r["status"] for r in recs] == ["SUCCESS", "FAILED"] and "ghost" in recs[1]["error_message"]

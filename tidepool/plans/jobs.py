@@ -166,6 +166,9 @@ def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, bat
     rules = load_rules() if rules is None else rules
 
     def job(table: str) -> dict:
+        if table not in sources:   # an unknown feed fails on its own, like any source error
+            return audit.finish(audit.new_record("extract", EXTRACT_SYSTEM, table, batch_id), status="FAILED",
+                                error_message=f"no source configured for table {table!r}")
         return extract_table(spark, sources[table], table, root, batch_id, ingest_date, rules.get(table),
                              validate, fmt, keep_history, publish_mode)
 
