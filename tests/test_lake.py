@@ -199,3 +199,16 @@ def test_unknown_feed_fails_alone(spark, workdir):
     df = spark.createDataFrame([(1,)], "id long")
     recs = jobs.ingest(spark, {"a": df}, workdir, "u1", tables=["a", "ghost"], rules={})
     assert [r["status"] for r in recs] == ["SUCCESS", "FAILED"] and "ghost" in recs[1]["error_message"]
+
+
+def test_cli_profile_and_contract(capsys):
+    import json
+
+    from tidepool import cli
+    assert cli.main(["profile", "--tables", "site_settings,members", "--fixtures", "/root/testdata/sf0.001"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    got = {r["table_name"]: (r["row_count"], r["column_count"]) for r in out["profile"]}
+    assert got == {"site_settings": (5, 5), "members": (50, 10)}
+    assert cli.main(["contract", "--tables", "site_settings"]) == 0
+    ddl = json.loads(capsys.readouterr().out)["contracts"]["site_settings"]
+    assert ddl == "id string, key string, value string, description string, updated_at timestamp"

@@ -1,7 +1,9 @@
 """Command line: ``spark-submit tidepool/cli.py <step> ...`` or ``python -m tidepool <step> ...``.
 
 Steps mirror the scheduled pipeline: ``extract`` (R1), ``load`` (R2),
-``build`` (R3), ``test`` and ``run`` (R4). Sources are either the fixture
+``build`` (R3), ``test`` and ``run`` (R4); ``profile`` (rows, columns and
+NULL cells per source table) and ``contract`` (the staging contract each
+source table maps to, as Spark DDL) inspect the sources. Sources are either the fixture
 bindings over a directory of parquet tables (``--fixtures DIR``) or a JDBC
 database (``--jdbc-url`` with ``--jdbc-user`` / ``--jdbc-password``). The
 exit code is 1 when any table of the step did not succeed (or, for
@@ -34,14 +36,28 @@ def _sources(spark: SparkSession, args, tables: list[str]):
     raise SystemExit("give --fixtures DIR or --jdbc-url URL")
 
 
+def _contract_ddl(spark: SparkSession, args, table: str) -> str:
+    """The staging contract of ``table``: discovered from the live database's
+    information_schema (strict type map), else the declared contract."""
+    if args.jdbc_url:
+        from tidepool.sources import jdbc
+        props = {k: v for k, v in {"user": args.jdbc_user, "password": args.jdbc_password,
+                                   "driver": args.jdbc_driver}.items() if v}
+        schema = jdbc.discover_contract(spark, args.jdbc_url, table, props)
+    else:
+        from tidepool.schema import contract
+        schema = contract(table)
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _failed(records) -> int:
     return sum(1 for r in records if r["status"] != "SUCCESS")
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidepool", description=__doc__.splitlines()[0])
-    p.add_argument("step", choices=["extract", "load", "build", "test", "run"])
-    p.add_argument("--root", required=True, help="lake/warehouse root (shared file system or object store)")
+    p.add_argument("step", choices=["extract", "load", "build", "test", "run", "profile", "contract"])
+    p.add_argument("--root", help="lake/warehouse root (shared file system or object store)")
     p.add_argument("--tables", help="comma-separated feeds (default: all configured feeds)")
     p.add_argument("--batch-id", help="batch id (default: YYYYMMDD_HHMMSS)")
     p.add_argument("--no-validate", action="store_true", help="skip the quality gate on extract")
@@ -60,6 +76,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--as-of", default=FIXTURE_AS_OF, help="reference date for recency (default: fixture date)")
     args = p.parse_args(argv)
 
+    if args.step not in ("profile", "contract") and not args.root:
+        p.error("--root is required for this step")
     spark = configure(SparkSession.builder.appName(f"tidepool-{args.step}").getOrCreate())
     tables = args.tables.split(",") if args.tables else load_pipeline_config()["tables"]
     batch_id = args.batch_id or jobs.new_batch_id()
@@ -80,6 +98,11 @@ def main(argv: list[str] | None = None) -> int:
     elif args.step == "test":
         rows = [r.asDict() for r in jobs.run_tests(spark, args.root).collect()]   # 72 rows
         out["tests"], failed = rows, sum(1 for r in rows if r["status"] != "PASS")
+    elif args.step == "profile":
+        from tidepool.sources.profile import profile
+        out["profile"] = [r.asDict() for r in profile(_sources(spark, args, tables)).collect()]   # one row per table
+    elif args.step == "contract":
+        out["contracts"] = {t: _contract_ddl(spark, args, t) for t in tables}
     else:
         summary = jobs.run_pipeline(spark, _sources(spark, args, tables), args.root, args.calendar_start,
                                         args.calendar_days, args.as_of, args.format, batch_id,

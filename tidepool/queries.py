@@ -24,6 +24,7 @@ from tidepool.schema import CONTRACTS, SOURCE_TABLES
 from tidepool.session import configure, scratch_path
 from tidepool.sources import lake
 from tidepool.sources.bindings import BINDINGS, bind, bind_all, read_table
+from tidepool.sources.profile import profile
 from tidepool.sources.staging import apply_contract, contract_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -340,15 +341,9 @@ def _profile_sql(t: str) -> str:
 
 @register("q_source_profile", oracle.compose("\nUNION ALL\n".join(_profile_sql(t) for t in SOURCE_TABLES)))
 def q_source_profile(spark, sf_dir):
-    """Per table: rows, columns, NULL cells; one aggregate per table."""
+    """Per table rows, columns and NULL cells; one aggregate per table."""
     configure(spark)
-    parts = []
-    for t in SOURCE_TABLES:
-        df = bind(spark, sf_dir, t)
-        nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0).cast("long"))
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), nulls.cast("long").alias("null_cells")).select(
-            F.lit(t).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells"))
-    return _union(parts)
+    return profile({t: bind(spark, sf_dir, t) for t in SOURCE_TABLES})
 
 
 def _contract_text(spark, sf_dir):
