@@ -212,3 +212,19 @@ def test_cli_profile_and_contract(capsys):
     assert cli.main(["contract", "--tables", "site_settings"]) == 0
     ddl = json.loads(capsys.readouterr().out)["contracts"]["site_settings"]
     assert ddl == "id string, key string, value string, description string, updated_at timestamp"
+
+
+def test_cli_build_and_test_steps(spark, workdir, capsys):
+    import json
+
+    from tidepool import cli
+    args = ["--root", workdir, "--fixtures", "/root/testdata/sf0.001", "--batch-id", "s1"]
+    assert cli.main(["extract", *args]) == 0
+    assert cli.main(["load", *args]) == 0
+    assert cli.main(["build", *args]) == 0
+    capsys.readouterr()
+    assert cli.main(["test", *args]) == 1                       # the two expected constraint failures at sf0.001
+    tests = json.loads(capsys.readouterr().out)["tests"]
+    failed = sorted((t["model"], t["column_name"], t["test"]) for t in tests if t["status"] != "PASS")
+    assert len(tests) == 72 and failed == [("fact_transactions", "customer_key", "not_null"),
+                                           ("mart_revenue_daily", "source", "accepted_values")]
