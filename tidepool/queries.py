@@ -28,6 +28,12 @@ from tidepool.sources.profile import profile
 from tidepool.sources.staging import apply_contract, contract_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _require(ok: bool, context) -> None:
+    """Stop a write-path query whose job did not end as expected (never silently)."""
+    if not ok:
+        raise RuntimeError(f"job did not end as expected: {context}")
 ORACLE: dict[str, str] = {}
 
 
@@ -387,7 +393,7 @@ def q_raw_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "raw_roundtrip")
     recs = jobs.ingest(spark, {"transactions": bind(spark, sf_dir, "transactions")}, root,
                            batch_id="20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
-    assert recs[0]["status"] == "SUCCESS", recs[0]
+    _require(recs[0]["status"] == "SUCCESS", recs[0])
     cols = CONTRACTS["transactions"].fieldNames() + ["year", "month", "day"]
     raw = (spark.read.schema(", ".join(f"`{c}` string" for c in cols)).options(**lake.CSV_READ)
            .csv(jobs.published(spark, lake.table_path(root, "transactions"))))
@@ -404,7 +410,7 @@ def q_snapshot_replace(spark, sf_dir):
     first = jobs.ingest(spark, {"transactions": tx}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
     second = jobs.ingest(spark, {"transactions": tx.where(F.col("source") == "treatment")}, root,
                              "20260809_010000", ingest_date=INGEST_DATE)
-    assert first[0]["status"] == second[0]["status"] == "SUCCESS", (first, second)
+    _require(first[0]["status"] == second[0]["status"] == "SUCCESS", (first, second))
     return spark.read.parquet(jobs.published(spark, lake.table_path(root, "transactions"))).drop(
         "year", "month", "day")
 
@@ -416,7 +422,7 @@ def q_csv_format_scan(spark, sf_dir):
     root = scratch_path(spark, "csv_scan")
     recs = jobs.ingest(spark, {"reviews": bind(spark, sf_dir, "reviews")}, root, "20260809_023000",
                            fmt="csv", ingest_date=INGEST_DATE)
-    assert recs[0]["status"] == "SUCCESS", recs[0]
+    _require(recs[0]["status"] == "SUCCESS", recs[0])
     contract = CONTRACTS["reviews"]
     raw = jobs.published(spark, lake.table_path(root, "reviews"))
     return apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
@@ -430,7 +436,7 @@ def q_stage_load(spark, sf_dir):
     jobs.ingest(spark, {"completed_items": bind(spark, sf_dir, "completed_items")}, root, "20260809_023000",
                     fmt="csv", ingest_date=INGEST_DATE)
     recs = jobs.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
-    assert recs[0]["status"] == "SUCCESS", recs[0]
+    _require(recs[0]["status"] == "SUCCESS", recs[0])
     return spark.read.parquet(jobs.published(spark, jobs.staging_path(root, "completed_items")))
 
 
@@ -497,7 +503,7 @@ def q_gate_publish(spark, sf_dir):
     ok = jobs.ingest(spark, {"spa_products": clean}, root, "20260808_010000", ingest_date=_dt.date(2026, 8, 8))
     bad = jobs.ingest(spark, {"spa_products": _bad_products(clean)}, root, "20260809_010000",
                           ingest_date=INGEST_DATE)
-    assert ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad)
+    _require(ok[0]["status"] == "SUCCESS" and bad[0]["status"] == "VALIDATION_FAILED", (ok, bad))
     return spark.read.parquet(jobs.published(spark, lake.table_path(root, "spa_products"))).drop(
         "year", "month", "day")
 
@@ -516,7 +522,7 @@ def q_end_to_end_run(spark, sf_dir):
     summary = jobs.run_pipeline(spark, {t: bind(spark, sf_dir, t) for t in SOURCE_TABLES}, root,
                                     FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF,
                                     batch_id="20260809_023000")
-    assert summary["status"] in ("SUCCESS", "TESTS_FAILED"), summary.get("status")
+    _require(summary["status"] in ("SUCCESS", "TESTS_FAILED"), summary.get("status"))
     return spark.read.parquet(summary["tests_path"])
 
 
