@@ -161,3 +161,18 @@ def test_suite_unique_treats_signed_zero_as_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (1.5,)], "x double")
     got = constraints.run_suite(spark, {"m": df}, [("", "m", "x", "unique", None)]).first()
     assert got.failing_rows == 2
+
+
+def test_date_keys_use_the_pinned_utc_zone(spark):
+    """H6: date keys come from UTC calendar days, whatever zone the session had."""
+    from tidepool.functions import date_key
+    from tidepool.session import configure
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+        configure(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        df = spark.createDataFrame([("2024-01-01 23:30:00",)], "ts string").select(F.col("ts").cast("timestamp").alias("ts"))
+        assert df.select(date_key("ts").alias("k")).first().k == 20240101
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
