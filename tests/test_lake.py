@@ -228,3 +228,16 @@ def test_cli_build_and_test_steps(spark, workdir, capsys):
     failed = sorted((t["model"], t["column_name"], t["test"]) for t in tests if t["status"] != "PASS")
     assert len(tests) == 72 and failed == [("fact_transactions", "customer_key", "not_null"),
                                            ("mart_revenue_daily", "source", "accepted_values")]
+
+
+def test_input_bytes_lists_directories_not_files(spark, workdir):
+    import os
+
+    from tidepool.session import local_path
+    df = spark.range(5000).selectExpr("id", "id % 3 AS g").repartition(4)
+    path = f"{workdir}/sized"
+    df.write.partitionBy("g").parquet(path)
+    local = local_path(path)
+    expected = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs_ in os.walk(local) for f in fs_
+                   if f.endswith(".parquet"))
+    assert fs.input_bytes(spark, spark.read.parquet(path)) == expected > 0
