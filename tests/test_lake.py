@@ -241,3 +241,15 @@ def test_input_bytes_lists_directories_not_files(spark, workdir):
     expected = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs_ in os.walk(local) for f in fs_
                    if f.endswith(".parquet"))
     assert fs.input_bytes(spark, spark.read.parquet(path)) == expected > 0
+
+
+def test_source_count_can_come_from_the_source_system(spark, workdir):
+    """The row-count check compares the source system's own count with what was written."""
+    df = spark.createDataFrame([(1,), (2,)], "id long")
+    rules = {"t": {"columns": ["id"]}}
+    ok = jobs.ingest(spark, {"t": df}, workdir, "s1", rules=rules, source_counts={"t": lambda: 2})[0]
+    assert ok["status"] == "SUCCESS"
+    drift = jobs.ingest(spark, {"t": df}, workdir, "s2", rules=rules, source_counts={"t": lambda: 3})[0]
+    assert drift["status"] == "VALIDATION_FAILED"
+    assert any(c["check_name"] == "row_count" and c["detail"] == "source=3 extracted=2"
+               for c in drift["validation"]["checks"])

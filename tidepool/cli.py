@@ -50,6 +50,16 @@ def _contract_ddl(spark: SparkSession, args, table: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _source_counts(spark: SparkSession, args, tables: list[str]):
+    """Database-side COUNT(*) per table for JDBC sources (None: count the DataFrames)."""
+    if not args.jdbc_url or args.fixtures:
+        return None
+    from tidepool.sources import jdbc
+    props = {k: v for k, v in {"user": args.jdbc_user, "password": args.jdbc_password,
+                               "driver": args.jdbc_driver}.items() if v}
+    return {t: (lambda t=t: jdbc.source_row_count(spark, args.jdbc_url, t, props)) for t in tables}
+
+
 def _failed(records) -> int:
     return sum(1 for r in records if r["status"] != "SUCCESS")
 
@@ -86,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.step == "extract":
         recs = jobs.ingest(spark, _sources(spark, args, tables), args.root, batch_id, tables=tables,
                                validate=not args.no_validate, error_policy=args.error_policy, fmt=args.format,
-                               publish_mode=args.publish_mode)
+                               publish_mode=args.publish_mode, source_counts=_source_counts(spark, args, tables))
         out["records"], failed = recs, _failed(recs)
     elif args.step == "load":
         recs = jobs.load_staging(spark, args.root, tables, batch_id, args.format, args.error_policy,
@@ -106,7 +116,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         summary = jobs.run_pipeline(spark, _sources(spark, args, tables), args.root, args.calendar_start,
                                         args.calendar_days, args.as_of, args.format, batch_id,
-                                        publish_mode=args.publish_mode)
+                                        publish_mode=args.publish_mode,
+                                        source_counts=_source_counts(spark, args, tables))
         out["summary"], failed = summary, int(summary["status"] != "SUCCESS")
     print(json.dumps(out, default=str, indent=2))
     print(f"{args.step}: {failed} failed", file=sys.stderr)

@@ -111,14 +111,20 @@ def _read_parquet_snapshot(spark: SparkSession, path: str, contract) -> DataFram
 
 def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str, batch_id: str,
                   ingest_date: dt.date, rules: dict | None, validate: bool = True, fmt: str = "parquet",
-                  keep_history: bool = False, publish_mode: str = "rename") -> dict:
-    """S1+S2+gate+publish for one table. Always returns an audit record."""
+                  keep_history: bool = False, publish_mode: str = "rename",
+                  count_source: Callable[[], int] | None = None) -> dict:
+    """S1+S2+gate+publish for one table. Always returns an audit record.
+
+    ``count_source`` gives the source-side row count; by default the source
+    DataFrame is counted. JDBC sources should pass the database's own COUNT(*)
+    (``jdbc.source_row_count``) instead of pulling every row to count it.
+    """
     started = dt.datetime.now()
     record = audit.new_record("extract", EXTRACT_SYSTEM, table, batch_id)
     target = lake.table_path(root, table)
     staged = _stage_dir(root, "raw", table, target, publish_mode, batch_id)
     try:
-        source_count = source.count()                                   # S2
+        source_count = count_source() if count_source else source.count()   # S2
         # S1 + S5: one pass writes the batch and sums the row-level rule violations
         # of the extracted rows (what the original gate saw before serialising)
         observed = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt),
@@ -150,7 +156,7 @@ def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, bat
            tables: list[str] | None = None, rules: dict | None = None, validate: bool = True,
            error_policy: str | None = None, fmt: str = "parquet", ingest_date: dt.date | None = None,
            keep_history: bool = False, parallelism: int = DEFAULT_PARALLELISM,
-           publish_mode: str = "rename") -> list[dict]:
+           publish_mode: str = "rename", source_counts: Mapping[str, Callable[[], int]] | None = None) -> list[dict]:
     """Extract every table, gate it, publish it; write the audit records.
 
     Defaults (feed order, error policy) come from ``config/pipeline.yaml``.
@@ -170,7 +176,7 @@ def ingest(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, bat
             return audit.finish(audit.new_record("extract", EXTRACT_SYSTEM, table, batch_id), status="FAILED",
                                 error_message=f"no source configured for table {table!r}")
         return extract_table(spark, sources[table], table, root, batch_id, ingest_date, rules.get(table),
-                             validate, fmt, keep_history, publish_mode)
+                             validate, fmt, keep_history, publish_mode, (source_counts or {}).get(table))
 
     records = _for_each_table(list(tables or sources), job, error_policy, parallelism)
     audit.write_audit(spark, records, root, "extract", batch_id)
@@ -281,7 +287,8 @@ def run_tests(spark: SparkSession, root: str) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str | None,
                  calendar_days: int | None, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
-                 input_bytes: int | None = None, publish_mode: str = "rename") -> dict:
+                 input_bytes: int | None = None, publish_mode: str = "rename",
+                 source_counts: Mapping[str, Callable[[], int]] | None = None) -> dict:
     """Ingest -> load -> build -> test. A failed table fails its step and blocks the next.
 
     Partition sizing follows the input volume (``session.size_for``); file
@@ -295,15 +302,15 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes)}
     try:
         return _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
-                          summary)
+                          summary, source_counts)
     finally:   # the sizing belongs to this run; the session goes back to what it was
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
-               summary: dict) -> dict:
-    extract = ingest(spark, sources, root, batch_id, fmt=fmt, publish_mode=publish_mode)
+               summary: dict, source_counts=None) -> dict:
+    extract = ingest(spark, sources, root, batch_id, fmt=fmt, publish_mode=publish_mode, source_counts=source_counts)
     summary["extract"] = extract
     if any(r["status"] != "SUCCESS" for r in extract):
         summary["status"] = "EXTRACT_FAILED"
