@@ -243,7 +243,8 @@ def model_path(root: str, name: str) -> str:
 
 def build_models(spark: SparkSession, root: str, calendar_start: str | None, calendar_days: int | None, as_of: str,
                  staging: Mapping[str, DataFrame] | None = None,
-                 parallelism: int = DEFAULT_PARALLELISM, publish_mode: str = "rename") -> dict[str, str]:
+                 parallelism: int = DEFAULT_PARALLELISM, publish_mode: str = "rename",
+                 frames_out: dict[str, DataFrame] | None = None) -> dict[str, str]:
     """Build every model, layer by layer, each written as a table.
 
     ``calendar_start``/``calendar_days`` None: the calendar covers the facts' years.
@@ -272,12 +273,16 @@ def build_models(spark: SparkSession, root: str, calendar_start: str | None, cal
                 paths[name] = target
         for name in layer:
             models.replace(name, spark.read.parquet(published(spark, paths[name])))
+    if frames_out is not None:   # the served staging tables and models, for the tests that follow
+        frames_out.update(models.staging)
+        frames_out.update({name: models[name] for name in ALL_MODELS})
     return paths
 
 
-def run_tests(spark: SparkSession, root: str) -> DataFrame:
-    """The constraint suite over the published staging tables and models."""
-    frames = {}
+def run_tests(spark: SparkSession, root: str, frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The constraint suite over the published staging tables and models
+    (``frames`` supplies already-opened ones)."""
+    frames = dict(frames or {})
     for _layer, model, *_ in load_tests():
         if model not in frames:
             frames[model] = spark.read.parquet(published(spark, model_path(root, model) if model in ALL_MODELS
@@ -320,9 +325,10 @@ def _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt,
     if any(r["status"] != "SUCCESS" for r in loaded):
         summary["status"] = "LOAD_FAILED"
         return summary
+    built: dict[str, DataFrame] = {}
     summary["models"] = build_models(spark, root, calendar_start, calendar_days, as_of,
-                                     publish_mode=publish_mode)
-    suite = run_tests(spark, root)
+                                     publish_mode=publish_mode, frames_out=built)
+    suite = run_tests(spark, root, built)
     suite_path = f"{root.rstrip('/')}/tests/{batch_id}"
     suite.write.mode("overwrite").parquet(suite_path)
     failed = spark.read.parquet(suite_path).where(F.col("status") != "PASS").count()
