@@ -253,3 +253,19 @@ def test_source_count_can_come_from_the_source_system(spark, workdir):
     assert drift["status"] == "VALIDATION_FAILED"
     assert any(c["check_name"] == "row_count" and c["detail"] == "source=3 extracted=2"
                for c in drift["validation"]["checks"])
+
+
+def test_pipeline_csv_lake_matches_parquet_lake(spark, workdir):
+    from tidepool.schema import SOURCE_TABLES
+    from tidepool.sources.bindings import bind
+    sources = {t: bind(spark, "/root/testdata/sf0.001", t) for t in SOURCE_TABLES}
+    out = {}
+    for fmt in ("parquet", "csv"):
+        summary = jobs.run_pipeline(spark, sources, f"{workdir}/{fmt}", None, None, "2002-01-01", fmt=fmt,
+                                    batch_id="f")
+        assert all(r["status"] == "SUCCESS" for r in summary["extract"] + summary["load"]), fmt
+        out[fmt] = sorted(tuple(r) for r in spark.read.parquet(summary["tests_path"]).collect())
+        mart = spark.read.parquet(jobs.published(spark, jobs.model_path(f"{workdir}/{fmt}", "mart_customer_analytics")))
+        out[fmt + "_mart"] = sorted(tuple(r) for r in mart.collect())
+    assert out["csv"] == out["parquet"] and len(out["csv"]) == 72
+    assert out["csv_mart"] == out["parquet_mart"]
