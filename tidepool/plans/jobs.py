@@ -298,6 +298,8 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
 
     Partition sizing follows the input volume (``session.size_for``); file
     sources are measured, other sources (JDBC) need ``input_bytes`` given.
+    ``source_counts`` maps a table to its source system's own row count
+    (e.g. ``jdbc.source_row_count``) for the gate's row-count check.
     """
     configure(spark)
     if input_bytes is None:
