@@ -3,6 +3,33 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE tokens AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+listed AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM tokens),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM listed),
+flat AS (SELECT doc_id, unnest(s) AS shingle FROM listed),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared_n
+    FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared_n >= 85 * (x.n + y.n - shared_n)),
+reach(doc_id, near) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.near)
+SELECT doc_id, any_value(n) AS n_shingles, min(near) AS component_id, min(near) = doc_id AS kept
+FROM reach JOIN sizes USING (doc_id)
+GROUP BY doc_id
+""",
     "op8_exact_dedup": r"""
 WITH hashed AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256

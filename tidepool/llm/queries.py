@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid
+from . import exact_dedup, langid, minhash
 from .common import remainder, table
 
 
@@ -30,6 +30,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and whether the document stays, at a similarity of 0.85."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                        F.col("component").alias("component_id"),
+                        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those with remainder other than 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_language_id": op10_language_id,
 }
