@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import exact_dedup, langid
+from tidepool.llm import exact_dedup, langid, minhash, mixing, packing
 from tidepool.llm.common import table, written
+from tidepool.llm.queries import tokenizer_files
 
 #: A text whose best language has a smaller posterior than this is rejected.
 MIN_LANGUAGE_SCORE = 0.5
@@ -31,9 +32,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked at a word-shingle similarity of 0.8 or more, one of each group stays."""
+    return minhash.keep_one(docs, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per slot and document in its block, text and n_chars cut to that part."""
+    return mixing.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed rows in sequences of at most 1024 tokens, with their ids."""
+    return packing.packed(docs, *tokenizer_files(), with_ids=True).withColumnRenamed("id", "doc_id")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 #: Language ID is a trained model and mixing draws pseudorandom numbers: no SQL equivalent.

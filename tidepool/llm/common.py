@@ -45,13 +45,8 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
 
 
-def words(text: Column) -> Column:
-    """The words of a text, empty for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
-
-
 def word_count(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
 #: Slots of a sieve. The broadcast holds at most this many long values, whatever the input.
@@ -81,7 +76,7 @@ def with_ranks(df: DataFrame, group: list[str], order: list[str], weight: str |
     A group may hold any share of the rows: each is cut into chunks by a hash of
     ``order``, the window runs inside (group, chunk), and a second window runs over one
     row per chunk. The order is by chunk, then ``order``; it is the same on every run.
-    Rows that agree in all of ``order`` are interchangeable.
+    Rows that agree in all of ``order`` are interchangeable. The group's columns must not be null.
     """
     chunk = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(chunk_count(rows)).cast("long"))
     amount = F.col(weight) if weight else F.lit(1).cast("long")
@@ -94,6 +89,6 @@ def with_ranks(df: DataFrame, group: list[str], order: list[str], weight: str |
     ranked = cut.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0).cast("long")))
     same = F.col("_chunk") == F.col("_g_chunk")
     for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+        same = same & (F.col(c) == F.col(f"_g_{c}"))
     return (ranked.join(chunks, same).withColumn(out, F.col("_before") + F.col("_inside"))
             .drop("_chunk", "_before", "_inside", "_g_chunk", *[f"_g_{c}" for c in group]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash
+from . import exact_dedup, langid, minhash, mixing, packing
 from .common import remainder, table
 
 
@@ -30,6 +30,24 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes, with its source's size and target."""
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """The vocabulary of the packing queries, and the same vocabulary as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in sequences of at most 1024 tokens."""
+    found = packing.packed(table(spark, sf_dir, "documents"), *tokenizer_files())
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, component and whether the document stays, at a similarity of 0.85."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -48,6 +66,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixing": op4_mixing,
+    "op6_packing": op6_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_language_id": op10_language_id,
