@@ -35,13 +35,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .common import sieve, slot, text_batches, whole_row, written
 from .components import components
+from .hashing import WordHashes, coefficients, mix, multiple
 
 SHINGLE_WORDS = 5
 BANDS = 30
@@ -52,42 +52,16 @@ POSITIONS = BANDS * BAND_ROWS
 ESTIMATE_SLACK = 0.19
 #: Members of a bucket that are estimated against each other in one piece.
 TILE_ROWS = 512
-#: Different words whose hashes a worker keeps.
-KEPT_WORDS = 1_000_000
+_LOW = np.uint64(0xFFFFFFFF)
+_COEFFICIENTS = coefficients(SHINGLE_WORDS)
 
-def _multiple(i: int) -> np.uint64:
-    """i golden-ratio steps, modulo 2**64."""
-    return np.uint64(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
-
-_MASK = np.uint64(0xFFFFFFFF)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values (shift, multiply, shift)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < KEPT_WORDS:
-            self[word] = value
-        return value
-
-
-_COEFFICIENTS = mix(np.arange(1, SHINGLE_WORDS + 1, dtype="uint64") * _STEP) | np.uint64(1)
-
-
-def shingles(text: bytes | None, hashes: dict) -> np.ndarray:
+def shingles(text: bytes | None, hashes: WordHashes) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = text.lower().split() if text else []   # bytes: only A-Z are lowered, only ASCII blanks split
     if not words:
         return np.empty(0, "uint64")
-    ids = np.fromiter(map(hashes.__getitem__, words), "uint64", len(words))
+    ids = hashes.of(words)
     if len(ids) < SHINGLE_WORDS:
         return mix((ids * _COEFFICIENTS[:len(ids)]).sum(keepdims=True) + np.uint64(len(ids)))
     size = len(ids) - SHINGLE_WORDS + 1
@@ -106,8 +80,8 @@ def superminhash(elements: np.ndarray, sizes: np.ndarray, positions: int = POSIT
     for level in range(positions):
         if not len(elements):
             break
-        drawn = mix(elements + _multiple(level + 1))
-        choice = (level + (((drawn & _MASK) * np.uint64(positions - level)) >> np.uint64(32))).astype("int64")
+        drawn = mix(elements + multiple(level + 1))
+        choice = (level + (((drawn & _LOW) * np.uint64(positions - level)) >> np.uint64(32))).astype("int64")
         place = choice if places is None else places[np.arange(len(elements)), choice]
         np.minimum.at(signature, owner * positions + place, (np.uint64(level) << np.uint64(32)) | (drawn >> np.uint64(32)))
         reached = signature.reshape(sets, positions).max(1) < np.uint64(level + 1) << np.uint64(32)
@@ -124,9 +98,9 @@ def superminhash(elements: np.ndarray, sizes: np.ndarray, positions: int = POSIT
 def band_hashes(signature: np.ndarray) -> np.ndarray:
     """A 64-bit hash for each band, different between bands of equal content."""
     cut = signature.reshape(len(signature), BANDS, BAND_ROWS)
-    value = np.arange(1, BANDS + 1, dtype="uint64") * _STEP + np.zeros((len(signature), 1), "uint64")
+    value = np.array([multiple(i) for i in range(1, BANDS + 1)], "uint64") + np.zeros((len(signature), 1), "uint64")
     for i in range(BAND_ROWS):
-        value = mix(value ^ mix(cut[:, :, i] + _multiple(i + 1)))
+        value = mix(value ^ mix(cut[:, :, i] + multiple(i + 1)))
     return value
 
 
@@ -137,11 +111,10 @@ def _sum_by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = _WordHashes()
+    hashes = WordHashes()
     for batch in batches:
         sets = [shingles(t, hashes) for t in batch["text"]]
-        if len(hashes) >= KEPT_WORDS:
-            hashes.clear()
+        hashes.trim()
         sizes = np.array([len(s) for s in sets], "int64")
         together = np.concatenate(sets) if sets else np.empty(0, "uint64")
         signature = superminhash(together, sizes)
@@ -150,7 +123,7 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({
             "id": batch["id"], "tag": batch["tag"], "n": sizes,
             "cls": mix(_sum_by(mix(together), sizes) + sizes.astype("uint64")).view("int64"),
-            "check": _sum_by(mix(together + _STEP), sizes).view("int64"),
+            "check": _sum_by(mix(together + multiple(1)), sizes).view("int64"),
             "bands": [b if n else None for b, n in zip(bands, sizes)],
             "mark": [m.tobytes() if n else None for m, n in zip(marks, sizes)]})
 
@@ -166,11 +139,10 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """cls and shingles of the wanted classes (columns id, cls), from the whole texts again."""
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             sets = [shingles(t, hashes) for t in batch["text"]]
-            if len(hashes) >= KEPT_WORDS:
-                hashes.clear()
+            hashes.trim()
             cls = [mix(mix(s).sum(keepdims=True) + np.uint64(len(s))).view("int64")[0] for s in sets]
             yield pd.DataFrame({"cls": cls, "shingles": [s.view("int64") for s in sets]})
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, text_batches, whole_row, with_ranks, word_count, written
+from .hashing import mix as scrambled
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -69,12 +70,6 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return known.select("own", "source_size", F.least(F.col("weight") * level, stop.cast("double")).alias("target"))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     """A keyed permutation of 0 .. size - 1, evaluated at ``index``: four Feistel rounds, walked until inside."""
     half = np.maximum(1, (np.ceil(np.log2(np.maximum(size, 2))).astype("uint64") + np.uint64(1)) // np.uint64(2))
@@ -85,7 +80,7 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
         h, m, k = half[going], mask[going], key[going]
         left, right = out[going] >> h, out[going] & m
         for turn in range(4):
-            left, right = right, left ^ (_mix(right + k + np.uint64(turn << 56)) & m)
+            left, right = right, left ^ (scrambled(right + k + np.uint64(turn << 56)) & m)
         out[going] = (left << h) | right
         going[going] = out[going] >= size[going]
     return out.astype("int64")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, mixing, packing
+from . import exact_dedup, langid, minhash, mixing, packing, toxicity
 from .common import remainder, table
 
 
@@ -30,6 +30,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of documents with remainder other than 1 of 3."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), "toxic").dropna()
+    known = docs.filter(~held_out).join(labels, F.col("doc_id") == F.col("labelled"))
+    model = toxicity.train(known)
+    scored = toxicity.score(docs, model, keep=[F.col("doc_id"), held_out.alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, with its source's size and target."""
     return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -66,6 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
