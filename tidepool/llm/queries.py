@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, mixing, packing, toxicity
+from . import exact_dedup, langid, minhash, mixing, packing, suffix_tree, toxicity
 from .common import remainder, table
 
 
@@ -67,6 +67,16 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned from those with remainder other than 2 of 7."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    model, vocab = suffix_tree.train(docs.filter(~held_out))
+    scored = suffix_tree.score(docs, model, vocab, keep=[F.col("doc_id"), held_out.alias("held_out")])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model["N"]).cast("long").alias("train_tokens"),
+                         "base_score", "score")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those with remainder other than 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -82,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
 }
