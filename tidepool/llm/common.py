@@ -66,7 +66,7 @@ def sieve(keys: DataFrame, slots: int = SIEVE_SLOTS) -> DataFrame:
     return keys.select(slot([F.col(c) for c in keys.columns], slots).alias("slot")).distinct()
 
 
-def chunk_count(rows: int, rows_per_chunk: int = 20_000) -> int:
+def chunk_count(rows: int, rows_per_chunk: int = 1000) -> int:
     return max(1, -(-rows // rows_per_chunk))
 
 

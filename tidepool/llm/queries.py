@@ -7,8 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, mixing, packing, suffix_tree, toxicity
+from . import exact_dedup, langid, minhash, mixing, packing, spotsigs, suffix_tree, toxicity
 from .common import remainder, table
+from .ordering import with_next
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, whose last half comes from the next document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    whole = docs.select("doc_id", F.xxhash64("text").alias("tie"),
+                        F.struct("text", spotsigs.fingerprint_set(F.col("text")).alias("signatures")).alias("own"))
+    half = F.floor(F.length("own.text") / 2).cast("int")
+    edited = F.concat(F.substring(F.col("own.text"), F.lit(1), F.length("own.text") - half),
+                      F.substring(F.col("next.text"), F.lit(1), half))
+    sets = (with_next(whole, "doc_id", "tie", "own", "next")
+            .select("doc_id", F.length("own.text").cast("long").alias("n_chars"), F.col("own.signatures").alias("own"),
+                    F.col("next.signatures").alias("following"), edited.alias("edited"))
+            .select("doc_id", "n_chars", "own", "following", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                    spotsigs.fingerprint_set(F.col("edited")).alias("other")))
+    return sets.select("doc_id", "n_chars", "edited_sha256", spotsigs.as_text(F.col("own")).alias("fingerprint"),
+                       spotsigs.as_text(F.col("other")).alias("edited_fingerprint"),
+                       spotsigs.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+                       spotsigs.likeness(F.col("own"), F.col("following")).alias("near_next"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op7_fingerprints": op7_fingerprints,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
