@@ -42,6 +42,8 @@ MOST = 2
 BLOCK_WORDS = 64
 #: Mean number of slots of an output shard.
 SHARD_SLOTS = 1 << 14
+#: Slots that one task numbers.
+TASK_SLOTS = 1 << 17
 SEED = 20_250
 
 
@@ -107,9 +109,10 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED,
     wanted = F.round(F.col("target") * blocks / F.col("source_size")).cast("long")
     plan = written(sources.filter("source_size > 0")
                    .select("own", blocks.alias("blocks"), wanted.alias("slots"), F.xxhash64(F.lit(seed), "own").alias("seed")), "plan")
-    shards = max(1, -(-int(plan.agg(F.sum("slots")).first()[0] or 0) // shard_slots))
+    total = int(plan.agg(F.sum("slots")).first()[0] or 0)
+    shards = max(1, -(-total // shard_slots))
     drawn = plan.mapInPandas(_throws(shards), "own string, blocks long, shard long, first long, count long").filter("count > 0")
-    each = (drawn.repartition(F.col("own"), F.col("shard"))
+    each = (drawn.repartition(max(1, -(-total // TASK_SLOTS)), "own", "shard")
             .withColumn("k", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1))))
     epoch = F.floor(F.col("k") / F.col("blocks"))
     permute = F.pandas_udf(_permute, "long")
@@ -135,7 +138,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = written(sized(docs, doc_id, text, source), "sized")
     sources = written(targets(rows), "targets")
     used = slots(sources, block_words, seed).groupBy("own", "block").agg(F.count("*").alias("times"))
-    reach = spans(rows, block_words).join(used, ["own", "block"], "left")
+    reach = spans(rows, block_words).join(used.hint("merge"), ["own", "block"], "left")   # estimated from the tiny plan table
     words = F.col("to_word") - F.col("from_word")
     taken = (reach.groupBy("own", "start", "id", "size")
              .agg(F.sum(words * F.coalesce("times", F.lit(0))).alias("taken")).select("own", "id", "size", "taken"))
@@ -164,7 +167,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     text_batches(docs.sparkSession)
     rows = written(sized(docs, doc_id, text, source), "sized")
     sources = written(targets(rows), "targets")
-    parts = (slots(sources, block_words, seed).join(spans(rows, block_words), ["own", "block"])
+    parts = (slots(sources, block_words, seed).hint("merge").join(spans(rows, block_words), ["own", "block"])
              .groupBy("who", "tag").agg(F.collect_list(F.struct("shard", "place", "from_word", "to_word")).alias("parts")))
     whole = (docs.select(whole_row(docs).alias("row"), F.xxhash64(doc_id, source).alias("who"),
                          F.xxhash64(text).alias("tag"), F.col(text).alias("text")).dropDuplicates(["who", "tag"]))
