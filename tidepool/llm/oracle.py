@@ -2,7 +2,27 @@
 
 from __future__ import annotations
 
+_FIVES = " || ".join(
+    f"substr(digits, 1 + (((n >> {20 * (1 - i // 4) + 15 - 5 * (i % 4)}) & 31)::INT), 1)" for i in range(8))
+
 ORACLE: dict[str, str] = {
+    "op2_warc": rf"""
+WITH hashed AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h
+    FROM pages),
+pieces AS (   -- ten hex digits are eight base-32 digits
+    SELECT page_id, payload_bytes, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS digits,
+           [CAST('0x' || substr(h, 10 * i + 1, 10) AS BIGINT) FOR i IN range(4)] AS ns
+    FROM hashed),
+coded AS (
+    SELECT page_id, payload_bytes, array_to_string([{_FIVES} FOR n IN ns], '') AS payload_digest
+    FROM pieces),
+placed AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM coded)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM placed
+""",
     "op5_minhash_dedup": r"""
 WITH RECURSIVE tokens AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

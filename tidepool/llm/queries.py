@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, mixing, packing, spotsigs, suffix_tree, toxicity
-from .common import remainder, table
+from tidepool.session import scratch_path
+
+from . import exact_dedup, langid, minhash, mixing, packing, secret_scan, spotsigs, suffix_tree, toxicity, warc
+from .common import remainder, table, written
 from .ordering import with_next
 
 
@@ -50,6 +52,29 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document: counts by pattern, digest of the patterns' spans, all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs), keep=[F.col("doc_id")])
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written to the shared folder and read back: a row per capture."""
+    path = scratch_path(spark, "llm", "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    seen = warc.captures(warc.read(spark, path))
+    rows = written(seen.select("capture", F.col("metadata.page_id").alias("page_id"), "response.payload_bytes", "response.payload_digest",
+                               F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("refers")), "captures")
+    first = rows.filter("record_type = 'response'").select(F.col("capture").alias("refers"), F.col("page_id").alias("refers_to"))
+    return (rows.join(first.hint("merge"), "refers", "left")
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels of documents with remainder other than 1 of 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -107,6 +132,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
