@@ -1,0 +1,40 @@
+import hashlib
+import re
+
+from tidepool.llm import exact_dedup
+from tidepool.llm.queries import QUERIES
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def test_groups_and_rows(edges):
+    found = {r["sha256"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.groups(edges).collect()}
+    assert found == {hashlib.sha256(norm("the quick brown fox jumps over the lazy dog and runs away from it").encode()).hexdigest(): (1, 3),
+                     hashlib.sha256(b"").hexdigest(): (3, 2)}
+
+
+def test_drop_copies_keeps_rows_whole(edges):
+    kept = exact_dedup.drop_copies(edges)
+    assert kept.columns == edges.columns
+    ids = sorted(str(r["doc_id"]) for r in kept.collect())
+    assert ids == sorted(["1", "3", "5", "6", "7", "8", "None", "9", "10", "11"])
+
+
+def test_empty_table(no_rows):
+    assert exact_dedup.groups(no_rows).count() == 0
+    assert exact_dedup.drop_copies(no_rows).count() == 0
+
+
+def test_repeated_rows_only(spark):
+    rows = spark.createDataFrame([(1, "a b")] * 50 + [(None, "c")] * 3 + [(None, None)], "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in exact_dedup.drop_copies(rows).collect()} == {(1, "a b"), (None, None), (None, "c")}
+
+
+def test_query_marks_one_row_per_group(spark, edges, workdir):
+    edges.select("doc_id", "text").write.parquet(f"{workdir}/documents.parquet")
+    rows = QUERIES["op8_exact_dedup"](spark, workdir).collect()
+    assert len(rows) == edges.count()
+    for group in {r["text_sha256"] for r in rows}:
+        assert sum(r["kept"] for r in rows if r["text_sha256"] == group) == 1

@@ -7,8 +7,8 @@ models: one of random strings, one of ordinary identifiers and words. Both are t
 from labelled samples in the corpus: the strings that the patterns caught are the
 random ones (mixed with uniform strings, so that keys of other alphabets than those
 caught look random too), all other text the ordinary one. A token is reported as ``markov`` if its
-log-likelihood ratio is at least ``LEAST_RATIO``, it has letters and digits, and it
-doesn't overlap a pattern's match.
+log-likelihood ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` per
+transition, it has letters and digits, and it doesn't overlap a pattern's match.
 
 Transitions are counted over whole texts of all documents in a distributed pass; what
 reaches the driver are two square matrices of fixed size. Spans are code-point offsets,
@@ -47,6 +47,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 STATES = len(ALPHABET) + 1
 TOKEN_CHARS = 20
 LEAST_RATIO = 30.0
+LEAST_MEAN = 1.8
 #: Share of uniform strings in the random model; the rest is what the patterns caught.
 UNIFORM = 0.5
 
@@ -130,7 +131,8 @@ def spans(text: str | None, ratio: np.ndarray) -> list[Span]:
                 continue
             if any(start < m.end() and m.start() < end for start, end in taken):
                 continue
-            if ratio[_transitions(token)].sum() >= LEAST_RATIO:
+            own = ratio[_transitions(token)]
+            if own.sum() >= LEAST_RATIO and own.mean() >= LEAST_MEAN:
                 more.append((m.start(), len(PATTERNS), m.end()))
     return sorted(found + more)
 
