@@ -109,3 +109,33 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200)], "a long, b long")
     roots = {r["node"]: r["root"] for r in components(links).collect()}
     assert roots == {**{i: 0 for i in range(61)}, 100: 100, 200: 100}
+
+
+def test_a_chain_through_non_central_members_is_found(spark):
+    """Neighbours are linked, ends are not: no star from one member reaches all."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[6 * i:6 * i + 110])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["id"], r["n"], r["component"]) for r in minhash.near_duplicates(docs, 80).collect())
+    assert got == brute(rows, 80) and {c for _, _, c in got} == {0}
+
+
+def test_many_similar_but_unlinked_copies(spark):
+    """A group whose members are near the threshold: brute force agrees, whatever the estimate lets through."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(250):
+        words = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["id"], r["n"], r["component"]) for r in minhash.near_duplicates(docs, 85).collect()) == brute(rows, 85)
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 5000, n)) for n in (1, 10, 900, 3000, 4000)]
+    got = minhash.shared_counts(sets[:2], sets)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:2]]

@@ -16,9 +16,11 @@ distinct runs of five words (with fewer words: the whole sequence as one), each
    and the largest member: a number of pairs linear in the bucket's size. Pairs whose
    byte estimate is far below the threshold are left out (see ``ESTIMATE_SLACK``), the
    others are verified on the full sets, and components are formed.
-4. Where a bucket still spans several components, the remaining pairs across them are
-   estimated in tiles of bounded size, and the promising ones verified too. So no link
-   of a bucket is lost, and large groups of near copies never become all pairs.
+4. Where a bucket still spans several components, the members outside its main component
+   are estimated against all others, in pieces of bounded size and inside a task; members
+   with a promising partner (not the pairs) go on, and their pieces are verified on
+   the full sets by a product of membership matrices. Only links that join components
+   come out. So no link of a bucket is lost, and no list of pairs of a group is made.
 
 Banding is 30 bands of 4 positions: a pair at 0.85 misses every band with probability
 4e-10, one at 0.8 with 1.4e-7.
@@ -177,40 +179,139 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
-def _across(percent: int):
-    """Pairs of different components inside each (key, tiles) group of a sorted partition."""
+#: What names a piece of a bucket: outsiders with outsiders, or with members of the main component.
+PIECE = ["key", "main", "i", "j"]
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole pieces out of a partition that is sorted by ``PIECE``; a piece holds two tiles at most."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if not len(rows):
+            continue
+        names = rows[PIECE].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]).any(1)])
+        for begin, end in zip(starts[:-1], starts[1:]):
+            yield rows.iloc[begin:end]
+        rest = rows.iloc[starts[-1]:]   # may go on in the next batch
+    if rest is not None:
+        yield rest
+
+
+def _hopeful(percent: int):
+    """Of every piece, the members with a partner in another component that the estimate allows.
+
+    A pair is looked at in one bucket only, that of the first band which the two share.
+    """
     least = percent / 100 - ESTIMATE_SLACK
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        left = group[group["side"] != 1]
-        right = group[group["side"] != 0]
-        a = np.frombuffer(b"".join(left["mark"]), "uint8").reshape(len(left), -1)
-        b = np.frombuffer(b"".join(right["mark"]), "uint8").reshape(len(right), -1)
-        ca, cb = left["cls"].to_numpy(), right["cls"].to_numpy()
-        ra, rb = left["root"].to_numpy(), right["root"].to_numpy()
-        found = []
-        for i in range(len(left)):
-            for j in np.flatnonzero((ra[i] != rb) & ((a[i] == b).mean(1) >= least)):
-                found.append((min(ca[i], cb[j]), max(ca[i], cb[j])))
-        return pd.DataFrame(list(dict.fromkeys(found)), columns=["a", "b"], dtype="int64")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for piece in _pieces(batches):
+            side, root, key = piece["side"].to_numpy(), piece["root"].to_numpy(), piece["key"].iloc[0]
+            marks = np.frombuffer(b"".join(piece["mark"]), "uint8").reshape(len(piece), -1)
+            bands = np.array(piece["bands"].tolist())
+            first = bands[:, :int(np.flatnonzero(bands[0] == key)[0])]
+            right = np.flatnonzero(side != 0)
+            hit = np.zeros(len(piece), bool)
+            for i in np.flatnonzero(side != 1):
+                other = right[root[right] != root[i]]
+                other = other[~(first[other] == first[i]).any(1)]
+                other = other[(marks[other] == marks[i]).mean(1) >= least]
+                hit[other] = True
+                hit[i] |= len(other) > 0
+            if hit.any():
+                yield piece.loc[hit, [*PIECE, "side", "cls", "root"]]
+
+    return run
+
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of two lists of sets, as a product of membership matrices."""
+    values, at, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[at]   # values of one member cannot be shared
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), "float32")
+    for start in range(0, int(column.max(initial=-1)) + 1, 2048):
+        begin, end = np.searchsorted(column, [start, start + 2048])
+        member = np.zeros((len(left) + len(right), 2048), "float32")
+        member[owner[begin:end], column[begin:end] - start] = 1
+        out += member[:len(left)] @ member[len(left):].T
+    return out.astype("int64")
+
+
+def _blocks(sets: list[np.ndarray], most: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Positions in runs of at most ``most`` elements (or one set)."""
+    begin, held = 0, 0
+    for i, s in enumerate(sets):
+        if i > begin and held + len(s) > most:
+            yield np.arange(begin, i)
+            begin, held = i, 0
+        held += len(s)
+    yield np.arange(begin, len(sets))
+
+
+def _spanning(percent: int):
+    """Links of a piece, on full sets, that join components not joined by an earlier link of it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if not len(rows):
-                continue
-            names = rows[["key", "i", "j"]].to_numpy()
-            starts = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]).any(1)])
-            for begin, end in zip(starts[:-1], starts[1:]):
-                yield pairs(rows.iloc[begin:end])
-            rest = rows.iloc[starts[-1]:]   # may go on in the next batch; a group holds two tiles at most
-        if rest is not None:
-            yield pairs(rest)
+        for piece in _pieces(batches):
+            side, cls, sets = piece["side"].to_numpy(), piece["cls"].to_numpy(), piece["shingles"].tolist()
+            roots = {r: r for r in piece["root"].tolist()}
+            own = piece["root"].tolist()
+
+            def find(r: int) -> int:
+                while roots[r] != r:
+                    roots[r] = r = roots[roots[r]]
+                return r
+
+            found, left, right = [], np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            for x in _blocks([sets[i] for i in left]):
+                for y in _blocks([sets[j] for j in right]):
+                    one, two = left[x], right[y]
+                    a, b = [sets[i] for i in one], [sets[j] for j in two]
+                    shared = shared_counts(a, b)
+                    union = np.array([len(v) for v in a])[:, None] + np.array([len(v) for v in b]) - shared
+                    for i, j in zip(*np.nonzero((100 * shared >= percent * union) & (one[:, None] != two))):
+                        r, q = find(own[one[i]]), find(own[two[j]])
+                        if r != q:
+                            roots[r] = q
+                            found.append((min(cls[one[i]], cls[two[j]]), max(cls[one[i]], cls[two[j]])))
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _pieced(rooted: DataFrame) -> DataFrame:
+    """Members (key, cls, root) of buckets that span several components, dealt into ``PIECE``s.
+
+    Each bucket's most frequent component is its main one. Its members need not meet each
+    other, so they meet the outsiders only; with few outsiders the pieces are few.
+    """
+    counted = rooted.groupBy("key", "root").agg(F.count("*").alias("size"))
+    sizes = (counted.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("all"), F.count("*").alias("roots"))
+             .filter("roots > 1")
+             .select(F.col("key").alias("own"), F.col("most.root").alias("main_root"),
+                     F.ceil(F.col("most.size") / TILE_ROWS).alias("main_tiles"),
+                     F.ceil((F.col("all") - F.col("most.size")) / TILE_ROWS).alias("out_tiles")))
+    rows = rooted.join(sizes, F.col("key") == F.col("own")).withColumn("inside", F.col("root") == F.col("main_root"))
+    zero = F.lit(0).cast("long")
+    tile = F.pmod(F.xxhash64("cls"), F.when(F.col("inside"), F.col("main_tiles")).otherwise(F.col("out_tiles")))
+    rows = rows.withColumn("tile", tile)
+    with_out = F.transform(F.sequence(zero, F.col("out_tiles") - 1), lambda o: F.struct(
+        F.col("inside").alias("main"),
+        F.when(F.col("inside"), o).otherwise(F.least("tile", o)).alias("i"),
+        F.when(F.col("inside"), F.col("tile")).otherwise(F.greatest("tile", o)).alias("j"),
+        F.when(F.col("inside"), 1).when(F.col("tile") == o, 2).when(F.col("tile") < o, 0).otherwise(1).alias("side")))
+    with_main = F.transform(F.sequence(zero, F.col("main_tiles") - 1), lambda m: F.struct(
+        F.lit(True).alias("main"), F.col("tile").alias("i"), m.alias("j"), F.lit(0).alias("side")))
+    dealt = F.when(F.col("inside"), with_out).otherwise(F.concat(with_out, with_main))
+    return rows.select("key", "cls", "root", F.explode(dealt).alias("p")).select("key", "cls", "root", "p.*")
+
+
 def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): document rows with their class, the classes, and verified links between classes.
 
@@ -221,7 +322,7 @@ def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
                       .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("mark").alias("mark")), "classes")
     banded = classes.select("cls", F.explode("bands").alias("key"))
     ends = (banded.groupBy("key").agg(F.count("*").alias("size"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-            .filter("size > 1").withColumnRenamed("key", "own"))
+            .filter("size > 1").select(F.col("key").alias("own"), "low", "high"))
     buckets = written(banded.join(ends, F.col("key") == F.col("own")).drop("own"), "buckets")
     stars = (buckets.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("cls").alias("b")),
                                               F.struct(F.col("cls").alias("a"), F.col("high").alias("b")))).alias("p"))
@@ -232,21 +333,12 @@ def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
     first = written(_linked(likely, sets, percent), "links")
 
     roots = components(first)
-    rooted = (buckets.select("key", "cls", "size").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-              .withColumn("root", F.coalesce("root", "cls")))
-    rooted = written(rooted, "rooted")
-    mixed = (rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-             .filter("r0 < r1").select(F.col("key").alias("own")))
-    tiles = F.ceil(F.col("size") / TILE_ROWS)
-    tile = F.pmod(F.xxhash64("cls"), tiles)
-    spread = (rooted.join(mixed, F.col("key") == F.col("own")).drop("own")
-              .join(classes.select("cls", "mark"), "cls").withColumn("tile", tile)
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-              .select("key", "cls", "root", "mark", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-                      F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1).alias("side")))
-    dealt = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = dealt.mapInPandas(_across(percent), "a long, b long").distinct().join(likely, ["a", "b"], "left_anti")
-    second = written(_linked(written(more, "pairs"), sets, percent), "links")
+    rooted = written(buckets.select("key", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+                     .withColumn("root", F.coalesce("root", "cls")), "rooted")
+    marked = _pieced(rooted).join(classes.select("cls", "mark", "bands"), "cls").repartition(*PIECE).sortWithinPartitions(*PIECE)
+    flagged = written(marked.mapInPandas(_hopeful(percent), "key long, main boolean, i long, j long, side int, cls long, root long"), "hopeful")
+    whole = flagged.join(sets, "cls").repartition(*PIECE).sortWithinPartitions(*PIECE)
+    second = written(whole.mapInPandas(_spanning(percent), "a long, b long").distinct(), "links")
     return rows, classes, first.unionByName(second)
 
 
