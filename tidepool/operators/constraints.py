@@ -1,16 +1,14 @@
 """Post-build constraint tests (not_null, unique, accepted_values).
 
-Semantics, per failing *row*:
+Failures counted per test:
   not_null        rows where the column is NULL;
-  unique          rows whose non-NULL value occurs more than once (NULLs
-                  ignored, unlike the pre-publish gate where NULL == NULL);
+  unique          *values* (not rows) that occur more than once; NULLs are
+                  ignored, unlike in the pre-publish gate where NULL == NULL;
   accepted_values rows whose non-NULL value is outside the list.
 
-The whole suite runs as ONE job (``run_suite``): every model contributes
-uniform (test, value, flag) items to one union, a single ``groupBy(test,
-value)`` (partial aggregation first, so a hot value or a row-level test's
-items combine map-side) yields duplicate counts and flag sums, and a second
-tiny ``groupBy(test)`` folds them into one row per test.
+Row-level tests (not_null, accepted_values) are one plain aggregate per model: one row
+per map task reaches the fold. Only the columns under a unique test enter a shuffle,
+as (test, value) pairs that combine map-side, so a hot value is one pair per task.
 """
 
 from __future__ import annotations
@@ -40,58 +38,53 @@ def _as_key(df: DataFrame, c: str):
     return col.cast("string")
 
 
+def _row_level(df: DataFrame, tests: list[tuple[int, str, str, list | None]]) -> DataFrame:
+    """(g, failing) of the row-level tests of one model."""
+    failing = []
+    for g, c, kind, values in tests:
+        col = F.col(c)
+        bad = col.isNull() if kind == "not_null" else col.isNotNull() & ~col.isin(list(values))
+        failing.append(F.count_if(bad).alias(f"_t{g}"))
+    pairs = [F.struct(F.lit(g).alias("g"), F.col(f"_t{g}").alias("failing")) for g, *_ in tests]
+    return df.agg(*failing).select(F.inline(F.array(*pairs)))
+
+
+def _repeated(frames: list[tuple[int, DataFrame, str]], spark: SparkSession) -> DataFrame:
+    """(g, failing) of the unique tests: how many values occur more than once."""
+    values = None
+    for g, df, c in frames:
+        one = df.select(F.lit(g).alias("g"), _as_key(df, c).alias("v"))
+        values = one if values is None else values.unionByName(one)
+    dup = (values.where(F.col("v").isNotNull()).groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("g").agg(F.count_if(F.col("n") > 1).alias("failing")))
+    none = spark.createDataFrame([(g, 0) for g, *_ in frames], "g int, failing long")
+    return dup.unionByName(none).groupBy("g").agg(F.max("failing").alias("failing"))   # a test without values has its row
+
+
 def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds=None) -> DataFrame:
-    """The whole suite as ONE job with two small shuffles.
-
-    ``specs`` = [(layer, model, column, test, values)]; ``frames`` maps model ->
-    DataFrame. Every model contributes uniform items ``(g, v, bad)`` - test
-    number, tested value (unique tests) and a 0/1 violation flag (row-level
-    tests) - to a single union. ``groupBy(g, v)`` yields per-value counts (the
-    row-level items of a test collapse into one group per map task before the
-    shuffle); a second tiny ``groupBy(g)`` folds them into one row per test.
-    Each model is scanned once, whatever the number of tests on it.
+    """The whole suite as one plan, a row per test.
+
+    ``specs`` = [(layer, model, column, test, values)]; ``frames`` maps model -> DataFrame.
     """
     tests = [(m, c, t, v) for _layer, m, c, t, v in specs if not kinds or t in kinds]
     if not tests:
         return spark.createDataFrame([], SUITE_SCHEMA)
-    per_model: dict[str, list[int]] = {}
-    for g, (m, _c, _t, _v) in enumerate(tests):
-        per_model.setdefault(m, []).append(g)
-
     parts = []
-    for m, ids in per_model.items():
-        items = []
-        for g in ids:
-            _m, c, t, values = tests[g]
-            col = F.col(c)
-            if t == "unique":
-                items.append(F.struct(F.lit(g).alias("g"), _as_key(frames[m], c).alias("v"),
-                                      F.lit(0).cast("long").alias("bad")))
-            else:
-                bad = col.isNull() if t == "not_null" else (col.isNotNull() & ~col.isin(list(values)))
-                items.append(F.struct(F.lit(g).alias("g"), F.lit(None).cast("string").alias("v"),
-                                      F.when(bad, 1).otherwise(0).cast("long").alias("bad")))
-        parts.append(frames[m].select(F.inline(F.array(*items))))
-    # one neutral item per test (NULL value, no violation): a test over an empty
-    # model still yields its row, with 0 failing rows
-    seeds = spark.range(0, len(tests), 1, 1).select(F.col("id").cast("int").alias("g"),
-                                           F.lit(None).cast("string").alias("v"), F.lit(0).cast("long").alias("bad"))
-    items = seeds
-    for p in parts:
-        items = items.unionByName(p)
-
-    unique_ids = [g for g, (_m, _c, t, _v) in enumerate(tests) if t == "unique"]
-    per_value = items.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
-    per_test = per_value.groupBy("g").agg(
-        F.sum("bad").alias("bad"),
-        F.coalesce(F.sum(F.when(F.col("v").isNotNull() & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("dup"))
+    for m in dict.fromkeys(t[0] for t in tests):
+        own = [(g, c, t, v) for g, (model, c, t, v) in enumerate(tests) if model == m and t != "unique"]
+        if own:
+            parts.append(_row_level(frames[m], own))
+    unique = [(g, frames[m], c) for g, (m, c, t, _v) in enumerate(tests) if t == "unique"]
+    if unique:
+        parts.append(_repeated(unique, spark))
+    counted = parts[0]
+    for p in parts[1:]:
+        counted = counted.unionByName(p)
 
     def name(i: int):
         return F.element_at(F.array(*[F.lit(t[i]) for t in tests]), F.col("g") + 1)
 
-    failing = (F.when(F.col("g").isin(unique_ids), F.col("dup")).otherwise(F.col("bad"))
-               if unique_ids else F.col("bad"))
-    return per_test.select(
-        name(0).alias("model"), name(1).alias("column_name"), name(2).alias("test"),
-        failing.cast("long").alias("failing_rows"),
+    failing = F.col("failing").cast("long")
+    return counted.select(
+        name(0).alias("model"), name(1).alias("column_name"), name(2).alias("test"), failing.alias("failing_rows"),
         F.when(failing == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))

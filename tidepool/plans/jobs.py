@@ -140,7 +140,8 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
         if validation["overall"] == quality.FAIL:
             fs.delete(spark, staged)
             return audit.finish(record, status="VALIDATION_FAILED", rows_extracted=written, rows_loaded=0,
-                                error_message="validation failed; batch not published")
+                                error_message="validation failed: " + ", ".join(
+                                    c["check_name"] for c in checks if c["status"] != quality.PASS))
         history = f"{root.rstrip('/')}/_history/raw/{table}/{batch_id}" if keep_history else None
         _publish(spark, staged, target, publish_mode, history)          # S6: snapshot replace
         path = lake.partition_path(root, table, ingest_date) if publish_mode == "rename" else \
@@ -241,14 +242,12 @@ def model_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def build_models(spark: SparkSession, root: str, calendar_start: str | None, calendar_days: int | None, as_of: str,
+def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_days: int, as_of: str,
                  staging: Mapping[str, DataFrame] | None = None,
                  parallelism: int = DEFAULT_PARALLELISM, publish_mode: str = "rename",
                  frames_out: dict[str, DataFrame] | None = None) -> dict[str, str]:
     """Build every model, layer by layer, each written as a table.
 
-    ``calendar_start``/``calendar_days`` None: the calendar covers the facts' years.
-
     Models of one layer only depend on the layer below, so their jobs are
     submitted concurrently. A written model replaces its lazy plan, so the
     marts read the warehouse tables instead of recomputing them (the write
@@ -290,39 +289,43 @@ def run_tests(spark: SparkSession, root: str, frames: Mapping[str, DataFrame] |
     return constraints.run_suite(spark, frames, load_tests())
 
 
-def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str | None,
-                 calendar_days: int | None, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
+def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, calendar_start: str,
+                 calendar_days: int, as_of: str, fmt: str = "parquet", batch_id: str | None = None,
                  input_bytes: int | None = None, publish_mode: str = "rename",
-                 source_counts: Mapping[str, Callable[[], int]] | None = None) -> dict:
+                 source_counts: Mapping[str, Callable[[], int]] | None = None, validate: bool = True,
+                 error_policy: str | None = None, sizing: bool = True) -> dict:
     """Ingest -> load -> build -> test. A failed table fails its step and blocks the next.
 
-    Partition sizing follows the input volume (``session.size_for``); file
-    sources are measured, other sources (JDBC) need ``input_bytes`` given.
+    Partition sizing follows the input volume (``session.size_for``) unless ``sizing`` is
+    off; file sources are measured, other sources (JDBC) need ``input_bytes`` given.
     ``source_counts`` maps a table to its source system's own row count
     (e.g. ``jdbc.source_row_count``) for the gate's row-count check.
     """
     configure(spark)
-    if input_bytes is None:
+    if sizing and input_bytes is None:
         input_bytes = sum(fs.input_bytes(spark, df) for df in sources.values())
+        if sources and not input_bytes:
+            raise ValueError("the sources' volume can't be measured: give input_bytes, or sizing=False")
     batch_id = batch_id or new_batch_id()
     before = {k: spark.conf.get(k, None) for k in SIZING_KEYS}
-    summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes)}
+    summary: dict = {"batch_id": batch_id, "sizing": size_for(spark, input_bytes) if sizing else {}}
     try:
         return _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
-                          summary, source_counts)
+                          summary, source_counts, validate, error_policy)
     finally:   # the sizing belongs to this run; the session goes back to what it was
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _run_steps(spark, sources, root, calendar_start, calendar_days, as_of, fmt, batch_id, publish_mode,
-               summary: dict, source_counts=None) -> dict:
-    extract = ingest(spark, sources, root, batch_id, fmt=fmt, publish_mode=publish_mode, source_counts=source_counts)
+               summary: dict, source_counts, validate: bool, error_policy: str | None) -> dict:
+    extract = ingest(spark, sources, root, batch_id, validate=validate, error_policy=error_policy, fmt=fmt,
+                     publish_mode=publish_mode, source_counts=source_counts)
     summary["extract"] = extract
     if any(r["status"] != "SUCCESS" for r in extract):
         summary["status"] = "EXTRACT_FAILED"
         return summary
-    loaded = load_staging(spark, root, list(sources), batch_id, fmt, publish_mode=publish_mode)
+    loaded = load_staging(spark, root, list(sources), batch_id, fmt, error_policy, publish_mode=publish_mode)
     summary["load"] = loaded
     if any(r["status"] != "SUCCESS" for r in loaded):
         summary["status"] = "LOAD_FAILED"

@@ -15,25 +15,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import days_between, safe_ratio
-from tidepool.operators import calendar
-from tidepool.operators.joins import join_bounded
 
 
-def _calendar(dim_date: DataFrame, alias_key: str, alias_date: str) -> DataFrame:
-    return dim_date.select(F.col("date_key").alias(alias_key), F.col("full_date").alias(alias_date))
+def _with_date(counted: DataFrame, dim_date: DataFrame, key: str, name: str) -> DataFrame:
+    """Look up the calendar date of ``key``; the calendar has a declared number of days and is broadcast."""
+    days = dim_date.select(F.col("date_key").alias(key), F.col("full_date").alias(name))
+    return counted.join(F.broadcast(days), key, "left")
 
 
-def mart_revenue_daily(fact_transactions: DataFrame, dim_date: DataFrame,
-                       calendar_days: int = calendar.DEFAULT_DAYS) -> DataFrame:
+def mart_revenue_daily(fact_transactions: DataFrame, dim_date: DataFrame) -> DataFrame:
     daily = fact_transactions.groupBy("date_key", "source").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("gross_amount").alias("gross_revenue"),
         F.sum("discount_amount").alias("total_discount"),
         F.sum("net_amount").alias("net_revenue"),
     )
-    joined = join_bounded(daily, _calendar(dim_date, "date_key", "transaction_date"), "date_key", "left",
-                          calendar_days)
-    return joined.select(
+    return _with_date(daily, dim_date, "date_key", "transaction_date").select(
         "date_key", "transaction_date", "source", "transaction_count", "gross_revenue", "total_discount",
         "net_revenue", safe_ratio("net_revenue", "transaction_count").alias("avg_order_value"))
 
@@ -67,8 +64,8 @@ def mart_customer_analytics(dim_customer: DataFrame, fact_transactions: DataFram
     )
 
 
-def mart_operations_booking(activities: DataFrame, booking_logs: DataFrame, dim_date: DataFrame,
-                            calendar_days: int = calendar.DEFAULT_DAYS) -> DataFrame:
+def mart_operations_booking(activities: DataFrame, booking_logs: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Bookings by day, source page and status; a booking id that is delivered twice meets both of its rows."""
     src = booking_logs.select(F.col("id").alias("_bid"), "source_page")
     counted = (
         activities.select("booking_id", "scheduled_date_key", "status", "price")
@@ -77,34 +74,7 @@ def mart_operations_booking(activities: DataFrame, booking_logs: DataFrame, dim_
                  "status")
         .agg(F.count(F.lit(1)).alias("booking_count"), F.sum("price").alias("booking_revenue"))
     )
-    joined = join_bounded(counted, _calendar(dim_date, "scheduled_date_key", "scheduled_date"),
-                          "scheduled_date_key", "left", calendar_days)
-    return joined.select("scheduled_date_key", "scheduled_date", "source_page", "status", "booking_count",
-                         "booking_revenue")
-
-
-def mart_operations_booking_keyed(booking_logs: DataFrame, dim_date: DataFrame,
-                                  calendar_days: int = calendar.DEFAULT_DAYS) -> DataFrame:
-    """The same mart with its two joins eliminated (one scan of the bookings).
-
-    Valid whenever the staging keys are unique, which the pre-publish gate
-    enforces (``unique: [id]`` on booking_logs and booking_groups):
-      * the activity fact has exactly one row per treatment booking (its left
-        join to booking groups on a unique id neither drops nor repeats rows);
-      * joining that row back to booking_logs on the unique ``id`` returns the
-        very row it came from, so ``source_page`` is the row's own.
-    The mart then is a single partial/final aggregate over the bookings; the
-    event-sized self-join (two shuffles of the bookings) disappears.
-    """
-    from tidepool.functions import date_key
-    counted = (
-        booking_logs.where(F.col("item_type") == "treatment")
-        .groupBy(date_key("scheduled_date").alias("scheduled_date_key"),
-                 F.coalesce(F.col("source_page"), F.lit("unknown")).alias("source_page"), "status")
-        .agg(F.count(F.lit(1)).alias("booking_count"), F.sum("price").alias("booking_revenue"))
-    )
-    joined = join_bounded(counted, _calendar(dim_date, "scheduled_date_key", "scheduled_date"),
-                          "scheduled_date_key", "left", calendar_days)
+    joined = _with_date(counted, dim_date, "scheduled_date_key", "scheduled_date")
     return joined.select("scheduled_date_key", "scheduled_date", "source_page", "status", "booking_count",
                          "booking_revenue")
 

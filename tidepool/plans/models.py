@@ -24,27 +24,22 @@ MART_MODELS = ["mart_revenue_daily", "mart_customer_analytics", "mart_operations
                "mart_product_analytics", "mart_treatment_analytics"]
 ALL_MODELS = WAREHOUSE_MODELS + MART_MODELS
 
-# Fixture parameters: the calendar window is derived from the data (orders and
-# line items fall in 1995-2001, events in 2024, so it spans 1995-01-01 ..
-# 2024-12-31); recency is measured as of 2002-01-01.
-FIXTURE_CALENDAR_START = None
-FIXTURE_CALENDAR_DAYS = None
+# Fixture parameters: orders and line items fall in 1995-2001, events in 2024, so the
+# declared calendar spans 1995-01-01 .. 2024-12-31; recency is measured as of 2002-01-01.
+FIXTURE_CALENDAR_START = "1995-01-01"
+FIXTURE_CALENDAR_DAYS = 10958
 FIXTURE_AS_OF = "2002-01-01"
 
 
 @dataclass
 class Models:
-    """``calendar_start`` / ``calendar_days`` fix the calendar window; when both
-    are None it is derived from the facts' own dates (whole years covering every
-    transaction, completed item and booking), so every fact date finds its day."""
+    """``calendar_start`` / ``calendar_days`` declare the calendar. A fact dated outside
+    it has no calendar date, which is what the not_null test on the marts' dates finds."""
     spark: SparkSession
     staging: Mapping[str, DataFrame]
-    calendar_start: str | None = calendar.DEFAULT_START
-    calendar_days: int | None = calendar.DEFAULT_DAYS
+    calendar_start: str = calendar.DEFAULT_START
+    calendar_days: int = calendar.DEFAULT_DAYS
     as_of: str = "2030-01-01"
-    # Staging keys passed the unique gate; lets marts skip joins that can only
-    # return the row they started from (see marts.mart_operations_booking_keyed).
-    trusted_keys: bool = True
     _built: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -56,18 +51,9 @@ class Models:
         """Swap in a materialised copy; later consumers read it instead of recomputing."""
         self._built[name] = df
 
-    def calendar_window(self) -> tuple[str, int]:
-        if self.calendar_start is None or self.calendar_days is None:
-            s = self.staging
-            window = calendar.covering_window([s["transactions"].select("created_at"),
-                                               s["completed_items"].select("created_at"),
-                                               s["booking_logs"].select("scheduled_date")])
-            self.calendar_start, self.calendar_days = window or (calendar.DEFAULT_START, calendar.DEFAULT_DAYS)
-        return self.calendar_start, self.calendar_days
-
     # warehouse layer
     def _dim_date(self):
-        return dims.dim_date(self.spark, *self.calendar_window())
+        return dims.dim_date(self.spark, self.calendar_start, self.calendar_days)
 
     def _dim_customer(self):
         s = self.staging
@@ -90,17 +76,14 @@ class Models:
 
     # mart layer
     def _mart_revenue_daily(self):
-        return marts.mart_revenue_daily(self["fact_transactions"], self["dim_date"], self.calendar_window()[1])
+        return marts.mart_revenue_daily(self["fact_transactions"], self["dim_date"])
 
     def _mart_customer_analytics(self):
         return marts.mart_customer_analytics(self["dim_customer"], self["fact_transactions"], self.as_of)
 
     def _mart_operations_booking(self):
-        if self.trusted_keys:
-            return marts.mart_operations_booking_keyed(self.staging["booking_logs"], self["dim_date"],
-                                                       self.calendar_window()[1])
         return marts.mart_operations_booking(self["fact_treatment_activities"], self.staging["booking_logs"],
-                                             self["dim_date"], self.calendar_window()[1])
+                                             self["dim_date"])
 
     def _mart_product_analytics(self):
         return marts.mart_product_analytics(self["dim_product"], self["fact_completed_items"])

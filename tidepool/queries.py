@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from tidepool import oracle
 from tidepool.config import load_rules, load_tests
 from tidepool.functions import date_key, surrogate_key
-from tidepool.operators import constraints, quality
+from tidepool.operators import calendar, constraints, quality
 from tidepool.plans import dims, jobs, marts
 from tidepool.plans.models import (ALL_MODELS, FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START,
                                    fixture_models)
 from tidepool.schema import CONTRACTS, SOURCE_TABLES
 from tidepool.session import configure, scratch_path
 from tidepool.sources import lake
-from tidepool.sources.bindings import BINDINGS, bind, bind_all, read_table
+from tidepool.sources.bindings import BINDINGS, bind, bind_all, scan_table
 from tidepool.sources.profile import profile
 from tidepool.sources.staging import apply_contract, contract_report
 
@@ -59,7 +59,18 @@ def _model_query(name: str):
 
 
 for _m in ALL_MODELS:
-    register(f"q_{_m}", oracle.model(_m))(_model_query(_m))
+    if _m != "dim_date":
+        register(f"q_{_m}", oracle.model(_m))(_model_query(_m))
+
+
+@register("q_dim_date", oracle.model("dim_date"))
+def q_dim_date(spark, sf_dir):
+    """M1/G1 over the facts' own years: the window is part of the plan, no job runs while it is built."""
+    configure(spark)
+    return calendar.calendar_of(calendar.covering_spine([
+        bind(spark, sf_dir, "transactions").select("created_at"),
+        bind(spark, sf_dir, "completed_items").select("created_at"),
+        bind(spark, sf_dir, "booking_logs").select("scheduled_date")]))
 
 
 # ---------------------------------------------------------------------------
@@ -170,18 +181,24 @@ def _gate_probe(spark, sf_dir):
     return quality.gate(bind(spark, sf_dir, "transactions"), PROBE_TABLE, PROBE_RULES)
 
 
+def _raw_rows(spark, sf_dir, t):
+    """A row per row of the raw table behind feed ``t``: the source side of the row_count check."""
+    return scan_table(spark, sf_dir, BINDINGS[t].source).select(F.lit(1).alias("_one"))
+
+
 def _gate_all(spark, sf_dir):
     configure(spark)
-    return _union([quality.gate(bind(spark, sf_dir, t), t, RULES.get(t)) for t in SOURCE_TABLES])
+    return _union([quality.gate(bind(spark, sf_dir, t), t, RULES.get(t), source=_raw_rows(spark, sf_dir, t))
+                   for t in SOURCE_TABLES])
 
 
 register("q_gate_table", _gate_oracle([("transactions", PROBE_TABLE, PROBE_RULES, None)]))(_gate_probe)
-register("q_gate_all", _gate_oracle([(t, t, RULES[t], None) for t in SOURCE_TABLES]))(_gate_all)
+register("q_gate_all", _gate_oracle([(t, t, RULES[t], BINDINGS[t].source) for t in SOURCE_TABLES]))(_gate_all)
 
 
 def _summary_oracle() -> str:
     checks = _gate_oracle([("transactions", PROBE_TABLE, PROBE_RULES, None)] +
-                          [(t, t, RULES[t], None) for t in SOURCE_TABLES])
+                          [(t, t, RULES[t], BINDINGS[t].source) for t in SOURCE_TABLES])
     return (f"SELECT table_name, CASE WHEN count_if(status <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall, "
             f"CASE WHEN count_if(status <> 'PASS') = 0 THEN NULL ELSE "
             f"string_agg(CASE WHEN status <> 'PASS' THEN check_name END, ', ' ORDER BY check_order) END "
@@ -215,27 +232,12 @@ def q_check_row_count(spark, sf_dir):
     """Did the extract deliver every source row? Source = raw driver table, batch = bound feed."""
     configure(spark)
     frames = [quality.gate(bind(spark, sf_dir, t), t, {"columns": CONTRACTS[t].fieldNames()},
-                           source=read_table(spark, sf_dir, BINDINGS[t].source).select(F.lit(1).alias("_one")))
+                           source=_raw_rows(spark, sf_dir, t))
               for t in SOURCE_TABLES]
     return _union(frames).where(F.col("check_name") == "row_count").select(
         "table_name", "check_name", "status", "detail")
 
 
-NOT_NULL_PROBE = ["customer_phone", "discount_amount", "id"]
-
-
-@register("q_check_not_null", oracle.compose("SELECT column_name, failing_rows AS null_rows, status FROM (\n" +
-                                             oracle.suite_sql([("", "transactions", c, "not_null", None)
-                                                               for c in NOT_NULL_PROBE]) + "\n) q"))
-def q_check_not_null(spark, sf_dir):
-    """Q3 per column: NULL rows in three transaction columns."""
-    configure(spark)
-    t = bind(spark, sf_dir, "transactions")
-    specs = [("", "transactions", c, "not_null", None) for c in NOT_NULL_PROBE]
-    return constraints.run_suite(spark, {"transactions": t}, specs).select(
-        "column_name", F.col("failing_rows").alias("null_rows"), "status")
-
-
 def _single_check(spark, df, table, rules, name, bad_alias):
     configure(spark)
     return quality.gate(df, table, rules).where(F.col("check_name") == name).select(
@@ -257,11 +259,21 @@ def _plain_check_oracle(view, columns, rules, name, bad_alias):
                           f"WHERE check_name = {oracle._lit(name)}", e)
 
 
+_NOT_NULL_RULES = {"not_null": ["id", "customer_phone", "discount_amount"]}
+
+
+@register("q_check_not_null", _plain_check_oracle("transactions", CONTRACTS["transactions"].fieldNames(), _NOT_NULL_RULES,
+                                                  "not_null", "null_cells"))
+def q_check_not_null(spark, sf_dir):
+    """Q3: the gate's own check over three transaction columns."""
+    return _single_check(spark, bind(spark, sf_dir, "transactions"), "transactions", _NOT_NULL_RULES, "not_null", "null_cells")
+
+
 @register("q_check_unique", _plain_check_oracle("lineitem", _LINEITEM_COLS, _UNIQUE_RULES, "unique",
                                                 "duplicate_groups"))
 def q_check_unique(spark, sf_dir):
     """Q4: composite-key duplicates in the line items (NULL equals NULL)."""
-    return _single_check(spark, read_table(spark, sf_dir, "lineitem"), "lineitem", _UNIQUE_RULES, "unique",
+    return _single_check(spark, scan_table(spark, sf_dir, "lineitem"), "lineitem", _UNIQUE_RULES, "unique",
                          "duplicate_groups")
 
 
@@ -269,7 +281,7 @@ def q_check_unique(spark, sf_dir):
                                                    "bad_rows"))
 def q_check_min_value(spark, sf_dir):
     """Q5: account balances below zero."""
-    return _single_check(spark, read_table(spark, sf_dir, "customer"), "customer", _MIN_RULES,
+    return _single_check(spark, scan_table(spark, sf_dir, "customer"), "customer", _MIN_RULES,
                          "min_value.c_acctbal", "bad_rows")
 
 
@@ -287,22 +299,34 @@ def q_check_accepted_values(spark, sf_dir):
 SUITE = load_tests()
 
 
-def _suite_frames(spark, sf_dir):
+# Beside the shipped suite: a column whose values do repeat, so that values and rows differ.
+REPEATED = [("staging", "transactions", "customer_name", "unique", None)]
+
+
+def _suite_frames(spark, sf_dir, specs):
+    """The tested tables; each model that is needed is computed once and read back."""
     m = _models(spark, sf_dir)
-    frames = {}
-    for _layer, model, *_ in SUITE:
-        if model not in frames:
-            frames[model] = m[model] if model in ALL_MODELS else bind(spark, sf_dir, model)
-    return frames
+    tested = list(dict.fromkeys(model for _layer, model, *_ in specs))
+    wanted = [name for name in ALL_MODELS if name in tested]
+    below = {"mart_revenue_daily": ["dim_date", "fact_transactions"], "mart_customer_analytics": ["dim_customer", "fact_transactions"],
+             "mart_operations_booking": ["dim_date", "fact_treatment_activities"],
+             "mart_product_analytics": ["dim_product", "fact_completed_items"],
+             "mart_treatment_analytics": ["dim_treatment", "fact_treatment_activities"]}
+    needed = {x for name in wanted for x in [name, *below.get(name, [])]}
+    for name in (x for x in ALL_MODELS if x in needed):   # warehouse models come before marts
+        path = scratch_path(spark, "suite", name)
+        m[name].write.parquet(path)
+        m.replace(name, spark.read.schema(m[name].schema).parquet(path))
+    return {name: m[name] if name in ALL_MODELS else bind(spark, sf_dir, name) for name in tested}
 
 
 def _suite_query(kind: str | None):
     cols = ["model", "column_name", "test", "failing_rows", "status"] if kind is None else \
         ["model", "column_name", "failing_rows"]
-    specs = [s for s in SUITE if kind is None or s[3] == kind]
+    specs = [s for s in SUITE if kind is None or s[3] == kind] + (REPEATED if kind == "unique" else [])
 
     def run(spark, sf_dir):
-        return constraints.run_suite(spark, _suite_frames(spark, sf_dir), specs).select(*cols)
+        return constraints.run_suite(spark, _suite_frames(spark, sf_dir, specs), specs).select(*cols)
 
     sql = oracle.compose(f"SELECT {', '.join(cols)} FROM (\n{oracle.suite_sql(specs)}\n) t")
     return run, sql
@@ -353,19 +377,22 @@ def q_source_profile(spark, sf_dir):
 
 
 def _contract_text(spark, sf_dir):
-    """completed_items as delivered text, with an unparseable price on some parts."""
+    """completed_items as delivered text: prices like 150000.0 on some parts, unparseable ones on others."""
     b = BINDINGS["completed_items"]
-    text = read_table(spark, sf_dir, b.source).selectExpr(*b.exprs, "l_partkey AS _pk")
+    text = scan_table(spark, sf_dir, b.source).selectExpr(*b.exprs, "l_partkey AS _pk")
     cols = CONTRACTS["completed_items"].fieldNames()
-    return text.select(*[(F.when(F.col("_pk") % 97 == 0, F.lit("abc")).otherwise(F.col(c).cast("string"))
-                          if c == "price" else F.col(c).cast("string")).alias(c) for c in cols])
+    price = F.col("price").cast("string")
+    delivered = (F.when(F.col("_pk") % 97 == 0, F.lit("abc")).when(F.col("_pk") % 5 == 0, F.concat(price, F.lit(".0")))
+                 .otherwise(price))
+    return text.select(*[(delivered if c == "price" else F.col(c).cast("string")).alias(c) for c in cols])
 
 
 def _contract_oracle() -> str:
     b = BINDINGS["completed_items"]
     contract = CONTRACTS["completed_items"]
     cols = contract.fieldNames()
-    text = ", ".join(f"CASE WHEN _pk % 97 = 0 THEN 'abc' ELSE CAST({c} AS VARCHAR) END AS {c}" if c == "price"
+    text = ", ".join(f"CASE WHEN _pk % 97 = 0 THEN 'abc' WHEN _pk % 5 = 0 THEN CAST({c} AS VARCHAR) || '.0' "
+                     f"ELSE CAST({c} AS VARCHAR) END AS {c}" if c == "price"
                      else f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
     body = (f"SELECT {text} FROM (SELECT {', '.join(b.exprs)}, l_partkey AS _pk FROM {b.source}) s")
     parts = [f"SELECT {oracle._lit(f.name)} AS column_name, CAST(count_if({f.name} IS NOT NULL AND "
@@ -415,26 +442,42 @@ def q_snapshot_replace(spark, sf_dir):
         "year", "month", "day")
 
 
-@register("q_csv_format_scan", oracle.compose("SELECT * FROM reviews"))
+# Review comments as delivered, by event: what the CSV dialect must keep, and what it reads as NULL.
+_COMMENTS = """CASE CAST(id AS BIGINT) % 9 WHEN 0 THEN ' lead' WHEN 1 THEN 'trail ' WHEN 2 THEN '   '
+ WHEN 3 THEN 'says "so", twice' WHEN 4 THEN {line_break} WHEN 5 THEN 'NULL' WHEN 6 THEN '' WHEN 7 THEN '""' ELSE comment END"""
+# Rows that arrive without their last two fields, and rows with one field too many.
+_SHORT, _LONG = "CAST(id AS BIGINT) % 50 = 11", "CAST(id AS BIGINT) % 50 = 12"
+
+
+@register("q_csv_format_scan", oracle.compose(
+    f"SELECT id, booking_group_id, customer_name, rating, CASE WHEN c IN ('', 'NULL') THEN NULL ELSE c END AS comment, "
+    f"CASE WHEN NOT ({_SHORT}) THEN created_at END AS created_at, CASE WHEN NOT ({_SHORT}) THEN guest_index END AS guest_index "
+    f"FROM (SELECT *, {_COMMENTS.format(line_break="'one' || chr(10) || 'two'")} AS c FROM reviews) r"))
 def q_csv_format_scan(spark, sf_dir):
-    """Reviews (free text with quotes, commas) through the CSV lake and back to contract types."""
+    """Reviews through the CSV lake and back: blanks, quotes, line breaks, NULL words, short and long rows."""
     configure(spark)
     root = scratch_path(spark, "csv_scan")
-    recs = jobs.ingest(spark, {"reviews": bind(spark, sf_dir, "reviews")}, root, "20260809_023000",
+    comment = F.expr(_COMMENTS.format(line_break="'one' || chr(10) || 'two'"))
+    feed = bind(spark, sf_dir, "reviews").withColumn("comment", comment)
+    recs = jobs.ingest(spark, {"reviews": feed.where(f"NOT ({_SHORT}) AND NOT ({_LONG})")}, root, "20260809_023000",
                            fmt="csv", ingest_date=INGEST_DATE)
     _require(recs[0]["status"] == "SUCCESS", recs[0])
     contract = CONTRACTS["reviews"]
     raw = jobs.published(spark, lake.table_path(root, "reviews"))
+    short = feed.where(_SHORT).select(*contract.fieldNames()[:-2])
+    long = feed.where(_LONG).withColumn("surplus", F.lit("x"))
+    for name, ragged in (("short", short), ("long", long)):   # files as another writer might deliver them
+        ragged.write.options(**lake.CSV_WRITE).csv(f"{raw}/ragged_{name}")
     return apply_contract(lake.read_csv_text(spark, raw, contract.fieldNames()), contract)
 
 
 @register("q_stage_load", oracle.compose("SELECT * FROM completed_items"))
 def q_stage_load(spark, sf_dir):
-    """completed_items: CSV lake -> positional ANSI cast -> staging table."""
+    """completed_items, prices delivered as 150000.0: CSV lake -> positional ANSI cast -> staging table."""
     configure(spark)
     root = scratch_path(spark, "stage_load")
-    jobs.ingest(spark, {"completed_items": bind(spark, sf_dir, "completed_items")}, root, "20260809_023000",
-                    fmt="csv", ingest_date=INGEST_DATE)
+    feed = bind(spark, sf_dir, "completed_items").withColumn("price", F.col("price").cast("decimal(20,1)"))
+    jobs.ingest(spark, {"completed_items": feed}, root, "20260809_023000", fmt="csv", ingest_date=INGEST_DATE)
     recs = jobs.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")
     _require(recs[0]["status"] == "SUCCESS", recs[0])
     return spark.read.parquet(jobs.published(spark, jobs.staging_path(root, "completed_items")))
@@ -473,7 +516,8 @@ def _audit_oracle() -> str:
         failing = t == FAILING_FEED
         status = "'VALIDATION_FAILED'" if failing else "'SUCCESS'"
         loaded = "CAST(0 AS BIGINT)" if failing else "CAST(count(*) AS BIGINT)"
-        parts.append(f"SELECT {oracle._lit(t)} AS source_table, {status} AS status, "
+        why = "'validation failed: min_value.price'" if failing else "CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT {oracle._lit(t)} AS source_table, {status} AS status, {why} AS error_message, "
                      f"CAST(count(*) AS BIGINT) AS rows_extracted, {loaded} AS rows_loaded FROM {t}")
     return oracle.compose("\nUNION ALL\n".join(parts))
 
@@ -491,7 +535,7 @@ def q_batch_audit(spark, sf_dir):
     sources = {t: bind(spark, sf_dir, t) for t in AUDIT_TABLES}
     sources[FAILING_FEED] = _bad_products(sources[FAILING_FEED])
     jobs.ingest(spark, sources, root, "20260809_023000", ingest_date=INGEST_DATE)
-    return _audit_frame(spark, root).select("source_table", "status", "rows_extracted", "rows_loaded")
+    return _audit_frame(spark, root).select("source_table", "status", "error_message", "rows_extracted", "rows_loaded")
 
 
 @register("q_gate_publish", oracle.compose("SELECT * FROM spa_products"))

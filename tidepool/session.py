@@ -14,6 +14,7 @@ bytes, not what the side occupies in memory) is not used.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,35 +43,27 @@ def configure(spark: SparkSession) -> SparkSession:
 # data so a reducer's share fits executor memory (spilling beyond that), and
 # never fewer than a few partitions per core. AQE coalesces the small ones.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
-SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
 SIZING_KEYS = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
                "spark.sql.shuffle.partitions")
 
 
-def size_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
-    """Settings for a job over ``input_bytes`` of input, applied only where the
-    session still has Spark's defaults (an operator's explicit choice wins).
+def size_for(spark: SparkSession, input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Set and return the partition settings for a job over ``input_bytes`` of input.
 
-    * initial shuffle partitions = input / 256 MB, at least 4 x cores, capped -
-      AQE starts there and coalesces down to the advisory size;
-    * scan splits of 256 MB (fewer, fuller tasks at 100 TB scale);
-    * broadcast joins stay at Spark's 10 MB default threshold (measured size).
+    * shuffle partitions (and AQE's initial number) = input / ``target_bytes``, at least
+      4 x cores and without a ceiling - AQE coalesces down to the advisory size;
+    * scan splits of ``target_bytes``.
+
+    The settings replace what the session has; a caller that wants its own leaves this out
+    (``jobs.run_pipeline(..., sizing=False)``). For 100 TB at 256 MB these are 409,600
+    partitions; a larger target gives fewer.
     """
     cores = max(1, spark.sparkContext.defaultParallelism)
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(4 * cores, -(-int(input_bytes) // TARGET_PARTITION_BYTES)))
-    wanted = {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
-    }
-    applied = {}
-    if spark.conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_SHUFFLE_PARTITIONS:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    partitions = max(4 * cores, -(-int(input_bytes) // target_bytes))
+    wanted = dict(zip(SIZING_KEYS, (str(partitions), str(target_bytes), str(partitions))))
     for key, value in wanted.items():
-        if spark.conf.get(key, None) in (None, "", "128MB", "134217728") or key == "spark.sql.shuffle.partitions":
-            spark.conf.set(key, value)
-            applied[key] = value
-    return applied
+        spark.conf.set(key, value)
+    return wanted
 
 
 def build_session(master: str = "local[*]", app: str = "tidepool",
@@ -98,15 +91,18 @@ def build_session(master: str = "local[*]", app: str = "tidepool",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local runs and tests) do we
+    Read from the session. Only when it is unset and the master is local (tests) do we
     create one and register it, so checkpoint() and our written tables land in
-    the same place.
+    the same place. On a cluster an unset folder is an error: executors would write to
+    their own disks.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir()
-    if not path:   # unset (local runs, tests): create one and register it
+    if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         sc.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)

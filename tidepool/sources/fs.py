@@ -7,6 +7,8 @@ the new one is in place.
 
 from __future__ import annotations
 
+import time
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -66,13 +68,19 @@ POINTER = "_CURRENT"
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small object in a single create (atomic PUT on object stores)."""
-    fs, p, _ = _fs(spark, path)
-    out = fs.create(p, True)
+    """Replace one small file: written under a name of its own, then renamed over ``path`` in one step."""
+    fs, p, jvm = _fs(spark, path)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(fresh, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(p), over)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -84,11 +92,20 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _pointed(spark: SparkSession, target: str) -> list[str]:
+    """The batch that ``target``'s pointer serves and, if there is one, the batch before it."""
+    pointer = f"{target.rstrip('/')}/{POINTER}"
+    return read_text(spark, pointer).split() if exists(spark, pointer) else []
+
+
 def resolve(spark: SparkSession, target: str) -> str:
     """The folder currently served as ``target``: the batch its pointer names
     (pointer publishing), else ``target`` itself (rename publishing)."""
-    pointer = f"{target.rstrip('/')}/{POINTER}"
-    return read_text(spark, pointer).strip() if exists(spark, pointer) else target
+    served = _pointed(spark, target)
+    if served:
+        return served[0]
+    recover(spark, target)
+    return target
 
 
 def batch_dir(target: str, batch: str) -> str:
@@ -99,24 +116,47 @@ def batch_dir(target: str, batch: str) -> str:
 def publish_pointer(spark: SparkSession, staged: str, target: str, keep_history: bool = False) -> None:
     """Swap ``target``'s pointer to ``staged`` (a folder below ``target/_batches``).
 
-    No data moves: on object stores a directory rename is a copy of every object,
-    while this is one small atomic PUT. The previous batch is removed after the
-    swap unless history is kept. Readers go through ``resolve``.
+    No data moves: on object stores a directory rename is a copy of every object. The
+    batch that was served stays for one cycle, for readers that have planned on it; the
+    one before it is removed unless history is kept. Readers go through ``resolve``.
     """
-    pointer = f"{target.rstrip('/')}/{POINTER}"
-    previous = read_text(spark, pointer).strip() if exists(spark, pointer) else None
-    write_text(spark, pointer, staged)
-    if previous and previous != staged and not keep_history:
-        delete(spark, previous)
+    served = [b for b in _pointed(spark, target) if b != staged]
+    write_text(spark, f"{target.rstrip('/')}/{POINTER}", "\n".join([staged, *served[:1]]))
+    if not keep_history:
+        for old in served[1:]:
+            delete(spark, old)
+
+
+ASIDE = ".__previous."
+
+
+def _asides(spark: SparkSession, target: str) -> list[str]:
+    """Side folders of ``target``, oldest first."""
+    fs, p, _ = _fs(spark, target)
+    parent = p.getParent()
+    if not fs.exists(parent):
+        return []
+    found = [st.getPath() for st in fs.listStatus(parent) if st.getPath().getName().startswith(p.getName() + ASIDE)]
+    return sorted((str(f.toString()) for f in found), key=lambda f: f.rpartition(ASIDE)[2])
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """After a stop between the two renames of ``publish``, put the last snapshot back."""
+    if not exists(spark, target):
+        asides = _asides(spark, target)
+        if asides:
+            rename(spark, asides[-1], target)
 
 
 def publish(spark: SparkSession, staged: str, target: str, history: str | None = None) -> None:
-    """Swap ``staged`` in as ``target``. The old target moves to ``history`` (kept)
-    or to a side folder that is removed only after the swap succeeded."""
-    aside = history or (target.rstrip("/") + ".__previous")
+    """Swap ``staged`` in as ``target``. The old target moves to ``history`` (kept) or to a side
+    folder of its own name, which stays for one cycle; earlier ones are removed."""
+    recover(spark, target)
+    earlier = _asides(spark, target)
+    aside = history or f"{target.rstrip('/')}{ASIDE}{time.time_ns():020d}.{uuid.uuid4().hex}"
     had_old = exists(spark, target)
     if had_old:
-        if exists(spark, aside):
+        if history and exists(spark, aside):
             delete(spark, aside)
         rename(spark, target, aside)
     try:
@@ -125,5 +165,5 @@ def publish(spark: SparkSession, staged: str, target: str, history: str | None =
         if had_old:
             rename(spark, aside, target)
         raise
-    if had_old and history is None:
-        delete(spark, aside)
+    for old in earlier:
+        delete(spark, old)

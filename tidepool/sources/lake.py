@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""',
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
              "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
              "dateFormat": "yyyy-MM-dd"}
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
-            "enforceSchema": "true"}
+            "enforceSchema": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 NULL_TOKENS = ("", "NULL")
 # multiLine CSV cannot be split on read: one file = one read task. Bounding the
 # rows per file keeps files (and read tasks) at a few hundred MB at most.

@@ -8,13 +8,21 @@ non-NULL values would not cast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.schema import UnmappedTypeError
 
 
+def _typed(c: Column, source: T.DataType, target: T.DataType, cast: str = "cast") -> Column:
+    """``c`` cast to the contract's type. Whole numbers that arrive as text may carry a fraction of
+    zeros ("150000.0"), so text goes through a decimal without places."""
+    if isinstance(source, T.StringType) and isinstance(target, T.LongType):
+        c = getattr(c, cast)(T.DecimalType(38, 0))
+    return getattr(c, cast)(target)
+
+
 def apply_contract(df: DataFrame, contract: T.StructType, variant_columns=()) -> DataFrame:
     """Positional cast of ``df`` (same column count) to ``contract`` names and types.
 
@@ -26,7 +34,7 @@ def apply_contract(df: DataFrame, contract: T.StructType, variant_columns=()) ->
         raise UnmappedTypeError(f"batch has {len(df.columns)} columns, contract {len(contract.fields)}")
     out = []
     for src, f in zip(df.columns, contract.fields):
-        c = F.col(src).cast(f.dataType)
+        c = _typed(F.col(src), df.schema[src].dataType, f.dataType)
         if f.name in variant_columns:
             c = F.parse_json(c)
         out.append(c.alias(f.name))
@@ -35,8 +43,8 @@ def apply_contract(df: DataFrame, contract: T.StructType, variant_columns=()) ->
 
 def contract_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     """(column_name, uncastable_rows) in contract order, from ONE aggregate."""
-    aggs = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-            .cast("long").alias(f.name) for f in contract.fields]
+    aggs = [F.count_if(F.col(f.name).isNotNull()
+                       & _typed(F.col(f.name), df.schema[f.name].dataType, f.dataType, "try_cast").isNull()).cast("long").alias(f.name) for f in contract.fields]
     rows = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("uncastable_rows"))
             for f in contract.fields]
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
