@@ -136,21 +136,35 @@ class _Scorer:
         self.rows = {w: i for i, w in enumerate(self.words)}
         self.logs = np.vstack([self.word_logs.reshape(-1, len(self.langs)),
                                np.zeros((self.KEPT, len(self.langs)), "float32")])
-        self.used = len(self.words)
+        self.used, self.fresh = len(self.words), []
 
     def _row(self, word: str) -> int:
         row = self.rows.get(word)
         if row is None:
             row = self.rows[word] = self.used
             self.used += 1
+            self.fresh.append(word)
+        return row
+
+    def _fill(self) -> None:
+        """The vectors of words seen for the first time: means over their longest known n-grams."""
+        np, flat, sizes, known = self.np, [], [], self.grams.get
+        for word in self.fresh:
+            own: list[int] = []
             for n in range(LONGEST_GRAM, 0, -1):
-                known = [i for g in grams(word, n) if (i := self.grams.get(g)) is not None]
-                if known:
-                    self.logs[row] = self.gram_logs[known].mean(0)
+                own = [i for g in grams(word, n) if (i := known(g)) is not None]
+                if own:
                     break
-            else:
-                self.logs[row] = 0
-        return row
+            flat += own
+            sizes.append(len(own))
+        size = np.array(sizes)
+        first = self.used - len(sizes)
+        self.logs[first:self.used] = 0   # no known character at all
+        some = np.flatnonzero(size)
+        if len(some):
+            starts = (np.cumsum(size) - size)[some]
+            self.logs[first + some] = np.add.reduceat(self.gram_logs[flat], starts, axis=0) / size[some, None]
+        self.fresh = []
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         found = letter_words(text) if text is not None else []
@@ -163,7 +177,10 @@ class _Scorer:
             part = found[at:at + 100_000]
             if self.used + len(part) > len(self.logs):
                 self._start()
-            total = total + self.logs[np.fromiter(map(self._row, part), "int64", len(part))].sum(0, dtype="float64")
+            rows = np.fromiter(map(self._row, part), "int64", len(part))
+            if self.fresh:
+                self._fill()
+            total = total + self.logs[rows].sum(0, dtype="float64")
         weighed = total * min(1.0, EVIDENCE_WORDS / len(found))
         shares = np.exp(weighed - weighed.max())
         best = int(shares.argmax())
