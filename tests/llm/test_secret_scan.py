@@ -1,0 +1,53 @@
+import random
+import re
+import string
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidepool.llm import secret_scan
+from tidepool.llm.queries import QUERIES
+
+PLAIN = [(re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 6, 1),
+         (re.compile("AKIA[A-Z0-9]+"), 20, 0), (re.compile("[0-9a-f]+"), 24, 0)]
+
+
+def plain(text):
+    return sorted((m.start(), kind, m.end()) for kind, (p, least, g) in enumerate(PLAIN) for m in p.finditer(text) if len(m[g]) >= least)
+
+
+def test_base_spans_of_awkward_texts():
+    rng = random.Random(4)
+    bits = ["password", "PassWd", "secret", "TOKEN", "api_key", "apikey", "=", ":", " ", '"', "'", "abc", "hunter22x", "a.b-c_d/e=f+", "AKIA",
+            "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "\n", "é", "\U0001f600", "K", "ſecret=abcdefg"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))
+        assert secret_scan.base_spans(text) == plain(text), repr(text)
+
+
+def test_models_tell_random_strings_from_identifiers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratio = secret_scan.train(docs)
+    rng = random.Random(8)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(32)) for _ in range(300)]
+    found = sum(any(k == 3 for _, k, _ in secret_scan.spans(f"see {key} there", ratio)) for key in keys)
+    assert found >= 0.97 * len(keys)
+    for name in ("internationalization2024", "thonwhthtionblending2erthnt", "some_long_identifier_name_v2", "https://example.com/the/of/and2", "2024-01-01T00-00-00Z",
+                 "12345678901234567890", "onlylettersonlylettersonlyletters"):
+        assert secret_scan.spans(name, ratio) == [], name
+
+
+def test_query_over_planted_rows(spark, edges, workdir):
+    edges.select("doc_id", "text").write.parquet(f"{workdir}/documents.parquet")
+    rows = QUERIES["op1_secret_scan"](spark, workdir).collect()
+    assert len(rows) == edges.count()
+    own = next(r for r in rows if r["doc_id"] == 11)
+    assert (own["n_assign"], own["n_access"], own["n_hex"]) == (1, 1, 0) and own["spans"].startswith("assign:0:26,access:28:48")
+    assert next(r for r in rows if r["doc_id"] == 4)["spans"] == ""
+
+
+def test_edges(edges, no_rows):
+    ratio = secret_scan.train(edges)
+    assert secret_scan.scan(edges, ratio, keep=[F.col("doc_id")]).count() == edges.count()
+    assert secret_scan.scan(no_rows, secret_scan.train(no_rows)).count() == 0
+    assert np.isfinite(secret_scan.train(no_rows)).all()
