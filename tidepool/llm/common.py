@@ -40,6 +40,16 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
 
 
+def carried(keep: list[Column] | None) -> Column:
+    """Columns to hand through as one struct, whose names then cannot clash with working columns."""
+    return F.struct(*keep) if keep else F.struct(F.lit(0).alias("nothing"))
+
+
+def released(keep: list[Column] | None, struct: str = "kept") -> list[Column]:
+    """The columns of ``carried`` again."""
+    return [F.col(f"{struct}.*")] if keep else []
+
+
 def remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, whole_row
+from .common import carried, released, text_batches, whole_row
 
 UND = "und"
 MODEL_ENTRIES = 1 << 18
@@ -55,7 +55,8 @@ def grams(word: str, n: int) -> list[str]:
 
 def _emit(counts: dict[str, Counter]) -> Iterator[pd.DataFrame]:
     for lang, own in counts.items():
-        yield pd.DataFrame({"lang": lang, "entry": list(own), "n": list(own.values())})
+        if own:   # texts without letters leave nothing to hand on
+            yield pd.DataFrame({"lang": [lang] * len(own), "entry": list(own), "n": list(own.values())})
     counts.clear()
 
 
@@ -129,7 +130,8 @@ class _Scorer:
         self.words, self.word_logs = model["words"]
         names, self.gram_logs = model["grams"]
         self.grams = {g: i for i, g in enumerate(names)}
-        self._start()
+        if self.langs:
+            self._start()
 
     def _start(self) -> None:
         np = self.np
@@ -191,8 +193,8 @@ def predict(docs: DataFrame, model: dict[str, Any], text: str = "text", keep: li
     """Columns ``keep`` (default: the whole row as ``row``), lang_pred, score, has_letter."""
     text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*(keep or [whole_row(docs).alias("row")]), F.col(text).alias("_text"))
-    kept = [c for c in rows.columns if c != "_text"]
+    keep = keep or [whole_row(docs).alias("row")]
+    rows = docs.select(carried(keep).alias("kept"), F.col(text).alias("text"))
 
     @F.pandas_udf("struct<lang_pred:string,score:double,has_letter:boolean>")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -200,4 +202,4 @@ def predict(docs: DataFrame, model: dict[str, Any], text: str = "text", keep: li
         for part in parts:
             yield pd.DataFrame([scorer(t) for t in part], columns=["lang_pred", "score", "has_letter"])
 
-    return rows.withColumn("_found", score("_text")).select(*kept, "_found.*")
+    return rows.withColumn("found", score("text")).select(*released(keep), "found.*")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import carried, released, text_batches, written
 from .hashing import WordHashes, coefficients, mix
 
 BITS = 20
@@ -153,7 +153,6 @@ def train(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
 def score(docs: DataFrame, model: dict[str, Any], text: str = "text", keep: list[Column] | None = None) -> DataFrame:
     """Columns ``keep`` and score: the probability of label 1."""
     text_batches(docs.sparkSession)
-    rows = docs.select(*(keep or []), F.col(text).cast("binary").alias("text"))
-    kept = rows.columns[:-1]
+    rows = docs.select(carried(keep).alias("kept"), F.col(text).cast("binary").alias("text"))
     margin = F.greatest(F.lit(-35.0), F.least(F.lit(35.0), F.col("margin") * model["slope"] + model["offset"]))
-    return _with_margin(rows, model["weights"]).select(*kept, (1 / (1 + F.exp(-margin))).alias("score"))
+    return _with_margin(rows, model["weights"]).select(*released(keep), (1 / (1 + F.exp(-margin))).alias("score"))
