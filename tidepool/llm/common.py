@@ -14,7 +14,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows per Arrow batch for texts. A batch is held by one Python worker, and texts can be long.
-TEXT_BATCH_ROWS = 500
+TEXT_BATCH_ROWS = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Different words whose hashes a worker keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 
 
 def multiple(i: int) -> np.uint64:

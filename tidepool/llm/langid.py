@@ -39,7 +39,7 @@ EVIDENCE_WORDS = 20
 #: Added to every count, so that no language gives a known entry probability 0.
 SMOOTHING = 0.1
 #: A counting task hands on its counts when it holds so many different entries.
-FLUSH_ENTRIES = 400_000
+FLUSH_ENTRIES = 250_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -121,7 +121,7 @@ def _table(frame: pd.DataFrame, totals: dict[str, int]) -> tuple[list[str], Any]
 class _Scorer:
     """Holds the model inside a worker; vectors of unseen words are kept as they come up."""
 
-    KEPT = 500_000
+    KEPT = 150_000
 
     def __init__(self, model: dict[str, Any]):
         import numpy as np

@@ -42,7 +42,7 @@ WINDOW = 1024
 END_ID = 0
 ROUNDS = 200
 #: Parts whose ids a worker keeps.
-KEPT_PARTS = 1_500_000
+KEPT_PARTS = 400_000
 #: A space with a blank before it and a blank or the end after it: only there does a run of blanks reach across a cut.
 ACROSS = re.compile(r"\s (?:\s|$)")
 
