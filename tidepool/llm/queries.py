@@ -79,9 +79,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels of documents with remainder other than 1 of 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 3) == 1
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), "toxic").dropna()
-    known = docs.filter(~held_out).join(labels, F.col("doc_id") == F.col("labelled"))
-    model = toxicity.train(known)
+    model = toxicity.train(toxicity.labelled(docs.filter(~held_out), table(spark, sf_dir, "labels")))
     scored = toxicity.score(docs, model, keep=[F.col("doc_id"), held_out.alias("held_out")])
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 

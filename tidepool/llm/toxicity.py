@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, released, text_batches, written
+from .common import carried, released, sieve, slot, text_batches, written
 from .hashing import WordHashes, coefficients, mix
 
 BITS = 20
@@ -133,6 +133,18 @@ def _calibrated(bins: list, slope: float = 1.0, offset: float = 0.0) -> tuple[fl
     return max(0.0, float(slope)), float(offset)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """doc_id, text and label of the documents that have a label.
+
+    Texts whose id is not among the labels' hash slots are not shuffled. The join is planned the
+    same way at every size.
+    """
+    known = labels.select(F.col(doc_id).alias("labelled"), F.col(label).alias(label)).dropna()
+    near = (docs.select(doc_id, text).withColumn("slot", slot([F.col(doc_id)]))
+            .join(F.broadcast(sieve(known.select("labelled"))), "slot", "left_semi"))
+    return near.join(known.hint("merge"), F.col(doc_id) == F.col("labelled")).select(doc_id, text, label)
+
+
 def train(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> dict[str, Any]:
     """Learn from labelled rows: weights (bias last), slope and offset of the score."""
     text_batches(rows.sparkSession)
