@@ -58,3 +58,13 @@ def test_edges(spark, edges, no_rows):
     nothing = langid.train(no_rows)
     assert {r["lang_pred"] for r in langid.predict(edges, nothing).collect()} == {"und"}
     assert langid.predict(no_rows, model).count() == 0
+
+
+def test_chosen_words_keep_their_counts_in_every_language(spark):
+    """A word over the bound in one language has its true count in another where it is under it."""
+    import numpy as np
+    rows = [("both " * 90 + "hot " * 10, "a")] * 10 + [("both own own", "b")] * 3
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), entries=100)
+    words, logs = model["words"]
+    share = np.exp(logs[list(words).index("both")])
+    assert abs(share[0] - 0.9) < 0.01 and abs(share[1] - 1 / 3) < 0.03

@@ -9,9 +9,9 @@ the highest sum wins; the score is its posterior with the evidence capped at tha
 ``EVIDENCE_WORDS`` average words, so that long texts don't all end at exactly 1.
 
 All labelled texts are counted. The model keeps the words and the n-grams that make
-up at least 1 / ``MODEL_ENTRIES`` of all occurrences (and occur twice), so it holds at
-most ``MODEL_ENTRIES`` entries of each kind at any corpus size; that is the bound of
-the broadcast. The unseen rest is what the backoff is for.
+up at least 1 / ``MODEL_ENTRIES`` of all occurrences (and occur twice) in some language,
+with their exact counts in every language, so it holds at most ``MODEL_ENTRIES`` entries
+of each kind at any corpus size; that is the bound of the broadcast. The unseen rest is what the backoff is for.
 
 Defined results: null text, or one without a letter, gives ``und`` with score 0, as
 does any text if nothing was learned; rows without a label teach nothing; ties go to
@@ -84,11 +84,11 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frequent(counts: DataFrame, bound: int) -> tuple[pd.DataFrame, dict[str, int]]:
-    """The entries above the bound, and every language's total: both of bounded size."""
+    """The entries above the bound in some language, with their counts in all languages, and every language's total."""
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     least = max(2, math.ceil(sum(totals.values()) / bound))
-    per_entry = counts.filter(F.col("n") >= least)
-    return per_entry.select("lang", "entry", "n").toPandas(), totals
+    chosen = counts.filter(F.col("n") >= least).select("entry")
+    return counts.join(chosen, "entry", "left_semi").select("lang", "entry", "n").toPandas(), totals
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", entries: int = MODEL_ENTRIES) -> dict[str, Any]:
