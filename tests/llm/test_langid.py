@@ -68,3 +68,21 @@ def test_chosen_words_keep_their_counts_in_every_language(spark):
     words, logs = model["words"]
     share = np.exp(logs[list(words).index("both")])
     assert abs(share[0] - 0.9) < 0.01 and abs(share[1] - 1 / 3) < 0.03
+
+
+def test_small_language_keeps_its_words(spark):
+    """The bound of the head is a share of each language's own words."""
+    hot = " ".join(f"hot{c}{d}" for c in "abcdefgh" for d in "abcdefgh")
+    rows = [(hot, "a")] * 400 + [("peto peta peti petu petu zaqu", "b")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), entries=20)
+    assert "petu" in model["words"][0] and len(model["words"][0]) <= 20
+
+
+def test_rare_words_count_as_words(spark):
+    """lele was seen once, in b; its characters are those of a. Words outside the head are joined, unseen ones go by n-grams."""
+    rows = [("le " * 50 + "hot", "a"), ("un " * 50 + "pet", "b")] * 40 + [("zaqa zaqe zaqi zaqo", "a")] * 3 + [("lele" + " un" * 11, "b")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), entries=4)
+    assert "lele" not in model["words"][0]
+    new = [("lele", "b"), ("zaqa", "a"), ("zaqy", "a"), ("zaqy lele un un", "b"), ("le", "a"), (None, "und"), ("!", "und")]
+    found = langid.predict(spark.createDataFrame(new, "text string, want string"), model, keep=[F.col("want"), F.col("text")]).collect()
+    assert len(found) == 7 and all(r["lang_pred"] == r["want"] for r in found), found

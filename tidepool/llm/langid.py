@@ -8,10 +8,12 @@ frequency in each language; an unseen word adds the mean log frequency of its kn
 the highest sum wins; the score is its posterior with the evidence capped at that of
 ``EVIDENCE_WORDS`` average words, so that long texts don't all end at exactly 1.
 
-All labelled texts are counted. The model keeps the words and the n-grams that make
-up at least 1 / ``MODEL_ENTRIES`` of all occurrences (and occur twice) in some language,
-with their exact counts in every language, so it holds at most ``MODEL_ENTRIES`` entries
-of each kind at any corpus size; that is the bound of the broadcast. The unseen rest is what the backoff is for.
+All labelled texts are counted, and the counts of all words and n-grams are written
+tables. The head of each, which is broadcast, has every language's most frequent entries,
+``MODEL_ENTRIES`` / number of languages of each at most, so at most ``MODEL_ENTRIES`` at
+any corpus size and shares of the languages, with their exact counts in every language.
+Where the heads don't hold everything, the words outside are joined with the table of
+words, and n-grams of words that were never seen with the table of n-grams.
 
 Defined results: null text, or one without a letter, gives ``und`` with score 0, as
 does any text if nothing was learned; rows without a label teach nothing; ties go to
@@ -20,17 +22,17 @@ the language that sorts first; repeated rows count as often as they occur.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, released, text_batches, whole_row
+from .common import carried, released, text_batches, whole_row, written
 
 UND = "und"
 MODEL_ENTRIES = 1 << 18
@@ -83,39 +85,60 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _emit(counts)
 
 
-def _frequent(counts: DataFrame, bound: int) -> tuple[pd.DataFrame, dict[str, int]]:
-    """The entries above the bound in some language, with their counts in all languages, and every language's total."""
+def _least(counts: DataFrame, langs: list[str], most: int) -> list[int]:
+    """For every language, the smallest count that at most ``most`` of its entries reach.
+
+    Different counts are few: k of them need k^2 / 2 occurrences.
+    """
+    sizes = counts.groupBy("lang", "n").agg(F.count("*").alias("entries")).toArrow().to_pandas().sort_values("n", ascending=False)
+    found = []
+    for lang in langs:
+        own = sizes[sizes["lang"] == lang]
+        fits = own["n"][own["entries"].cumsum() <= most]
+        found.append(int(fits.min()) if len(fits) else int(own["n"].max()) + 1)
+    return found
+
+
+def _counted(counts: DataFrame, bound: int, what: str) -> tuple[tuple[list[str], Any], DataFrame, bool]:
+    """((entries, logs) of the head, table of entry and logs of all, whether the head has all).
+
+    logs: log frequencies, in the order of the sorted languages.
+    """
+    import numpy as np
+
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    least = max(2, math.ceil(sum(totals.values()) / bound))
-    chosen = counts.filter(F.col("n") >= least).select("entry")
-    return counts.join(chosen, "entry", "left_semi").select("lang", "entry", "n").toPandas(), totals
+    langs = sorted(totals)
+    if not langs:
+        return ([], np.zeros((0, 0), "float32")), counts.select("entry", F.array().cast("array<double>").alias("logs")), True
+    own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]
+    wide = written(counts.groupBy("entry").agg(F.array(*own).alias("n")), what)
+    number = wide.count()
+    logs = F.array(*[F.log((F.col("n")[i] + SMOOTHING) / F.lit(totals[x] + SMOOTHING * (number + 1))) for i, x in enumerate(langs)])
+    least = _least(counts, langs, bound // len(langs))
+    enough = F.lit(False)
+    for i, n in enumerate(least):
+        enough = enough | (F.col("n")[i] >= n)
+    every = wide.select("entry", logs.alias("logs"))
+    head = wide.filter(enough).select("entry", logs.alias("logs")).toArrow()
+    values = np.array(head["logs"].combine_chunks().flatten()).reshape(-1, len(langs)).astype("float32")
+    return (head["entry"].to_pylist(), values), every, len(values) == number
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", entries: int = MODEL_ENTRIES) -> dict[str, Any]:
-    """Learn from the rows of ``docs`` that have a text and a language."""
-    from .common import written
+    """Learn from the rows of ``docs`` that have a text and a language.
 
+    ``tables``: those of all words and n-grams; None if the heads have all of them.
+    """
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     schema = "lang string, entry string, n long"
     counted = written(rows.mapInPandas(_count_words, schema).groupBy("lang", "entry").agg(F.sum("n").alias("n")), "words")
-    words, word_totals = _frequent(counted, entries)
+    words, all_words, every_word = _counted(counted, entries, "all_words")
     gram_counts = counted.mapInPandas(_count_grams, schema).groupBy("lang", "entry").agg(F.sum("n").alias("n"))
-    own_grams, gram_totals = _frequent(written(gram_counts, "grams"), entries)
-    return {"langs": sorted(word_totals),
-            "words": _table(words, word_totals), "grams": _table(own_grams, gram_totals)}
-
-
-def _table(frame: pd.DataFrame, totals: dict[str, int]) -> tuple[list[str], Any]:
-    """Entries and their log frequencies, a column per language."""
-    import numpy as np
-
-    langs = sorted(totals)
-    wide = frame.pivot_table(index="entry", columns="lang", values="n", fill_value=0) if len(frame) else pd.DataFrame()
-    counts = wide.reindex(columns=langs, fill_value=0).to_numpy(dtype="float64")
-    size = np.array([totals[x] for x in langs], dtype="float64")
-    logs = np.log((counts + SMOOTHING) / (size + SMOOTHING * (len(wide) + 1)))
-    return list(wide.index), logs.astype("float32")
+    own_grams, all_grams, every_gram = _counted(written(gram_counts, "grams"), entries, "all_grams")
+    langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    return {"langs": langs, "words": words, "grams": own_grams,
+            "tables": None if every_word and every_gram else (all_words, all_grams)}
 
 
 class _Scorer:
@@ -189,12 +212,88 @@ class _Scorer:
         return self.langs[best], float(shares[best] / shares.sum()), True
 
 
+class _HeadScorer:
+    """Sums over the words of the head, and the words outside it, inside a worker."""
+
+    def __init__(self, model: dict[str, Any]):
+        import numpy as np
+
+        self.np, self.langs = np, model["langs"]
+        words, logs = model["words"]
+        self.rows = {w: i for i, w in enumerate(words)}
+        self.logs = logs.reshape(-1, len(self.langs))
+
+    def __call__(self, text: str | None) -> tuple[bool, int, list[float], list[str], list[int]]:
+        """Whether there is a letter, number of words, sums, words outside the head and how often they occur."""
+        found = letter_words(text) if text is not None else []
+        total, rest = self.np.zeros(len(self.langs)), Counter()
+        for at in range(0, len(found), 100_000):
+            part = found[at:at + 100_000]
+            rows = self.np.fromiter(map(self.rows.get, part, repeat(-1)), "int64", len(part))
+            outside = self.np.flatnonzero(rows < 0)
+            total += self.logs[rows[rows >= 0]].sum(0, dtype="float64")
+            rest.update(part[i] for i in outside)
+        return any(c.isalpha() for w in found for c in w), len(found), total, list(rest), list(rest.values())
+
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The n-grams of every word: word, their length, gram."""
+    for batch in batches:
+        rows = [(w, n, g) for w in batch["word"] for n in range(1, LONGEST_GRAM + 1) for g in grams(w, n)]
+        for i in range(0, len(rows), 100_000):
+            yield pd.DataFrame(rows[i:i + 100_000], columns=["word", "size", "gram"])
+
+
+def _vectors(words: DataFrame, tables: tuple[DataFrame, DataFrame], langs: int) -> DataFrame:
+    """word and its logs: from the table of words, or means over its longest known n-grams; none if no character is known."""
+    all_words, all_grams = tables
+    found = written(words.join(all_words.withColumnRenamed("entry", "word"), "word", "left"), "outside")
+    unseen = found.filter("logs IS NULL").select("word")
+    own = (unseen.mapInPandas(_parts, "word string, size int, gram string")
+           .join(all_grams.withColumnRenamed("entry", "gram"), "gram"))
+    mean = F.array(*[F.avg(F.col("logs")[i]) for i in range(langs)])
+    backed_off = (own.groupBy("word", "size").agg(mean.alias("logs"))
+                  .groupBy("word").agg(F.max_by("logs", "size").alias("logs")))
+    return written(found.filter("logs IS NOT NULL").union(backed_off), "vectors")
+
+
+def _predict_joined(rows: DataFrame, model: dict[str, Any]) -> DataFrame:
+    """kept and found as ``predict`` needs them, where the heads don't hold all words and n-grams."""
+    langs, tables = model["langs"], model["tables"]
+    shared = rows.sparkSession.sparkContext.broadcast({"langs": langs, "words": model["words"]})
+
+    @F.pandas_udf("struct<has_letter:boolean,size:long,head:array<double>,words:array<string>,times:array<long>>")
+    def read(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = _HeadScorer(shared.value)
+        for part in parts:
+            yield pd.DataFrame([scorer(t) for t in part], columns=["has_letter", "size", "head", "words", "times"])
+
+    scored = written(rows.select("kept", read("text").alias("s")).select("kept", "s.*", F.monotonically_increasing_id().alias("row")), "scored")
+    outside = (scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
+               .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times")))
+    vectors = _vectors(outside.select("word").distinct(), tables, len(langs))
+    sums = F.array(*[F.sum(F.col("logs")[i] * F.col("times")) for i in range(len(langs))])
+    rest = outside.join(vectors, "word").groupBy(F.col("row").alias("r")).agg(sums.alias("rest"))
+    nothing = F.array(*[F.lit(0.0)] * len(langs))
+    whole = (scored.join(rest, F.col("row") == F.col("r"), "left")
+             .withColumn("total", F.zip_with("head", F.coalesce("rest", nothing), lambda a, b: a + b)))
+    weight = F.least(F.lit(1.0), F.lit(float(EVIDENCE_WORDS)) / F.col("size"))
+    best = F.array_max("total")
+    shares = F.aggregate("total", F.lit(0.0), lambda sum_, x: sum_ + F.exp((x - best) * weight))
+    lang = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("total", best).cast("int"))
+    known = F.col("has_letter")
+    return whole.select("kept", F.struct(F.when(known, lang).otherwise(UND).alias("lang_pred"),
+                                         F.when(known, 1 / shares).otherwise(0.0).alias("score"), "has_letter").alias("found"))
+
+
 def predict(docs: DataFrame, model: dict[str, Any], text: str = "text", keep: list[Column] | None = None) -> DataFrame:
     """Columns ``keep`` (default: the whole row as ``row``), lang_pred, score, has_letter."""
     text_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = keep or [whole_row(docs).alias("row")]
     rows = docs.select(carried(keep).alias("kept"), F.col(text).alias("text"))
+    if model.get("tables"):
+        return _predict_joined(rows, model).select(*released(keep), "found.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred:string,score:double,has_letter:boolean>")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
