@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidepool.session import scratch_path
 
-from . import exact_dedup, langid, minhash, mixing, packing, secret_scan, spotsigs, suffix_tree, toxicity, warc
+from . import (divergence, exact_dedup, langid, minhash, mixing, packing, ranked_search, secret_scan, spotsigs, suffix_tree, toxicity,
+               warc, wu_manber)
 from .common import remainder, table, written
 from .ordering import with_next
 
@@ -129,6 +130,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark passages of 10 words, and the items they come from."""
+    found = wu_manber.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = wu_manber.hit_words(F.col("hits"))
+    return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and each source's overused terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_warc": op2_warc,
@@ -140,4 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_decontamination": op12_decontamination,
+    "op13_divergence": op13_divergence,
 }
