@@ -53,7 +53,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def counted() -> pd.DataFrame:
         rows = [(lang, source, term, n, docs[term]) for (lang, source), (uses, docs) in held.items() for term, n in uses.items()]
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
+        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"]).astype({"n": "int64", "docs": "int64"})
 
     for batch in batches:
         for lang, source, text in zip(batch["lang"], batch["source"], batch["body"]):
@@ -112,7 +112,10 @@ def distances(levels_a: np.ndarray, price_a: np.ndarray, levels_b: np.ndarray, p
 
 
 def _tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Partial sums of a tile. Rows without a term tell of the tile's groups, with the price of level 0."""
+    """Partial sums of a tile. Rows without a term tell of the tile's groups: p is the price of level 0, n the block's number of terms.
+
+    Terms of the block that none of the tile's groups has are at level 0 in all of them.
+    """
     lang, i, j = key[0], key[3], key[4]
     groups, terms = rows[rows["t"] < 0], rows[rows["t"] >= 0]
     number = {t: k for k, t in enumerate(np.unique(terms["t"]))}
@@ -127,7 +130,10 @@ def _tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         levels[at], price[at] = here["n"].to_numpy(np.int64), here["p"].to_numpy(np.int64)
         sides.append((own["g"].to_numpy(), levels, price))
     (ga, la, pa), (gb, lb, pb) = sides
-    value = distances(la, pa, lb, pb)
+    free = [groups.set_index("g")["p"][g].to_numpy(np.int64) for g in (ga, gb)]
+    value = (int(groups["n"].max()) - len(number)) * np.abs(free[0][:, None] - free[1][None, :])
+    if len(number):
+        value += distances(la, pa, lb, pb)
     a, b = np.meshgrid(ga, gb, indexing="ij")
     out = pd.DataFrame({"lang": lang, "g": a.ravel(), "h": b.ravel(), "value": value.ravel()})
     return out if i == j else pd.concat([out, out.rename(columns={"g": "h", "h": "g"})])
@@ -143,8 +149,9 @@ def _pair_sums(entries: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFr
     of_tile = ["lang", "band", "block", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")]
     terms = (entries.join(placed, ["lang", "term"]).withColumn("side", side).withColumn("other", tiles)
              .select(*of_tile, "t", "g", "n", "p"))
-    marks = (groups.join(placed.select("lang", "band", "block").distinct(), "lang").withColumn("side", side).withColumn("other", tiles)
-             .select(*of_tile, F.lit(-1).cast("long").alias("t"), "g", F.lit(0).cast("long").alias("n"),
+    blocks = placed.groupBy("lang", "band", "block").agg(F.count("*").alias("n"))
+    marks = (groups.join(blocks, "lang").withColumn("side", side).withColumn("other", tiles)
+             .select(*of_tile, F.lit(-1).cast("long").alias("t"), "g", "n",
                      probability(F.lit(0).cast("long"), F.col("mass"), F.col("terms")).alias("p")))
     return (terms.unionByName(marks).groupBy("lang", "band", "block", "i", "j").applyInPandas(_tile, "lang string, g long, h long, value long")
             .groupBy("lang", "g", "h").agg(F.sum("value").alias("value")))
