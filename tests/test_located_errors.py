@@ -1,0 +1,96 @@
+"""Which cell stopped a load, and how a batch's columns differ from the contract's."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidepool.plans import jobs
+from tidepool.schema import CONTRACTS, UnmappedTypeError
+from tidepool.sources import lake, staging
+from tidepool.sources.bindings import bind
+
+SF = "/root/testdata/sf0.001"
+
+
+def feed(spark, changed):
+    rows = bind(spark, SF, "completed_items").orderBy("id").coalesce(1).withColumn("_n", F.monotonically_increasing_id())
+    texts = rows.select(*[F.col(c).cast("string").alias(c) for c in CONTRACTS["completed_items"].fieldNames()], "_n")
+    for (n, column), value in changed.items():
+        texts = texts.withColumn(column, F.when(F.col("_n") == n, F.lit(value)).otherwise(F.col(column)))
+    return texts.drop("_n")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_failed_load_names_file_row_column_and_value(spark, workdir, fmt):
+    changed = {(40, "price"): "abc", (12, "created_at"): "soon", (12, "price"): "1,5", (500, "price"): "x"}
+    jobs.ingest(spark, {"completed_items": feed(spark, changed)}, workdir, "b1", rules={}, fmt=fmt, validate=False)
+    record = jobs.load_staging(spark, workdir, ["completed_items"], "b1", fmt=fmt)[0]
+    served = jobs.published(spark, lake.table_path(workdir, "completed_items"))
+    assert record["status"] == "FAILED" and "rows_loaded" not in record
+    first = min(((CONTRACTS["completed_items"].fieldNames().index(c), c, v) for (n, c), v in changed.items() if n == 12))
+    kind = CONTRACTS["completed_items"][first[1]].dataType.simpleString()
+    assert record["error_message"].startswith(f"value {first[2]!r} in column {first[1]} is not {kind}: file ")
+    assert record["error_message"].endswith(f".{fmt}, row 13") or record["error_message"].endswith(".parquet, row 13")
+    assert served.split("/")[-1] in record["error_message"]
+    cells = {(r["row"], r["column_name"], r["value"]) for r in jobs.bad_cells(spark, "completed_items", workdir, fmt).collect()}
+    assert cells == {(n + 1, c, v) for (n, c), v in changed.items()}
+
+
+def test_rows_are_numbered_within_each_file(spark, workdir):
+    texts = spark.range(1000).selectExpr("cast(id as string) AS k", "concat('two', chr(10), 'lines') AS v").repartition(5, "k")
+    texts.sortWithinPartitions(F.col("k").cast("int")).write.options(**lake.CSV_WRITE).csv(f"{workdir}/five")
+    located = lake.read_csv_located(spark, f"{workdir}/five", ["k", "v"])
+    by_file = {}
+    for r in located.collect():
+        by_file.setdefault(r["_file"], []).append((r["_row"], int(r["k"])))
+    assert len(by_file) == 5 and sum(map(len, by_file.values())) == 1000
+    for rows in by_file.values():
+        rows.sort()
+        assert [n for n, _ in rows] == list(range(1, len(rows) + 1)) and [k for _, k in rows] == sorted(k for _, k in rows)
+
+
+def test_an_error_without_a_bad_cell_is_told_as_it_is(spark, workdir):
+    record = jobs.load_staging(spark, workdir, ["members"], "b1", fmt="csv")[0]   # never extracted
+    assert record["status"] == "FAILED" and "PATH_NOT_FOUND" in record["error_message"]
+
+
+def test_bad_json_is_a_bad_cell_of_a_variant_load(spark, workdir):
+    cols = CONTRACTS["spa_products"].fieldNames()
+    rows = [tuple("{not json" if c == "details" and k == 1 else str(k) if c == "id" else None for c in cols) for k in range(3)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).coalesce(1)
+    jobs.ingest(spark, {"spa_products": df}, workdir, "v1", rules={}, fmt="csv")
+    record = jobs.load_staging(spark, workdir, ["spa_products"], "v1", fmt="csv", json_as_variant=True)[0]
+    assert record["error_message"].startswith("value '{not json' in column details is not variant: file ")
+    assert record["error_message"].endswith(", row 2")
+
+
+CONTRACT = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("d", T.DoubleType()),
+                         T.StructField("t", T.StringType())])
+
+
+def changes(df):
+    return sorted(map(tuple, staging.contract_drift(df, CONTRACT).collect()))
+
+
+def test_drift(spark):
+    base = spark.createDataFrame([("a", 1, 1.5, "x"), ("b", None, None, "7")], "id string, n long, d double, t string")
+    assert changes(base) == []
+    assert changes(base.withColumnRenamed("n", "N")) == []                                       # names without case
+    assert changes(base.drop("t")) == [("t", "missing", "string", None, 2)]
+    assert changes(base.withColumn("u", F.when(F.col("id") == "a", 1))) == [("u", "added", None, "int", 1)]
+    assert changes(base.withColumn("n", F.lit("1x"))) == [("n", "retyped", "bigint", "string", 2)]
+    assert changes(base.withColumn("n", F.col("n").cast("int"))) == [("n", "retyped", "bigint", "int", 0)]   # all values fit
+    moved = base.select("id", "t", "d", "n")
+    assert changes(moved) == [("n", "moved", "2", "4", 1), ("t", "moved", "4", "2", 0)]         # "x" is no bigint
+    assert changes(base.drop("id").withColumn("z", F.lit(1))) == \
+        [("id", "missing", "string", None, 2), ("z", "added", None, "int", 2)]
+    assert changes(base.limit(0).drop("t")) == [("t", "missing", "string", None, 0)]
+
+
+def test_surplus_columns_are_an_error(spark):
+    base = spark.createDataFrame([("a", 1, 1.5, "x")], "id string, n long, d double, t string")
+    assert staging.apply_contract(base, CONTRACT).count() == 1
+    with pytest.raises(UnmappedTypeError, match="added extra"):
+        staging.apply_contract(base.withColumn("extra", F.lit(1)), CONTRACT)
+    with pytest.raises(UnmappedTypeError, match="missing t"):
+        staging.apply_contract(base.drop("t"), CONTRACT)

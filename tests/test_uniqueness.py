@@ -1,0 +1,126 @@
+"""Repeated keys by hash slots, and the left join that spreads hot keys."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import constraints, joins, quality, uniqueness
+
+
+def test_repeated_keys_are_those_of_a_plain_grouping(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, 1, 2, 3, rng.randrange(400)]), rng.choice([None, "a", "b", ""]), rng.choice([0.0, -0.0, None, float("nan")]))
+            for _ in range(900)]
+    df = spark.createDataFrame(rows, "a long, b string, c double")
+    for key in (["a"], ["a", "b"], ["a", "b", "c"]):
+        plain = df.groupBy(*key).count().where("count > 1")
+        assert sorted(map(str, uniqueness.repeated(df, key).collect())) == sorted(str(r).replace("count=", "n=") for r in plain.collect())
+
+
+def test_colliding_slots_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(uniqueness, "SLOTS", 1)      # every row passes the sieve
+    df = spark.createDataFrame([(k % 90,) for k in range(100)], "k long")
+    assert sorted((r["k"], r["n"]) for r in uniqueness.repeated(df, ["k"]).collect()) == [(k, 2) for k in range(10)]
+
+
+def test_only_suspect_keys_are_shuffled_whole(spark, workdir):
+    """Of 20,000 keys, three repeat: the exact grouping sees their rows only."""
+    path = f"{workdir}/keys"
+    spark.range(20_000).selectExpr("concat('key-', id) AS k").unionAll(spark.createDataFrame([("key-3",), ("key-70",), ("key-70",)], "k string")).write.parquet(path)
+    df = uniqueness.repeated(spark.read.parquet(path), ["k"])
+    assert {(r["k"], r["n"]) for r in df.collect()} == {("key-3", 2), ("key-70", 3)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    joined = plan.index("LeftSemi")
+    assert plan.index("hashpartitioning(k#") < joined < plan.index("hashpartitioning(_hash#")   # top-down: the sieve lies below the key's shuffle
+
+
+RULES = {"columns": ["id", "v", "w"], "not_null": ["id", "w"], "unique": ["id"],
+         "checks": [{"type": "min_value", "column": "v", "min": 1}, {"type": "accepted_values", "column": "w", "values": ["x"]}]}
+
+
+@pytest.mark.parametrize("source", [None, 7, "frame"])
+@pytest.mark.parametrize("rows", [[], [(1, 2, "x")], [(1, 0, "x"), (1, 5, None), (None, None, "y"), (None, 3, "x"), (2, 1, "x")]])
+def test_prefiltered_gate_is_the_gate(spark, rows, source):
+    df = spark.createDataFrame(rows, "id long, v long, w string")
+    source = spark.range(3) if source == "frame" else source
+    plain = quality.gate(df, "t", RULES, source=source).orderBy("check_order").collect()
+    assert quality.gate(df, "t", RULES, source=source, prefilter=True).orderBy("check_order").collect() == plain
+    seen = {k: 1 for k in ("_nn0", "_nn1", "_r0", "_r1")}
+    plain = quality.gate(df, "t", RULES, source=source, observed=seen).orderBy("check_order").collect()
+    assert quality.gate(df, "t", RULES, source=source, observed=seen, prefilter=True).orderBy("check_order").collect() == plain
+
+
+def test_suite_counts_values_across_models(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (2, None)], "id long, s string")
+    b = spark.createDataFrame([(1, "x"), (5, "x"), (6, "z")], "id long, s string")
+    specs = [("", m, c, "unique", None) for m in ("a", "b") for c in ("id", "s")]
+    got = {(r.model, r.column_name): (r.failing_rows, r.status) for r in constraints.run_suite(spark, {"a": a, "b": b}, specs).collect()}
+    assert got == {("a", "id"): (2, "FAIL"), ("a", "s"): (1, "FAIL"), ("b", "id"): (0, "PASS"), ("b", "s"): (1, "FAIL")}
+
+
+# ---- salted join ------------------------------------------------------------
+
+def bookings(spark, n=6000):
+    """A third of the rows have group g-hot, a sixth no group at all."""
+    group = F.when(F.col("id") % 3 == 0, F.lit("g-hot")).when(F.col("id") % 6 == 1, None).otherwise(F.concat(F.lit("g"), F.col("id") % 700))
+    return spark.range(n).select(F.col("id").cast("string").alias("id"), group.alias("group_id"))
+
+
+def groups(spark):
+    rows = spark.range(600).select(F.concat(F.lit("g"), F.col("id")).alias("key"), F.concat(F.lit("+62"), F.col("id")).alias("phone"))
+    return rows.unionByName(spark.createDataFrame([("g-hot", "+1"), ("g-hot", "+2"), ("g5", "again"), (None, "none")], "key string, phone string"))
+
+
+def test_salted_join_is_the_left_join(spark):
+    left, right = bookings(spark), groups(spark)
+    plain = left.join(right, F.col("group_id") == F.col("key"), "left")
+    for share, salts in ((1 / 256, 64), (0.01, 3), (0.9, 8), (0.0, 2)):   # some, few, no and all keys salted
+        got = joins.salted_left_join(left, right, "group_id", "key", share, salts)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect())), (share, salts)
+    assert joins.salted_left_join(left.limit(0), right, "group_id", "key").count() == 0
+    none = joins.salted_left_join(left, right.limit(0), "group_id", "key")
+    assert none.count() == left.count() and none.where("phone IS NOT NULL").count() == 0
+    with pytest.raises(ValueError, match="id"):
+        joins.salted_left_join(left, right.withColumnRenamed("key", "id"), "group_id", "id")
+
+
+def test_hot_keys_are_few_and_include_null(spark):
+    hot = {r["_hot"] for r in joins.hot_keys(bookings(spark), "group_id", 0.1).collect()}
+    assert hot == {"g-hot", None}
+    assert joins.hot_keys(bookings(spark), "group_id", 1 / 256).count() < 256
+
+
+def test_hot_keys_are_spread_without_adaptive_skew_handling(spark):
+    """AQE's skew join is off and nothing is broadcast but the hot keys: the plain join has its hot group in one partition, the salted one has not."""
+    conf = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left, right = bookings(spark, 24_000), groups(spark)
+
+        def largest(df):
+            sizes = df.groupBy(F.spark_partition_id().alias("p")).count()
+            return sizes.agg(F.max("count")).first()[0]
+
+        plain = largest(left.join(right.where("phone <> '+2'"), F.col("group_id") == F.col("key"), "left"))
+        salted = largest(joins.salted_left_join(left, right.where("phone <> '+2'"), "group_id", "key", salts=64))
+        assert plain > 8000 and salted < 3000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_models_with_salted_joins_have_the_same_rows(spark):
+    from tidepool.plans.models import Models, fixture_models
+    from tidepool.sources.bindings import bind_all
+    staging = bind_all(spark, "/root/testdata/sf0.001")
+    plain = fixture_models(spark, staging)
+    salted = Models(spark, staging, plain.calendar_start, plain.calendar_days, plain.as_of, hot_share=0.001)
+    for name in ("dim_customer", "fact_treatment_activities", "mart_operations_booking"):
+        assert Counter(map(tuple, salted[name].collect())) == Counter(map(tuple, plain[name].collect())), name
+        assert salted[name].columns == plain[name].columns

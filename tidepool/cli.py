@@ -20,9 +20,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from tidepool.config import load_pipeline_config
-from tidepool.plans import jobs
+from tidepool.plans import graph, jobs
 from tidepool.operators.calendar import DEFAULT_DAYS, DEFAULT_START
 from tidepool.session import configure
+from tidepool.sources import catalog
 
 
 def _sources(spark: SparkSession, args, tables: list[str]):
@@ -105,7 +106,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--calendar-days", type=int, default=DEFAULT_DAYS, help="calendar length (default: %(default)s)")
     p.add_argument("--as-of", default=dt.datetime.now(dt.timezone.utc).date().isoformat(),
                    help="reference date for recency (default: today, UTC)")
+    p.add_argument("--select", action="append", metavar="MODEL",
+                   help="build: models to build, as name, +name, name+ or a layer (repeatable; default: all)")
+    p.add_argument("--exclude", action="append", default=[], metavar="MODEL", help="build: models to leave out (repeatable)")
+    p.add_argument("--threads", type=int, default=graph.THREADS, help="build: models written at once (default: %(default)s)")
+    p.add_argument("--catalog", action="store_true", help="serve staging tables and models in the catalog's databases, too")
+    p.add_argument("--resume", action="store_true", help="go on with --batch-id: what it has published stays")
     args = p.parse_args(argv)
+    if args.resume and not args.batch_id:
+        p.error("--resume needs the --batch-id to go on with")
+    databases = catalog.Databases.configured() if args.catalog else None
     if args.step in ("run", "build", "test") and args.tables:
         p.error(f"{args.step} needs all feeds: the models read every staging table; --tables is for extract and load")
     if args.step == "run" and args.jdbc_url and args.input_bytes is None:
@@ -121,17 +131,19 @@ def main(argv: list[str] | None = None) -> int:
     if args.step == "extract":
         recs = jobs.ingest(spark, _sources(spark, args, tables), args.root, batch_id, tables=tables,
                                validate=not args.no_validate, error_policy=args.error_policy, fmt=args.format,
-                               publish_mode=args.publish_mode, source_counts=_source_counts(spark, args, tables))
+                               publish_mode=args.publish_mode, source_counts=_source_counts(spark, args, tables),
+                               resume=args.resume)
         out["records"], failed = recs, _failed(recs)
     elif args.step == "load":
         recs = jobs.load_staging(spark, args.root, tables, batch_id, args.format, args.error_policy,
-                                     publish_mode=args.publish_mode)
+                                     publish_mode=args.publish_mode, databases=databases, resume=args.resume)
         out["records"], failed = recs, _failed(recs)
     elif args.step == "build":
         out["models"] = jobs.build_models(spark, args.root, args.calendar_start, args.calendar_days, args.as_of,
-                                              publish_mode=args.publish_mode)
+                                              publish_mode=args.publish_mode, parallelism=args.threads, select=args.select,
+                                              exclude=args.exclude, databases=databases, batch_id=batch_id, resume=args.resume)
     elif args.step == "test":
-        rows = [r.asDict() for r in jobs.run_tests(spark, args.root).collect()]   # 72 rows
+        rows = [r.asDict() for r in jobs.run_tests(spark, args.root, databases=databases).collect()]   # 72 rows
         out["tests"], failed = rows, sum(1 for r in rows if r["status"] != "PASS")
     elif args.step == "profile":
         from tidepool.sources.profile import profile
@@ -143,7 +155,8 @@ def main(argv: list[str] | None = None) -> int:
                                         args.calendar_days, args.as_of, args.format, batch_id,
                                         input_bytes=args.input_bytes, publish_mode=args.publish_mode,
                                         source_counts=_source_counts(spark, args, tables),
-                                        validate=not args.no_validate, error_policy=args.error_policy)
+                                        validate=not args.no_validate, error_policy=args.error_policy,
+                                        databases=databases, resume=args.resume)
         out["summary"], failed = summary, int(summary["status"] != "SUCCESS")
     print(json.dumps(out, default=str, indent=2))
     print(f"{args.step}: {failed} failed", file=sys.stderr)

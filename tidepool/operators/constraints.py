@@ -7,8 +7,9 @@ Failures counted per test:
   accepted_values rows whose non-NULL value is outside the list.
 
 Row-level tests (not_null, accepted_values) are one plain aggregate per model: one row
-per map task reaches the fold. Only the columns under a unique test enter a shuffle,
-as (test, value) pairs that combine map-side, so a hot value is one pair per task.
+per map task reaches the fold. Columns under a unique test are shuffled as 64-bit hashes
+that combine map-side, so a hot value is one hash per task; only values whose hash occurs
+twice are grouped as (test, value) pairs (``uniqueness``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators import uniqueness
+
 SUITE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
     T.StructField("column_name", T.StringType(), False),
@@ -55,8 +58,8 @@ def _repeated(frames: list[tuple[int, DataFrame, str]], spark: SparkSession) ->
     for g, df, c in frames:
         one = df.select(F.lit(g).alias("g"), _as_key(df, c).alias("v"))
         values = one if values is None else values.unionByName(one)
-    dup = (values.where(F.col("v").isNotNull()).groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-           .groupBy("g").agg(F.count_if(F.col("n") > 1).alias("failing")))
+    dup = (uniqueness.repeated(values.where(F.col("v").isNotNull()), ["g", "v"])
+           .groupBy("g").agg(F.count(F.lit(1)).alias("failing")))
     none = spark.createDataFrame([(g, 0) for g, *_ in frames], "g int, failing long")
     return dup.unionByName(none).groupBy("g").agg(F.max("failing").alias("failing"))   # a test without values has its row
 

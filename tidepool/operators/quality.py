@@ -8,7 +8,9 @@ job over the batch:
 * with a primary key, rows are grouped by the key (map-side partial
   aggregation first, so a hot key is combined before the shuffle) and the
   groups are folded into a single metric row, duplicate groups included;
-* without one, a plain global aggregate folds the indicators.
+* without one, a plain global aggregate folds the indicators;
+* with ``prefilter``, the indicators are a plain aggregate and only keys whose hash occurs
+  twice are grouped (``uniqueness``): a second read of the key columns for a far smaller shuffle.
 
 The metric row is turned into check rows in Spark (array of structs ->
 inline), so the gate result is itself a DataFrame:
@@ -30,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators import uniqueness
+
 PASS, FAIL, SKIPPED = "PASS", "FAIL", "SKIPPED"
 
 CHECK_SCHEMA = T.StructType([
@@ -100,7 +104,8 @@ def observed_metrics(df: DataFrame, rules: dict | None) -> list[Column]:
     return [F.sum(e).alias(k) for k, e in indicators(df, rules).items()]
 
 
-def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: dict | None = None) -> DataFrame:
+def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: dict | None = None,
+         prefilter: bool = False) -> DataFrame:
     """Check rows for one batch.
 
     ``source`` is the source-side row count: an int (already known), a
@@ -110,6 +115,9 @@ def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: d
     ``observed`` holds the row-level bad-row sums already collected while the
     batch was written (``observed_metrics``); the gate's own pass then reads
     only the key columns (row count, duplicates).
+
+    ``prefilter`` looks for duplicates among keys whose hash occurs twice only; the
+    result is the same.
     """
     spark = df.sparkSession
     if not rules:
@@ -129,14 +137,15 @@ def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: d
     fixed = {k: F.lit(int(observed.get(k) or 0)).cast("long").alias(k) for k in all_ind} if observed is not None \
         else {}
 
-    rows = df.select(*[F.col(c) for c in unique], F.lit(0).alias("_side"), *[e.alias(k) for k, e in ind.items()])
+    keys = [] if prefilter else unique   # what the rows are grouped by
+    rows = df.select(*[F.col(c) for c in keys], F.lit(0).alias("_side"), *[e.alias(k) for k, e in ind.items()])
     if isinstance(source, DataFrame):
         key_types = {f.name: f.dataType for f in df.schema.fields}
         rows = rows.unionByName(source.select(
-            *[F.lit(None).cast(key_types[c]).alias(c) for c in unique], F.lit(1).alias("_side"),
+            *[F.lit(None).cast(key_types[c]).alias(c) for c in keys], F.lit(1).alias("_side"),
             *[F.lit(0).cast("long").alias(k) for k in ind]))
 
-    if unique:
+    if keys:
         groups = rows.groupBy(*unique, "_side").agg(
             F.count(F.lit(1)).alias("_n"), *[F.sum(k).alias(k) for k in ind])
         metrics = groups.agg(
@@ -151,6 +160,11 @@ def gate(df: DataFrame, table: str, rules: dict | None, source=None, observed: d
             F.lit(0).cast("long").alias("dup_groups"),
             *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ind])
 
+    if unique and prefilter:   # two rows of sums, folded into one
+        dups = uniqueness.repeated(df, unique).agg(F.count(F.lit(1)).alias("dup_groups"))
+        metrics = (metrics.unionByName(dups.select("dup_groups", *[F.lit(0).cast("long").alias(c) for c in metrics.columns if c != "dup_groups"]))
+                   .agg(*[F.sum(c).alias(c) for c in metrics.columns]))
+
     if fixed:
         metrics = metrics.select("*", *fixed.values())
 

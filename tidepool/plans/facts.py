@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import date_key, surrogate_key
+from tidepool.operators.joins import salted_left_join
 
 
 def fact_transactions(transactions: DataFrame) -> DataFrame:
@@ -37,20 +38,26 @@ def fact_completed_items(completed_items: DataFrame) -> DataFrame:
     )
 
 
-def fact_treatment_activities(booking_logs: DataFrame, booking_groups: DataFrame) -> DataFrame:
-    bl = booking_logs.where(F.col("item_type") == "treatment").alias("bl")
-    bg = booking_groups.select("id", "customer_phone").alias("bg")
+def fact_treatment_activities(booking_logs: DataFrame, booking_groups: DataFrame, hot_share: float | None = None) -> DataFrame:
+    """``hot_share``: salt the groups that hold more than this share of the bookings (None: no salting)."""
+    bl = booking_logs.where(F.col("item_type") == "treatment").select(
+        "id", "group_id", "treatment_id", "scheduled_date", "price", "guest_name", "status")
+    bg = booking_groups.select(F.col("id").alias("_group"), F.col("customer_phone").alias("_phone"))
     # Left equi-join on the group id: AQE broadcasts the groups side when its
     # measured size is small, otherwise sort-merge with skew splitting of a hot
     # group on the (streamed) bookings side.
-    return bl.join(bg, F.col("bl.group_id") == F.col("bg.id"), "left").select(
-        surrogate_key(F.col("bl.id")).alias("activity_key"),
-        F.col("bl.id").alias("booking_id"),
-        surrogate_key(F.col("bg.customer_phone")).alias("customer_key"),
-        surrogate_key(F.col("bl.treatment_id")).alias("treatment_key"),
-        date_key(F.col("bl.scheduled_date")).alias("scheduled_date_key"),
-        F.col("bl.price"),
-        F.col("bl.guest_name"),
-        F.col("bl.status"),
-        F.col("bl.scheduled_date"),
+    if hot_share is None:
+        joined = bl.join(bg, F.col("group_id") == F.col("_group"), "left")
+    else:
+        joined = salted_left_join(bl, bg, "group_id", "_group", hot_share)
+    return joined.select(
+        surrogate_key("id").alias("activity_key"),
+        F.col("id").alias("booking_id"),
+        surrogate_key("_phone").alias("customer_key"),
+        surrogate_key("treatment_id").alias("treatment_key"),
+        date_key("scheduled_date").alias("scheduled_date_key"),
+        "price",
+        "guest_name",
+        "status",
+        "scheduled_date",
     )

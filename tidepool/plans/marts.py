@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import days_between, safe_ratio
+from tidepool.operators.joins import salted_left_join
 
 
 def _with_date(counted: DataFrame, dim_date: DataFrame, key: str, name: str) -> DataFrame:
@@ -64,18 +65,25 @@ def mart_customer_analytics(dim_customer: DataFrame, fact_transactions: DataFram
     )
 
 
-def mart_operations_booking(activities: DataFrame, booking_logs: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Bookings by day, source page and status; a booking id that is delivered twice meets both of its rows."""
+def mart_operations_booking(activities: DataFrame, booking_logs: DataFrame, dim_date: DataFrame,
+                            hot_share: float | None = None) -> DataFrame:
+    """Bookings by day, source page and status; a booking id that is delivered twice meets both of its rows.
+
+    ``hot_share``: salt the booking ids that hold more than this share of the activities (None: no salting).
+    """
     src = booking_logs.select(F.col("id").alias("_bid"), "source_page")
+    own = activities.select("booking_id", "scheduled_date_key", "status", "price")
+    if hot_share is None:
+        joined = own.join(src, F.col("booking_id") == F.col("_bid"), "left")
+    else:
+        joined = salted_left_join(own, src, "booking_id", "_bid", hot_share)
     counted = (
-        activities.select("booking_id", "scheduled_date_key", "status", "price")
-        .join(src, F.col("booking_id") == F.col("_bid"), "left")
-        .groupBy("scheduled_date_key", F.coalesce(F.col("source_page"), F.lit("unknown")).alias("source_page"),
+        joined.groupBy("scheduled_date_key", F.coalesce(F.col("source_page"), F.lit("unknown")).alias("source_page"),
                  "status")
         .agg(F.count(F.lit(1)).alias("booking_count"), F.sum("price").alias("booking_revenue"))
     )
-    joined = _with_date(counted, dim_date, "scheduled_date_key", "scheduled_date")
-    return joined.select("scheduled_date_key", "scheduled_date", "source_page", "status", "booking_count",
+    dated = _with_date(counted, dim_date, "scheduled_date_key", "scheduled_date")
+    return dated.select("scheduled_date_key", "scheduled_date", "source_page", "status", "booking_count",
                          "booking_revenue")
 
 

@@ -16,16 +16,17 @@ from pyspark.sql import functions as F
 from tidepool import oracle
 from tidepool.config import load_rules, load_tests
 from tidepool.functions import date_key, surrogate_key
-from tidepool.operators import calendar, constraints, quality
-from tidepool.plans import dims, jobs, marts
+from tidepool.operators import calendar, constraints, quality, uniqueness
+from tidepool.operators.joins import HOT_SHARE
+from tidepool.plans import dims, facts, jobs, marts
 from tidepool.plans.models import (ALL_MODELS, FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START,
-                                   fixture_models)
+                                   fixture_models, selected)
 from tidepool.schema import CONTRACTS, SOURCE_TABLES
 from tidepool.session import configure, scratch_path
-from tidepool.sources import lake
+from tidepool.sources import audit, catalog, lake
 from tidepool.sources.bindings import BINDINGS, bind, bind_all, scan_table
 from tidepool.sources.profile import profile
-from tidepool.sources.staging import apply_contract, contract_report
+from tidepool.sources.staging import apply_contract, contract_drift, contract_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -188,7 +189,7 @@ def _raw_rows(spark, sf_dir, t):
 
 def _gate_all(spark, sf_dir):
     configure(spark)
-    return _union([quality.gate(bind(spark, sf_dir, t), t, RULES.get(t), source=_raw_rows(spark, sf_dir, t))
+    return _union([quality.gate(bind(spark, sf_dir, t), t, RULES.get(t), source=_raw_rows(spark, sf_dir, t), prefilter=True)
                    for t in SOURCE_TABLES])
 
 
@@ -307,16 +308,13 @@ def _suite_frames(spark, sf_dir, specs):
     """The tested tables; each model that is needed is computed once and read back."""
     m = _models(spark, sf_dir)
     tested = list(dict.fromkeys(model for _layer, model, *_ in specs))
-    wanted = [name for name in ALL_MODELS if name in tested]
-    below = {"mart_revenue_daily": ["dim_date", "fact_transactions"], "mart_customer_analytics": ["dim_customer", "fact_transactions"],
-             "mart_operations_booking": ["dim_date", "fact_treatment_activities"],
-             "mart_product_analytics": ["dim_product", "fact_completed_items"],
-             "mart_treatment_analytics": ["dim_treatment", "fact_treatment_activities"]}
-    needed = {x for name in wanted for x in [name, *below.get(name, [])]}
-    for name in (x for x in ALL_MODELS if x in needed):   # warehouse models come before marts
+
+    def write(name, frame):
         path = scratch_path(spark, "suite", name)
-        m[name].write.parquet(path)
-        m.replace(name, spark.read.schema(m[name].schema).parquet(path))
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    jobs.materialise(m, selected([f"+{name}" for name in ALL_MODELS if name in tested]), write, jobs.DEFAULT_PARALLELISM).check()
     return {name: m[name] if name in ALL_MODELS else bind(spark, sf_dir, name) for name in tested}
 
 
@@ -484,7 +482,7 @@ def q_stage_load(spark, sf_dir):
 
 
 def _audit_frame(spark, root):
-    return spark.read.parquet(f"{root}/audit")
+    return audit.read_audit(spark, root)
 
 
 @register("q_load_verify", oracle.compose("\nUNION ALL\n".join(
@@ -588,3 +586,102 @@ def q_extract_checks(spark, sf_dir):
         F.col("source_table").alias("table_name"), (F.col("pos") + 1).cast("int").alias("check_order"),
         F.col("check.name").alias("check_name"), F.col("check.status").alias("status"),
         F.col("check.detail").alias("detail"))
+
+
+# ---------------------------------------------------------------------------
+# Catalog, selection, reruns, located errors, drift
+# ---------------------------------------------------------------------------
+
+#: Databases of the fixture run: schema names of their own, used as they are.
+FIXTURE_DATABASES = catalog.Databases("FIXTURE_WAREHOUSE", {"staging": "FIXTURE_STAGING", "mart": "FIXTURE_MART"})
+
+
+@register("q_catalog_mart", oracle.compose(
+    "SELECT * FROM mart_customer_analytics"))
+def q_catalog_mart(spark, sf_dir):
+    """A mart built with its ancestors only, then read by database and table name."""
+    configure(spark)
+    jobs.build_models(spark, scratch_path(spark, "catalog"), FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF,
+                      staging=bind_all(spark, sf_dir), select=["+mart_customer_analytics"], databases=FIXTURE_DATABASES)
+    return spark.sql("SELECT m.* FROM FIXTURE_MART.mart_customer_analytics m "
+                     "JOIN FIXTURE_WAREHOUSE.dim_customer d ON m.customer_key = d.customer_key")
+
+
+def _rerun_oracle() -> str:
+    parts = [f"SELECT 'extract' AS job, {oracle._lit(t)} AS source_table, 'SUCCESS' AS status, CAST(count(*) AS BIGINT) AS rows_loaded, "
+             f"{'FALSE' if t == FAILING_FEED else 'TRUE'} AS resumed FROM {t}" for t in AUDIT_TABLES]
+    return oracle.compose("\nUNION ALL\n".join(parts))
+
+
+@register("q_resume_batch", _rerun_oracle())
+def q_resume_batch(spark, sf_dir):
+    """A batch with a broken feed, resumed once it is mended; each table has one record, finished ones are not read again."""
+    configure(spark)
+    root = scratch_path(spark, "resume_batch")
+    sources = {t: bind(spark, sf_dir, t) for t in AUDIT_TABLES}
+    broken = sources | {FAILING_FEED: _bad_products(sources[FAILING_FEED])}
+    first = jobs.ingest(spark, broken, root, "20260809_023000", ingest_date=INGEST_DATE)
+    _require([r["source_table"] for r in first if r["status"] != "SUCCESS"] == [FAILING_FEED], first)
+    again = jobs.ingest(spark, sources, root, "20260809_023000", ingest_date=INGEST_DATE, resume=True)
+    kept = [r["source_table"] for r in again if r.get("resumed")]
+    return _audit_frame(spark, root).select("job", "source_table", "status", "rows_loaded", F.col("source_table").isin(kept).alias("resumed"))
+
+
+# Cells of completed_items as a broken source delivers them.
+_DELIVERED = {"price": ("CASE WHEN {n} % 97 = 0 THEN 'abc' WHEN {n} % 89 = 0 THEN '12,5' ELSE CAST(price AS {text}) END"),
+              "created_at": ("CASE WHEN {n} % 101 = 0 THEN 'soon' WHEN {n} % 103 = 0 THEN '' ELSE CAST(created_at AS {text}) END")}
+
+
+def _delivered(number: str, text: str) -> str:
+    b = BINDINGS["completed_items"]
+    cols = ", ".join(f"{_DELIVERED[c].format(n='_pk', text=text)} AS {c}" if c in _DELIVERED else f"CAST({c} AS {text}) AS {c}"
+                     for c in CONTRACTS["completed_items"].fieldNames())
+    return f"SELECT {cols} FROM (SELECT {', '.join(b.exprs)}, {number} AS _pk FROM {b.source}) s"
+
+
+@register("q_bad_cells", oracle.compose(
+    "SELECT column_name, value, expected, CAST(count(*) AS BIGINT) AS cells FROM ("
+    "SELECT 'price' AS column_name, price AS value, 'bigint' AS expected FROM sent WHERE price IN ('abc', '12,5') "
+    "UNION ALL SELECT 'created_at', created_at, 'timestamp' FROM sent WHERE created_at = 'soon') c GROUP BY ALL",
+    {"sent": _delivered("l_partkey", "VARCHAR")}))
+def q_bad_cells(spark, sf_dir):
+    """Cells of a CSV batch that the staging contract can't take; the load is refused and names the first."""
+    configure(spark)
+    root = scratch_path(spark, "bad_cells")
+    b = BINDINGS["completed_items"]
+    feed = scan_table(spark, sf_dir, b.source).selectExpr(*b.exprs, "l_partkey AS _pk")
+    feed = feed.selectExpr(*[f"{_DELIVERED[c].format(n='_pk', text='STRING')} AS {c}" if c in _DELIVERED else f"CAST({c} AS STRING) AS {c}"
+                             for c in CONTRACTS["completed_items"].fieldNames()])
+    jobs.ingest(spark, {"completed_items": feed}, root, "20260809_023000", fmt="csv", ingest_date=INGEST_DATE, validate=False)
+    load = jobs.load_staging(spark, root, ["completed_items"], "20260809_023000", fmt="csv")[0]
+    _require(load["status"] == "FAILED" and " in column " in load["error_message"], load)
+    return (jobs.bad_cells(spark, "completed_items", root, "csv").groupBy("column_name", "value", "expected")
+            .agg(F.count(F.lit(1)).alias("cells")))
+
+
+@register("q_contract_drift", oracle.compose(
+    "SELECT 'gift_card_id' AS column_name, 'missing' AS change, 'string' AS expected, CAST(NULL AS VARCHAR) AS found, "
+    "CAST(count(*) AS BIGINT) AS affected_rows FROM transactions "
+    "UNION ALL SELECT 'loyalty_tier', 'added', NULL, 'string', CAST(count(source) AS BIGINT) FROM transactions "
+    "UNION ALL SELECT 'total_price', 'retyped', 'bigint', 'string', CAST(count_if(total_price % 2 = 0) AS BIGINT) FROM transactions"))
+def q_contract_drift(spark, sf_dir):
+    """S3: a transactions feed with a column less, a new one and a retyped one, against its contract."""
+    configure(spark)
+    feed = bind(spark, sf_dir, "transactions").withColumns({
+        "total_price": F.when(F.col("total_price") % 2 == 0, F.lit("n/a")).otherwise(F.col("total_price").cast("string")),
+        "loyalty_tier": F.col("source")}).drop("gift_card_id")
+    return contract_drift(feed, CONTRACTS["transactions"])
+
+
+@register("q_salted_join", oracle.model("fact_treatment_activities"))
+def q_salted_join(spark, sf_dir):
+    """J1 with the bookings of hot groups salted: the same rows as the plain join."""
+    configure(spark)
+    return facts.fact_treatment_activities(bind(spark, sf_dir, "booking_logs"), bind(spark, sf_dir, "booking_groups"), HOT_SHARE)
+
+
+@register("q_repeated_keys", "SELECT l_partkey, l_suppkey, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1")
+def q_repeated_keys(spark, sf_dir):
+    """The key values on more than one line item, through hash slots."""
+    configure(spark)
+    return uniqueness.repeated(scan_table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"])

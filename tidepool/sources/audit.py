@@ -1,5 +1,8 @@
-"""Batch audit records: one record per table per job run, appended to a
-parquet audit table partitioned by batch id (plus a JSON manifest file)."""
+"""Batch audit records: one record per table per job run, in a parquet audit table
+partitioned by batch id and job (plus a JSON manifest file per batch and job).
+
+A rerun of a job of a batch replaces exactly its own records (dynamic partition overwrite);
+other batches, and the batch's other jobs, keep theirs."""
 
 from __future__ import annotations
 
@@ -62,10 +65,20 @@ def records_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
+def audit_path(root: str) -> str:
+    return f"{root.rstrip('/')}/audit"
+
+
+def read_audit(spark: SparkSession, root: str) -> DataFrame:
+    """All records. The schema is given: a batch id of digits stays text."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path(root))
+
+
 def write_audit(spark: SparkSession, records: list[dict], root: str, job: str, batch_id: str) -> str:
-    """Append the records to ``<root>/audit`` and write a JSON manifest beside it."""
-    path = f"{root.rstrip('/')}/audit"
-    records_frame(spark, records).write.mode("append").partitionBy("batch_id").parquet(path)
+    """Replace the records of this job and batch in ``<root>/audit`` and its JSON manifest beside it."""
+    path = audit_path(root)
+    (records_frame(spark, records).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", "job").parquet(path))
     manifest = {"batch_id": batch_id, "generated_at": dt.datetime.now().isoformat(), "tables": records}
     text = json.dumps(manifest, indent=2, ensure_ascii=False, default=str)
     # one small driver-side document (one record per table): a single file write, no Spark job

@@ -65,6 +65,8 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 POINTER = "_CURRENT"
+#: In a snapshot's folder: the record of the job that made it. Readers skip names that begin with "_".
+RECORD = "_RECORD"
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

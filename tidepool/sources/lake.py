@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,10 +69,13 @@ def _string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _null_rule(c: str) -> Column:
+    return F.when(F.col(c).isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c))
+
+
 def apply_null_rules(df: DataFrame) -> DataFrame:
     """Empty / quoted empty / literal NULL -> NULL on every text column."""
-    return df.select(*[F.when(F.col(c).isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-                       for c in df.columns])
+    return df.select(*[_null_rule(c).alias(c) for c in df.columns])
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str], recursive: bool = True) -> DataFrame:
@@ -86,3 +89,21 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str], recursive:
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     return apply_null_rules(r.csv(path))
+
+
+def read_csv_located(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``read_csv_text`` with each row's place: _file and _row (from 1, the header not counted).
+
+    A multi-line file is read by one task in order, so a row's number is its id less the
+    file's first one.
+    """
+    r = spark.read.schema(_string_schema(columns)).options(**CSV_READ).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    rows = r.csv(path).select(*columns, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    first = rows.groupBy("_file").agg(F.min("_at").alias("_first"))
+    return (rows.withColumns({c: _null_rule(c) for c in columns}).join(first, "_file")
+            .withColumn("_row", F.col("_at") - F.col("_first") + 1).drop("_at", "_first"))
+
+
+def read_parquet_located(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The Parquet files below ``path`` with each row's place: _file and _row (from 1)."""
+    return spark.read.parquet(path).select(*columns, F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.row_index") + 1).alias("_row"))
