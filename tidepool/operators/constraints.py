@@ -6,8 +6,9 @@ Failures counted per test:
                   ignored, unlike in the pre-publish gate where NULL == NULL;
   accepted_values rows whose non-NULL value is outside the list.
 
-Row-level tests (not_null, accepted_values) are one plain aggregate per model: one row
-per map task reaches the fold. Columns under a unique test are shuffled as 64-bit hashes
+Row-level tests (not_null, accepted_values) scan each model once, and only the failing
+cells are counted, in the map tasks: one row a task reaches the fold. Columns under a unique
+test are scanned once a model, too, and shuffled as 64-bit hashes
 that combine map-side, so a hot value is one hash per task; only values whose hash occurs
 twice are grouped as (test, value) pairs (``uniqueness``).
 """
@@ -41,26 +42,35 @@ def _as_key(df: DataFrame, c: str):
     return col.cast("string")
 
 
-def _row_level(df: DataFrame, tests: list[tuple[int, str, str, list | None]]) -> DataFrame:
-    """(g, failing) of the row-level tests of one model."""
-    failing = []
-    for g, c, kind, values in tests:
-        col = F.col(c)
-        bad = col.isNull() if kind == "not_null" else col.isNotNull() & ~col.isin(list(values))
-        failing.append(F.count_if(bad).alias(f"_t{g}"))
-    pairs = [F.struct(F.lit(g).alias("g"), F.col(f"_t{g}").alias("failing")) for g, *_ in tests]
-    return df.agg(*failing).select(F.inline(F.array(*pairs)))
-
-
-def _repeated(frames: list[tuple[int, DataFrame, str]], spark: SparkSession) -> DataFrame:
-    """(g, failing) of the unique tests: how many values occur more than once."""
-    values = None
-    for g, df, c in frames:
-        one = df.select(F.lit(g).alias("g"), _as_key(df, c).alias("v"))
-        values = one if values is None else values.unionByName(one)
+def _row_level(frames: Mapping[str, DataFrame], tests: dict[str, list[tuple[int, str, str, list | None]]]) -> DataFrame:
+    """(g, failing) of the row-level tests of all models: one scan a model, and one fold of the failing cells."""
+    parts = []
+    for model, own in tests.items():
+        flags = []
+        for g, c, kind, values in own:
+            col = F.col(c)
+            bad = col.isNull() if kind == "not_null" else col.isNotNull() & ~col.isin(list(values))
+            flags.append(F.struct(F.lit(g).alias("g"), bad.alias("bad")))
+        parts.append(frames[model].select(F.inline(F.filter(F.array(*flags), lambda flag: flag["bad"]))).select("g"))
+    numbers = [g for own in tests.values() for g, *_ in own]
+    counts = _union(parts).agg(*[F.count_if(F.col("g") == g).alias(f"_t{g}") for g in numbers])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(g).alias("g"), F.col(f"_t{g}").alias("failing")) for g in numbers])))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _repeated(frames: Mapping[str, DataFrame], tests: dict[str, list[tuple[int, str]]], spark: SparkSession) -> DataFrame:
+    """(g, failing) of the unique tests: how many values occur more than once. One scan a model holds all its tested columns."""
+    values = _union([frames[model].select(F.inline(F.array(*[F.struct(F.lit(g).alias("g"), _as_key(frames[model], c).alias("v")) for g, c in own])))
+                     for model, own in tests.items()])
     dup = (uniqueness.repeated(values.where(F.col("v").isNotNull()), ["g", "v"])
            .groupBy("g").agg(F.count(F.lit(1)).alias("failing")))
-    none = spark.createDataFrame([(g, 0) for g, *_ in frames], "g int, failing long")
+    none = spark.createDataFrame([(g, 0) for own in tests.values() for g, _ in own], "g int, failing long")
     return dup.unionByName(none).groupBy("g").agg(F.max("failing").alias("failing"))   # a test without values has its row
 
 
@@ -72,17 +82,14 @@ def run_suite(spark: SparkSession, frames: Mapping[str, DataFrame], specs, kinds
     tests = [(m, c, t, v) for _layer, m, c, t, v in specs if not kinds or t in kinds]
     if not tests:
         return spark.createDataFrame([], SUITE_SCHEMA)
-    parts = []
-    for m in dict.fromkeys(t[0] for t in tests):
-        own = [(g, c, t, v) for g, (model, c, t, v) in enumerate(tests) if model == m and t != "unique"]
-        if own:
-            parts.append(_row_level(frames[m], own))
-    unique = [(g, frames[m], c) for g, (m, c, t, _v) in enumerate(tests) if t == "unique"]
-    if unique:
-        parts.append(_repeated(unique, spark))
-    counted = parts[0]
-    for p in parts[1:]:
-        counted = counted.unionByName(p)
+    row_level: dict[str, list] = {}
+    unique: dict[str, list] = {}
+    for g, (model, c, kind, values) in enumerate(tests):
+        if kind == "unique":
+            unique.setdefault(model, []).append((g, c))
+        else:
+            row_level.setdefault(model, []).append((g, c, kind, values))
+    counted = _union(([_row_level(frames, row_level)] if row_level else []) + ([_repeated(frames, unique, spark)] if unique else []))
 
     def name(i: int):
         return F.element_at(F.array(*[F.lit(t[i]) for t in tests]), F.col("g") + 1)
