@@ -20,7 +20,7 @@ def _explain(df) -> str:
 READ_ONLY = [n for n in sorted(QUERIES) if n not in {
     "q_raw_roundtrip", "q_snapshot_replace", "q_csv_format_scan", "q_stage_load", "q_load_verify",
     "q_batch_audit", "q_gate_publish", "q_end_to_end_run", "q_extract_checks", "q_test_not_null", "q_test_unique",
-    "q_test_accepted_values", "q_test_suite"}]
+    "q_test_accepted_values", "q_test_suite", "q_catalog_mart", "q_resume_batch", "q_bad_cells"}]
 
 
 @pytest.mark.parametrize("name", READ_ONLY)
