@@ -86,3 +86,25 @@ def test_rare_words_count_as_words(spark):
     new = [("lele", "b"), ("zaqa", "a"), ("zaqy", "a"), ("zaqy lele un un", "b"), ("le", "a"), (None, "und"), ("!", "und")]
     found = langid.predict(spark.createDataFrame(new, "text string, want string"), model, keep=[F.col("want"), F.col("text")]).collect()
     assert len(found) == 7 and all(r["lang_pred"] == r["want"] for r in found), found
+
+
+def test_both_ways_give_equal_rows(spark, small, monkeypatch):
+    """Everything in the heads, or little of it and the rest joined, in one block or many."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    teach = docs.filter("doc_id % 3 <> 0")
+    rows = lambda model: {r["doc_id"]: (r["lang_pred"], round(r["score"], 9), r["has_letter"])
+                          for r in langid.predict(docs, model, keep=[F.col("doc_id")]).collect()}
+    whole = langid.train(teach)
+    assert whole["tables"] is None
+    few = langid.train(teach, entries=400)
+    assert few["tables"] is not None
+    assert few["tables"][1] is not None       # n-grams are joined, too
+    assert rows(few) == rows(whole)
+    grams_only = {**few, "grams": whole["grams"], "tables": (few["tables"][0], None)}   # the head has all n-grams
+    assert rows(grams_only) == rows(whole)
+    blocks = langid._Blocks(3)
+    monkeypatch.setattr(langid, "BLOCK_WORDS", 3)
+    from collections import Counter
+    assert blocks(Counter("a b a c".split())) == (3 << 32, 0, ["a", "b", "c"], [0, 1, 2], [2, 1, 1])
+    assert blocks(Counter("d a".split())) == (3 << 32 | 1, 0, ["d", "a"], [0, 1], [1, 1])
+    assert blocks(Counter("a e e".split())) == (3 << 32 | 1, 2, ["e"], [1, 2], [1, 2])

@@ -12,8 +12,14 @@ All labelled texts are counted, and the counts of all words and n-grams are writ
 tables. The head of each, which is broadcast, has every language's most frequent entries,
 ``MODEL_ENTRIES`` / number of languages of each at most, so at most ``MODEL_ENTRIES`` at
 any corpus size and shares of the languages, with their exact counts in every language.
-Where the heads don't hold everything, the words outside are joined with the table of
-words, and n-grams of words that were never seen with the table of n-grams.
+Where the head of words doesn't hold everything, the words outside are joined with the table of
+words. Words that were never seen go by the head of n-grams; where that doesn't hold
+all n-grams, those of their n-grams that it lacks, and that could count, are joined with the
+table of n-grams. For the join a
+task numbers the words that its rows have outside the head, in blocks of at most
+``BLOCK_WORDS`` words (and one text's) and ``BLOCK_ROWS`` rows: a word is joined once a
+block, and the block's rows, as numbers, meet its vectors in one task. Both ways a word
+has the same vector of 32-bit logs, summed in double precision.
 
 Defined results: null text, or one without a letter, gives ``und`` with score 0, as
 does any text if nothing was learned; rows without a label teach nothing; ties go to
@@ -24,12 +30,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import carried, released, text_batches, whole_row, written
@@ -43,6 +50,10 @@ SMOOTHING = 0.1
 #: A counting task hands on its counts when it holds so many different entries.
 FLUSH_ENTRIES = 250_000
 
+#: Words and rows of a block.
+BLOCK_WORDS = 1 << 17
+BLOCK_ROWS = 20_000
+
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -120,14 +131,14 @@ def _counted(counts: DataFrame, bound: int, what: str) -> tuple[tuple[list[str],
         enough = enough | (F.col("n")[i] >= n)
     every = wide.select("entry", logs.alias("logs"))
     head = wide.filter(enough).select("entry", logs.alias("logs")).toArrow()
-    values = np.array(head["logs"].combine_chunks().flatten()).reshape(-1, len(langs)).astype("float32")
+    values = np.array(head["logs"].combine_chunks().flatten()).reshape(-1, len(langs))
     return (head["entry"].to_pylist(), values), every, len(values) == number
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", entries: int = MODEL_ENTRIES) -> dict[str, Any]:
     """Learn from the rows of ``docs`` that have a text and a language.
 
-    ``tables``: those of all words and n-grams; None if the heads have all of them.
+    ``tables``: those of all words and of all n-grams (None if their head has them); None if the heads have all of both.
     """
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
@@ -138,7 +149,29 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", entries: int
     own_grams, all_grams, every_gram = _counted(written(gram_counts, "grams"), entries, "all_grams")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     return {"langs": langs, "words": words, "grams": own_grams,
-            "tables": None if every_word and every_gram else (all_words, all_grams)}
+            "tables": None if every_word and every_gram else (all_words, None if every_gram else all_grams)}
+
+
+def _backed_off(words: list[str], known: dict[str, int], gram_logs: Any) -> Any:
+    """A row per word: the mean over its longest known n-grams, 0 where no character is known."""
+    import numpy as np
+
+    flat, sizes = [], []
+    for word in words:
+        own: list[int] = []
+        for n in range(LONGEST_GRAM, 0, -1):
+            own = [i for g in grams(word, n) if (i := known.get(g)) is not None]
+            if own:
+                break
+        flat += own
+        sizes.append(len(own))
+    size = np.array(sizes, "int64")
+    out = np.zeros((len(words), gram_logs.shape[1]))
+    some = np.flatnonzero(size)
+    if len(some):
+        starts = (np.cumsum(size) - size)[some]
+        out[some] = np.add.reduceat(gram_logs[flat].astype("float64"), starts, axis=0) / size[some, None]
+    return out
 
 
 class _Scorer:
@@ -151,6 +184,7 @@ class _Scorer:
 
         self.np, self.langs = np, model["langs"]
         self.words, self.word_logs = model["words"]
+        self.word_logs = self.word_logs.astype("float32")
         names, self.gram_logs = model["grams"]
         self.grams = {g: i for i, g in enumerate(names)}
         if self.langs:
@@ -172,23 +206,8 @@ class _Scorer:
         return row
 
     def _fill(self) -> None:
-        """The vectors of words seen for the first time: means over their longest known n-grams."""
-        np, flat, sizes, known = self.np, [], [], self.grams.get
-        for word in self.fresh:
-            own: list[int] = []
-            for n in range(LONGEST_GRAM, 0, -1):
-                own = [i for g in grams(word, n) if (i := known(g)) is not None]
-                if own:
-                    break
-            flat += own
-            sizes.append(len(own))
-        size = np.array(sizes)
-        first = self.used - len(sizes)
-        self.logs[first:self.used] = 0   # no known character at all
-        some = np.flatnonzero(size)
-        if len(some):
-            starts = (np.cumsum(size) - size)[some]
-            self.logs[first + some] = np.add.reduceat(self.gram_logs[flat], starts, axis=0) / size[some, None]
+        """The vectors of words seen for the first time."""
+        self.logs[self.used - len(self.fresh):self.used] = _backed_off(self.fresh, self.grams, self.gram_logs)
         self.fresh = []
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
@@ -221,10 +240,10 @@ class _HeadScorer:
         self.np, self.langs = np, model["langs"]
         words, logs = model["words"]
         self.rows = {w: i for i, w in enumerate(words)}
-        self.logs = logs.reshape(-1, len(self.langs))
+        self.logs = logs.reshape(-1, len(self.langs)).astype("float32")
 
-    def __call__(self, text: str | None) -> tuple[bool, int, list[float], list[str], list[int]]:
-        """Whether there is a letter, number of words, sums, words outside the head and how often they occur."""
+    def __call__(self, text: str | None) -> tuple[bool, int, list[float], Counter]:
+        """Whether there is a letter, number of words, sums, and how often each word outside the head occurs."""
         found = letter_words(text) if text is not None else []
         total, rest = self.np.zeros(len(self.langs)), Counter()
         for at in range(0, len(found), 100_000):
@@ -233,49 +252,124 @@ class _HeadScorer:
             outside = self.np.flatnonzero(rows < 0)
             total += self.logs[rows[rows >= 0]].sum(0, dtype="float64")
             rest.update(part[i] for i in outside)
-        return any(c.isalpha() for w in found for c in w), len(found), total, list(rest), list(rest.values())
-
-
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The n-grams of every word: word, their length, gram."""
-    for batch in batches:
-        rows = [(w, n, g) for w in batch["word"] for n in range(1, LONGEST_GRAM + 1) for g in grams(w, n)]
-        for i in range(0, len(rows), 100_000):
-            yield pd.DataFrame(rows[i:i + 100_000], columns=["word", "size", "gram"])
-
-
-def _vectors(words: DataFrame, tables: tuple[DataFrame, DataFrame], langs: int) -> DataFrame:
-    """word and its logs: from the table of words, or means over its longest known n-grams; none if no character is known."""
-    all_words, all_grams = tables
+        return any(c.isalpha() for w in found for c in w), len(found), total, rest
+
+
+class _Blocks:
+    """Numbers the words outside the head that a task meets; a full block ends, and the next begins at 0."""
+
+    def __init__(self, task: int):
+        self.task, self.block, self.rows, self.numbers = task, 0, 0, {}
+
+    def __call__(self, rest: Counter) -> tuple[int, int, list[str], list[int], list[int]]:
+        """Block, number of its words so far, words that are new to it, and the numbers and occurrences of the text's words."""
+        if self.rows >= BLOCK_ROWS or len(self.numbers) >= BLOCK_WORDS:
+            self.block, self.rows, self.numbers = self.block + 1, 0, {}
+        first, self.rows = len(self.numbers), self.rows + 1
+        own = [self.numbers.setdefault(w, len(self.numbers)) for w in rest]
+        return self.task << 32 | self.block, first, [w for w, n in zip(rest, own) if n >= first], own, list(rest.values())
+
+
+def _parts(spark: SparkSession, model: dict[str, Any]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Of every word: the longest size with n-grams in the head (0: none), their number and sums, and the n-grams
+    of that size and longer ones that the head lacks."""
+    head, langs = spark.sparkContext.broadcast(model["grams"]), len(model["langs"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, logs = head.value
+        known = {g: i for i, g in enumerate(names)}
+        for batch in batches:
+            rows = []
+            for word in batch["word"]:
+                outside: list[tuple[int, str]] = []
+                own: list[int] = []
+                size = LONGEST_GRAM + 1
+                while not own and size > 1:
+                    size -= 1
+                    for g in grams(word, size):
+                        if (i := known.get(g)) is None:
+                            outside.append((size, g))
+                        else:
+                            own.append(i)
+                sums = logs[own].astype("float64").sum(0) if own else [0.0] * langs
+                rows.append((word, size if own else 0, len(own), sums, [n for n, _ in outside], [g for _, g in outside]))
+            yield pd.DataFrame(rows, columns=["word", "size", "number", "sums", "sizes", "outside"])
+    return run
+
+
+def _vectors(words: DataFrame, model: dict[str, Any]) -> DataFrame:
+    """word and its logs: from the table of words, or means over its longest known n-grams; none or 0 if no character is known."""
+    (all_words, all_grams), langs = model["tables"], len(model["langs"])
     found = written(words.join(all_words.withColumnRenamed("entry", "word"), "word", "left"), "outside")
     unseen = found.filter("logs IS NULL").select("word")
-    own = (unseen.mapInPandas(_parts, "word string, size int, gram string")
-           .join(all_grams.withColumnRenamed("entry", "gram"), "gram"))
-    mean = F.array(*[F.avg(F.col("logs")[i]) for i in range(langs)])
-    backed_off = (own.groupBy("word", "size").agg(mean.alias("logs"))
-                  .groupBy("word").agg(F.max_by("logs", "size").alias("logs")))
-    return written(found.filter("logs IS NOT NULL").union(backed_off), "vectors")
+    parts = unseen.mapInPandas(_parts(words.sparkSession, model), "word string, size int, number int, sums array<double>, sizes array<int>, outside array<string>")
+    mean = lambda sums, number: F.transform(sums, lambda x: x / number)
+    nothing = F.size("outside") == 0
+    if all_grams is None:
+        nothing = F.lit(True)
+    else:
+        parts = written(parts, "parts")
+    done = parts.filter(nothing & (F.col("number") > 0)).select("word", mean(F.col("sums"), F.col("number")).alias("logs"))
+    if all_grams is not None:
+        done = done.union(_completed(parts.filter(~nothing), all_grams, langs, mean))
+    return found.filter("logs IS NOT NULL").union(done).select("word", F.col("logs").cast("array<float>").alias("logs"))
+
+
+def _completed(parts: DataFrame, all_grams: DataFrame, langs: int, mean) -> DataFrame:
+    """word and logs of words with n-grams outside the head: those that were seen count with the head's of their size."""
+    one = parts.select("word", F.explode(F.arrays_zip("sizes", "outside")).alias("x")).select("word", F.col("x.sizes").alias("size"), F.col("x.outside").alias("gram"))
+    sums = F.array(*[F.sum(F.col("logs")[i]) for i in range(langs)])
+    seen = (one.join(all_grams.withColumnRenamed("entry", "gram"), "gram").groupBy("word", "size").agg(sums.alias("sums"), F.count("*").alias("number"))
+            .groupBy(F.col("word").alias("w")).agg(F.max_by(F.struct("size", "sums", "number"), "size").alias("more")))
+    both = parts.select("word", "size", "number", "sums").join(seen, F.col("word") == F.col("w"), "left")
+    longer = F.col("more.size") > F.col("size")
+    added = F.col("more.size") == F.col("size")
+    logs = (F.when(longer, mean(F.col("more.sums"), F.col("more.number")))
+            .when(added, mean(F.zip_with("sums", "more.sums", lambda a, b: a + b), F.col("number") + F.col("more.number")))
+            .when(F.col("number") > 0, mean(F.col("sums"), F.col("number"))))
+    return both.select("word", logs.alias("logs")).filter("logs IS NOT NULL")
+
+
+def _sums(langs: int):
+    """For a block: the vectors of its words, summed by row."""
+    import numpy as np
+
+    def run(rows: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({"r": [], "rest": []})
+        own = rows["numbers"].tolist()
+        sizes = np.array([len(x) for x in own])
+        logs = np.zeros((max(int(x.max()) for x in own) + 1, langs), "float32")   # a word of which nothing is known adds 0
+        if len(vectors):
+            logs[vectors["number"].to_numpy()] = np.vstack(vectors["logs"].tolist())
+        sums = np.empty((len(own), langs))
+        for i, (numbers, times) in enumerate(zip(own, rows["times"])):
+            sums[i] = (logs[numbers].astype("float64") * np.asarray(times)[:, None]).sum(0)
+        return pd.DataFrame({"r": rows["row"].to_numpy(), "rest": list(sums)}).loc[sizes > 0]
+    return run
 
 
 def _predict_joined(rows: DataFrame, model: dict[str, Any]) -> DataFrame:
     """kept and found as ``predict`` needs them, where the heads don't hold all words and n-grams."""
-    langs, tables = model["langs"], model["tables"]
+    langs = model["langs"]
     shared = rows.sparkSession.sparkContext.broadcast({"langs": langs, "words": model["words"]})
 
-    @F.pandas_udf("struct<has_letter:boolean,size:long,head:array<double>,words:array<string>,times:array<long>>")
+    @F.pandas_udf("struct<has_letter:boolean,size:long,head:array<double>,block:long,first:int,new:array<string>,numbers:array<int>,times:array<int>>")
     def read(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _HeadScorer(shared.value)
+        scorer, blocks = _HeadScorer(shared.value), _Blocks(TaskContext.get().partitionId())
         for part in parts:
-            yield pd.DataFrame([scorer(t) for t in part], columns=["has_letter", "size", "head", "words", "times"])
+            found = [scorer(t) for t in part]
+            yield pd.DataFrame([(letter, size, total, *blocks(rest)) for letter, size, total, rest in found],
+                               columns=["has_letter", "size", "head", "block", "first", "new", "numbers", "times"])
 
     scored = written(rows.select("kept", read("text").alias("s")).select("kept", "s.*", F.monotonically_increasing_id().alias("row")), "scored")
-    outside = (scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
-               .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times")))
-    vectors = _vectors(outside.select("word").distinct(), tables, len(langs))
-    sums = F.array(*[F.sum(F.col("logs")[i] * F.col("times")) for i in range(len(langs))])
-    rest = outside.join(vectors, "word").groupBy(F.col("row").alias("r")).agg(sums.alias("rest"))
+    wanted = (scored.select("block", "first", F.posexplode("new").alias("at", "word"))
+              .select("block", (F.col("first") + F.col("at")).alias("number"), "word"))
+    vectors = wanted.join(_vectors(wanted.select("word").distinct(), model), "word").select(F.col("block").alias("of"), "number", "logs")
+    with_rest = scored.filter(F.size("numbers") > 0).select("block", "row", "numbers", "times")
+    rest = with_rest.groupBy("block").cogroup(vectors.groupBy("of")).applyInPandas(_sums(len(langs)), "r long, rest array<double>")
     nothing = F.array(*[F.lit(0.0)] * len(langs))
-    whole = (scored.join(rest, F.col("row") == F.col("r"), "left")
+    whole = (scored.select("kept", "has_letter", "size", "head", "row").join(rest, F.col("row") == F.col("r"), "left")
              .withColumn("total", F.zip_with("head", F.coalesce("rest", nothing), lambda a, b: a + b)))
     weight = F.least(F.lit(1.0), F.lit(float(EVIDENCE_WORDS)) / F.col("size"))
     best = F.array_max("total")
