@@ -6,9 +6,8 @@ UTC session time zone (date keys are taken from timestamps), ANSI mode
 and adaptive execution (skew-join splitting, partition coalescing).
 
 Broadcast policy: a join side is broadcast only when its size is known -
-either proven by construction (explicit hints, e.g. the calendar, see
-``operators/joins.py``) or measured at runtime by AQE on the materialised
-shuffle output. The static planner's estimate from file sizes (compressed
+either proven by construction (explicit hints: the calendar, hash slots, hot
+keys) or measured at runtime by AQE on the materialised shuffle output. The static planner's estimate from file sizes (compressed
 bytes, not what the side occupies in memory) is not used.
 """
 
