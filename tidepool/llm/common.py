@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.session import scratch_path
+from tidepool.sources import fs
 
 #: Words are maximal runs of anything but the six ASCII blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -28,13 +30,32 @@ def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+#: Folders that ``written`` made, oldest first.
+_MADE: list[str] = []
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Write to the cluster's shared folder and read again: lineage ends at files every executor sees."""
     path = scratch_path(df.sparkSession, "llm", what)
     df.write.parquet(path)
+    _MADE.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def helpers() -> Iterator[list[str]]:
+    """The folders of the tables that are written inside the block (filled in at its end)."""
+    before, found = len(_MADE), []
+    yield found
+    found += _MADE[before:]
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Remove tables that nothing reads any more: what was made from them is written."""
+    for folder in folders:
+        fs.delete(spark, folder)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, so that working columns beside it cannot clash with their names."""
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])

@@ -91,10 +91,21 @@ class Tokens:
         return b"".join(found)
 
 
+@cache
+def packed_type(vocabulary: str) -> str:
+    """The numpy type of packed ids."""
+    whole, _ = _encoders(vocabulary, None)
+    return "<u2" if whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, doc_id: str = "doc_id", text: str = "text",
            window: int = WINDOW, with_ids: bool = False) -> DataFrame:
-    """A row per piece: id, start, length, ids_crc32, doc_tokens (and ids), cut at multiples of the window."""
+    """A row per piece: id, start, length, ids_crc32, doc_tokens (and ids, packed), cut at multiples of the window.
+
+    Packed ids are little-endian unsigned integers of 2 bytes, or 4 for a vocabulary of more than 2^16.
+    """
     text_batches(docs.sparkSession)
+    narrow = packed_type(vocabulary)
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,11 +117,11 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, doc_id: s
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]
-                    out.append((name, start, len(part) // 4, zlib.crc32(part), total) + ((np.frombuffer(part, "<u4").astype("int64"),) if with_ids else ()))
+                    out.append((name, start, len(part) // 4, zlib.crc32(part), total) + ((np.frombuffer(part, "<u4").astype(narrow).tobytes(),) if with_ids else ()))
             yield pd.DataFrame(out, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"][:5 + with_ids])
 
     kind = docs.select(F.col(doc_id).alias("id")).schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
+    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInPandas(cut, schema)
 
 
@@ -210,4 +221,14 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
 def packed(docs: DataFrame, vocabulary: str, ranks: str | None = None, doc_id: str = "doc_id", text: str = "text",
            window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and pack: a row per piece with its sequence and offset (and ids)."""
-    return pack(written(pieces(docs, vocabulary, ranks, doc_id, text, window, with_ids), "pieces"), window)
+    found = pack(written(pieces(docs, vocabulary, ranks, doc_id, text, window, with_ids), "pieces"), window)
+    if not with_ids:
+        return found
+    narrow = packed_type(vocabulary)
+
+    @F.pandas_udf("array<long>")
+    def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda ids: np.frombuffer(ids, narrow).astype("int64"))
+
+    return found.withColumn("ids", unpacked("ids"))   # after the shuffle
