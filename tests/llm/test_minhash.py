@@ -139,3 +139,17 @@ def test_shared_counts():
     sets = [np.unique(rng.integers(0, 5000, n)) for n in (1, 10, 900, 3000, 4000)]
     got = minhash.shared_counts(sets[:2], sets)
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:2]]
+
+
+def test_null_ids_are_linked_and_one_stays(spark):
+    """Near copies without ids: linked like others, and one of them stays; an id goes before none."""
+    base = [f"w{k}" for k in range(60)]
+    near = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(["y", *base[1:]])]
+    other = " ".join(f"v{k}" for k in range(60))
+    docs = spark.createDataFrame([(None, t) for t in near] + [(None, other), (None, ""), (None, None)], "doc_id long, text string")
+    kept = [r["text"] for r in minhash.keep_one(docs, 80).collect()]
+    assert len(kept) == 4 and sum(t in near for t in kept) == 1 and other in kept and "" in kept and None in kept
+    numbered = spark.createDataFrame([(None, near[0]), (9, near[1]), (7, near[2]), (8, other), (7, other + " z")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in minhash.keep_one(numbered, 80).collect()) == [(7, other + " z"), (7, near[2])]
+    found = {(r["id"], r["component"]) for r in minhash.near_duplicates(numbered, 80).collect()}
+    assert found == {(None, 7), (9, 7), (7, 7), (8, 7)}

@@ -139,7 +139,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """cls and shingles of the wanted classes (columns id, cls), from the whole texts again."""
+    """cls and shingles of the wanted classes (columns id and tag of a member, cls), from the whole texts again."""
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
@@ -148,10 +148,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFra
             cls = [mix(mix(s).sum(keepdims=True) + np.uint64(len(s))).view("int64")[0] for s in sets]
             yield pd.DataFrame({"cls": cls, "shingles": [s.view("int64") for s in sets]})
 
-    ids = wanted.select("id").distinct()
-    near = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
-            .withColumn("slot", slot([F.col("id")]))
-            .join(F.broadcast(sieve(ids)), "slot", "left_semi").join(ids, "id", "left_semi"))
+    ids = wanted.select("id", "tag").distinct()
+    rows = (docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("text"))
+            .withColumn("slot", slot([F.col("id"), F.col("tag")])).join(F.broadcast(sieve(ids)), "slot", "left_semi"))
+    named = ids.select(F.col("id").alias("member_id"), F.col("tag").alias("member_tag"))
+    near = rows.join(named, F.col("id").eqNullSafe(F.col("member_id")) & (F.col("tag") == F.col("member_tag")), "left_semi")
     one = near.select("text").mapInPandas(expand, "cls long, shingles array<long>")
     return one.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
@@ -319,7 +320,8 @@ def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
     """
     rows = written(signatures(docs, doc_id, text), "signatures")
     classes = written(rows.filter("n > 0").groupBy("cls", "check", "n")
-                      .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("mark").alias("mark")), "classes")
+                      .agg(F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "tag")).alias("member"),
+                           F.first("bands").alias("bands"), F.first("mark").alias("mark")), "classes")
     banded = classes.select("cls", F.explode("bands").alias("key"))
     ends = (banded.groupBy("key").agg(F.count("*").alias("size"), F.min("cls").alias("low"), F.max("cls").alias("high"))
             .filter("size > 1").select(F.col("key").alias("own"), "low", "high"))
@@ -328,7 +330,7 @@ def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
                                               F.struct(F.col("cls").alias("a"), F.col("high").alias("b")))).alias("p"))
              .select("p.*").filter("a < b").distinct())
     likely = written(_promising(stars, classes, percent), "pairs")
-    wanted = classes.join(buckets.select("cls").distinct(), "cls", "left_semi").select("id", "cls")
+    wanted = classes.join(buckets.select("cls").distinct(), "cls", "left_semi").select("member.id", "member.tag", "cls")
     sets = written(_sets(docs, wanted, doc_id, text), "sets")
     first = written(_linked(likely, sets, percent), "links")
 
@@ -343,25 +345,31 @@ def links(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: id, tag, n (set size), cls, component (smallest id reachable)."""
+    """A row per document: id, tag, n (set size), cls, component (smallest id reachable, null last), keeper.
+
+    keeper is the id and tag of the document that stands for the component: that with the
+    smallest id, null last, then the smallest tag. Null ids are ids of their own here: such
+    documents are linked like others, and a component of them only has a null id.
+    """
     rows, classes, found = links(docs, percent, doc_id, text)
     roots = components(found)
-    placed = (classes.select("cls", "check", "n", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    placed = (classes.select("cls", "check", "n", "id", "member").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("root", F.coalesce("root", "cls")))
-    least = placed.groupBy("root").agg(F.min("id").alias("component"))
-    known = written(placed.join(least, "root").select(F.col("cls").alias("c"), F.col("check").alias("k"), "component"), "components")
+    least = placed.groupBy("root").agg(F.min("id").alias("component"), F.min("member").alias("keeper"))
+    known = written(placed.join(least, "root").select(F.col("cls").alias("c"), F.col("check").alias("k"), "component", "keeper"), "components")
     same = (F.col("cls") == F.col("c")) & (F.col("check") == F.col("k"))
     return (rows.select("id", "tag", "n", "cls", "check").join(known, same, "left")
-            .select("id", "tag", "n", "cls", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")))
+            .select("id", "tag", "n", "cls", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"), "keeper"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` of which each near-duplicate group keeps the one with its smallest id.
+    """The rows of ``docs`` of which each near-duplicate group keeps one: that with its smallest id, null last.
 
-    Texts without words are in no group and all stay. Rows that repeat id and text are one
-    document: all of them stay or none.
+    Texts without words are in no group and all stay. Rows that repeat id (or its absence) and
+    text are one document: all of them stay or none.
     """
     found = near_duplicates(docs, percent, doc_id, text)
-    gone = found.filter("component != id").select(F.col("id").alias("gone_id"), F.col("tag").alias("gone_tag"))
+    stays = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("tag") == F.col("keeper.tag"))
+    gone = found.filter((F.col("n") > 0) & ~stays).select(F.col("id").alias("gone_id"), F.col("tag").alias("gone_tag"))
     rows = docs.select(whole_row(docs).alias("row"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("tag"))
-    return rows.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("tag") == F.col("gone_tag")), "left_anti").select("row.*")
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("tag") == F.col("gone_tag")), "left_anti").select("row.*")
