@@ -54,3 +54,36 @@ def test_learns_from_a_few_rows_and_scores_edges(spark, edges, no_rows):
     assert {r["score"] for r in toxicity.score(edges, nothing).collect()} == {0.5}
     assert toxicity.score(no_rows, model).count() == 0
     assert toxicity.train(rows.withColumn("toxic", F.lit(None).cast("int")))["slope"] == 0
+
+
+def test_the_order_of_rows_does_not_matter(spark, monkeypatch):
+    """Shuffled input in one or many partitions, in one shard or several: the same weights to the last bit."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 500), " ".join(f"w{k}" for k in rng.integers(0, 80, 15)) + (" vile" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(600)]
+    schema = "doc_id long, text string, toxic int"
+    for shard_rows in (toxicity.SHARD_ROWS, 150):
+        monkeypatch.setattr(toxicity, "SHARD_ROWS", shard_rows)
+        first = toxicity.train(spark.createDataFrame(rows, schema).coalesce(1))
+        for parts in (1, 7):
+            order = rng.permutation(len(rows))
+            again = toxicity.train(spark.createDataFrame([rows[i] for i in order], schema).repartition(parts))
+            assert (again["weights"] == first["weights"]).all()
+            assert (again["slope"], again["offset"]) == pytest.approx((first["slope"], first["offset"]), rel=1e-9)
+        assert np.count_nonzero(first["weights"]) > 1
+
+
+def test_training_against_a_restatement(spark, monkeypatch):
+    """Shards, FTRL in them, averages: from plain dictionaries."""
+    import hashlib
+
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 60)
+    rows = [(i, f"a{i % 7} b{i % 5} {'vile' if i % 2 else 'kind'} c{i % 3}", i % 2) for i in range(180)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df)
+    keys = {r["doc_id"]: r["k"] for r in df.select("doc_id", F.xxhash64("doc_id").alias("k")).collect()}
+    hashes, total = toxicity.WordHashes(), np.zeros(toxicity.BUCKETS + 1)
+    for shard in range(3):
+        own = sorted((keys[i], hashlib.sha1(t.encode()).digest(), y, t) for i, t, y in rows if keys[i] % 3 == shard)
+        feats = [np.append(np.unique(toxicity.features(t.encode(), hashes)), toxicity.BUCKETS).astype("int32") for *_, t in own]
+        total += toxicity.ftrl(feats, [y for _, _, y, _ in own])
+    assert np.allclose(model["weights"], total / 3, atol=1e-6)

@@ -7,7 +7,9 @@ term, which leaves most weights at exactly 0.
 
 All labelled rows take part: they are dealt by a hash of the id into shards of about
 ``SHARD_ROWS`` rows, each shard trains on its own rows (a task holds their feature
-indices, no texts), and the weights are averaged. The averages that aren't 0 are the
+indices, no texts), and the weights are averaged. Inside a shard rows go by their key, text
+and label, not by arrival, and averages are sums of whole numbers, so any order of the
+rows, and a task that runs again, gives the same model. The averages that aren't 0 are the
 model, at most ``BUCKETS`` numbers whatever the corpus size; that bounds the
 broadcast. Averaging shrinks margins, so a slope and an offset are then fitted to a
 histogram of the training rows' margins (at most 2 x ``BINS`` counts).
@@ -20,6 +22,7 @@ looked at.
 
 from __future__ import annotations
 
+import hashlib
 import string
 from collections.abc import Iterator
 from typing import Any
@@ -39,6 +42,8 @@ EPOCHS = 3
 #: FTRL-proximal: rate scale, rate offset, L1, L2.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 BINS = 400
+#: Weights are summed as multiples of 1/UNIT.
+UNIT = 1 << 40
 #: Width of a margin bin.
 BIN = 0.1
 
@@ -78,15 +83,15 @@ def ftrl(rows: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> np.
 def _train_shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes, shards = WordHashes(), {}
     for batch in batches:
-        for shard, text, label in zip(batch["shard"], batch["text"], batch["label"]):
-            rows, labels = shards.setdefault(shard, ([], []))
-            rows.append(np.append(np.unique(features(text, hashes)), BUCKETS).astype("int32"))
-            labels.append(int(label))
+        for shard, key, text, label in zip(batch["shard"], batch["key"], batch["text"], batch["label"]):
+            row = np.append(np.unique(features(text, hashes)), BUCKETS).astype("int32")
+            shards.setdefault(shard, []).append((key, hashlib.sha1(text or b"").digest(), int(label), row))
         hashes.trim()
-    for rows, labels in shards.values():
-        weights = ftrl(rows, labels)
+    for own in shards.values():
+        own.sort(key=lambda r: r[:3])
+        weights = ftrl([r[3] for r in own], [r[2] for r in own])
         at = np.flatnonzero(weights)
-        yield pd.DataFrame({"bucket": at, "weight": weights[at]})
+        yield pd.DataFrame({"bucket": at, "weight": np.round(weights[at] * UNIT).astype("int64")})
 
 
 def _margins(batches: Iterator[pd.Series], weights: np.ndarray) -> Iterator[pd.Series]:
@@ -152,8 +157,8 @@ def train(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
                               F.col(label).cast("int").alias("label")).filter("label in (0, 1)"), "labelled")
     shards = max(1, round(own.count() / SHARD_ROWS))
     dealt = own.withColumn("shard", F.pmod("key", F.lit(shards).cast("long"))).repartition(shards, "shard")
-    averaged = (dealt.mapInPandas(_train_shard, "bucket long, weight double")
-                .groupBy("bucket").agg((F.sum("weight") / shards).alias("weight")).toPandas())
+    averaged = (dealt.mapInPandas(_train_shard, "bucket long, weight long")
+                .groupBy("bucket").agg((F.sum("weight") / (shards * UNIT)).alias("weight")).toPandas())
     weights = np.zeros(BUCKETS + 1, "float32")
     weights[averaged["bucket"].to_numpy(dtype="int64")] = averaged["weight"].to_numpy()
     place = F.greatest(F.lit(-BINS // 2), F.least(F.lit(BINS // 2), F.round(F.col("margin") / BIN))).cast("int")
