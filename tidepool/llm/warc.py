@@ -7,8 +7,10 @@ others are revisits that refer to it and keep the HTTP headers only.
 
 Writing: Spark's text writer, one record per row, with the record separator (two line
 ends) as line separator, gzipped. Files hold about ``FILE_BYTES`` of payload. Works on any
-file system that Spark can write. Reading: each file is parsed record by record by
-Content-Length, so payloads may contain anything, record headers included. Assembly is
+file system that Spark can write. Reading: gzip files of one or many members, and plain
+files, are unpacked piece by piece and parsed record by record by Content-Length, so
+payloads may contain anything, record headers included; a task holds a file as it is
+stored and one record. A file that ends inside a member or a record is an error. Assembly is
 one grouping by the response's record id; payloads are left out of it unless asked for.
 
 Defined results: a null or empty payload has 0 bytes and the digest of nothing; a null id or
@@ -23,7 +25,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -104,18 +107,75 @@ RECORD = ("type string, record_id string, concurrent_to string, refers_to string
           "payload_bytes long, payload_digest string, sound boolean, page_id long, url string")
 
 
+#: Records that a task hands on at once.
+READ_ROWS = 200
+#: Bytes that come out of a file at once, and bytes of a gzip member that go in.
+PIECE, FED = 1 << 20, 1 << 14
+
+
+def unpacked(content: bytes) -> Iterator[bytes]:
+    """The bytes of a stored file, in pieces: all members of a gzip file, or a plain file as it is."""
+    if not content.startswith(b"\x1f\x8b"):
+        yield from (content[at:at + PIECE] for at in range(0, len(content), PIECE))
+        return
+    at, stored = 0, memoryview(content)
+    while at < len(content):
+        if content[at] == 0 and not content[at:].strip(b"\0"):   # members may be followed by zeros
+            return
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            piece = stored[at:at + FED]
+            if not len(piece):
+                raise ValueError("the archive ends inside a gzip member")
+            yield member.decompress(piece, PIECE)
+            while member.unconsumed_tail and not member.eof:
+                yield member.decompress(member.unconsumed_tail, PIECE)
+            at += len(piece) - len(member.unused_data)
+
+
 def _fields(block: bytes) -> dict[str, str]:
     pairs = (line.partition(":") for line in block.decode("utf-8", "replace").split(END))
     return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
-def parse(data: bytes, with_payload: bool = False) -> Iterator[tuple]:
-    """The records of an uncompressed archive file, in order, as ``RECORD`` (and payload) tuples."""
-    at = 0
-    while (end := data.find(b"\r\n\r\n", at)) >= 0:
-        head = _fields(data[at:end])
-        size = int(head["content-length"])
-        block, at = data[end + 4:end + 4 + size], end + 4 + size + 4
+def _records(pieces: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """(header lines, block) of every record."""
+    held, at = bytearray(), 0
+    more = iter(pieces)
+
+    def grow() -> bool:
+        nonlocal held, at
+        piece = next(more, None)
+        if piece is None:
+            return False
+        held, at = held[at:] + piece, 0
+        return True
+
+    while True:
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not grow():
+                if held[at:].strip():
+                    raise ValueError("the archive ends inside a record's header")
+                return
+        top = bytes(held[at:end])
+        size = int(_fields(top)["content-length"])
+        length = end - at + 4 + size
+        while len(held) - at < length:
+            if not grow():
+                raise ValueError(f"the archive ends inside a record of {size} bytes")
+        block = bytes(held[at + length - size:at + length])
+        at += length
+        while len(held) - at < 4 and grow():
+            pass
+        if held[at:at + 4] == b"\r\n\r\n":
+            at += 4
+        yield top, block
+
+
+def parse(data: bytes | Iterable[bytes], with_payload: bool = False) -> Iterator[tuple]:
+    """The records of an unpacked archive file (whole or in pieces), in order, as ``RECORD`` (and payload) tuples."""
+    for top, block in _records([data] if isinstance(data, bytes) else data):
+        head = _fields(top)
         kind, digest, count, sound, page, url, body = head["warc-type"], head.get("warc-payload-digest", "").removeprefix("sha1:") or None, None, True, None, None, None
         if kind in ("response", "revisit"):
             top = block.find(b"\r\n\r\n")
@@ -141,11 +201,11 @@ def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFram
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                data = zlib.decompress(content, 31) if content else b""
-                found = pd.DataFrame(list(parse(data, with_payload)), columns=names)
-                yield found.astype({"payload_bytes": "Int64", "page_id": "Int64", "sound": "boolean"})
+                rows = parse(unpacked(content), with_payload)
+                while found := list(islice(rows, READ_ROWS)):
+                    yield pd.DataFrame(found, columns=names).astype({"payload_bytes": "Int64", "page_id": "Int64", "sound": "boolean"})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").load(path).select("content")
     return files.mapInPandas(records, schema)
 
 
@@ -153,9 +213,10 @@ def captures(records: DataFrame) -> DataFrame:
     """One nested row per capture: capture (the response's record id), request, response, metadata.
 
     Request and metadata records meet their response or revisit through the
-    concurrent-to identifier. A record that is missing leaves its struct null.
+    concurrent-to identifier. A record that is missing leaves its struct null; of several
+    of a kind that with the smallest record id is taken.
     """
     own = F.struct(*records.columns)
-    of = lambda *kinds: F.first(F.when(F.col("type").isin(*kinds), own), ignorenulls=True)
+    of = lambda *kinds: F.min_by(own, F.when(F.col("type").isin(*kinds), F.col("record_id")))
     return (records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture"))
             .agg(of("request").alias("request"), of("response", "revisit").alias("response"), of("metadata").alias("metadata")))
