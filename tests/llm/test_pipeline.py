@@ -68,7 +68,7 @@ def test_stages_on_no_rows(spark, no_rows, small):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, small, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{small}/{table}.parquet')")
     want = con.execute(ORACLE[name])
     names = [d[0] for d in want.description]
@@ -78,7 +78,7 @@ def test_query_matches_sql(spark, small, name):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "packing"]
 
 

@@ -8,7 +8,8 @@ from labelled samples in the corpus: the strings that the patterns caught are th
 random ones (mixed with uniform strings, so that keys of other alphabets than those
 caught look random too), all other text the ordinary one. A token is reported as ``markov`` if its
 log-likelihood ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` per
-transition, it has letters and digits, and it doesn't overlap a pattern's match.
+transition (``LEAST_MEAN_LETTERS`` for a token without digits, which names in mixed case
+come near to), it has letters, and it doesn't overlap a pattern's match.
 
 Transitions are counted over whole texts of all documents in a distributed pass; what
 reaches the driver are two square matrices of fixed size. Spans are code-point offsets,
@@ -48,6 +49,7 @@ STATES = len(ALPHABET) + 1
 TOKEN_CHARS = 20
 LEAST_RATIO = 30.0
 LEAST_MEAN = 1.8
+LEAST_MEAN_LETTERS = 2.5
 #: Share of uniform strings in the random model; the rest is what the patterns caught.
 UNIFORM = 0.5
 
@@ -122,17 +124,25 @@ def spans(text: str | None, ratio: np.ndarray) -> list[Span]:
     if not text:
         return []
     found = base_spans(text)
-    taken = [(start, end) for start, _, end in found]
-    more = []
+    taken: list[list[int]] = []   # apart and in order
+    for start, _, end in found:
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    more, at = [], 0
     for run in _LONG_RUN.finditer(text):
         for m in _TOKEN.finditer(text, run.start(), run.end()):
             token = m[0]
-            if len(token) < TOKEN_CHARS or token.isalpha() or not any(c.isalpha() for c in token) or not any(c.isdigit() for c in token):
+            if len(token) < TOKEN_CHARS or not any(c.isalpha() for c in token):
                 continue
-            if any(start < m.end() and m.start() < end for start, end in taken):
+            while at < len(taken) and taken[at][1] <= m.start():   # tokens come in order, too
+                at += 1
+            if at < len(taken) and taken[at][0] < m.end():
                 continue
             own = ratio[_transitions(token)]
-            if own.sum() >= LEAST_RATIO and own.mean() >= LEAST_MEAN:
+            least = LEAST_MEAN if any(c.isdigit() for c in token) else LEAST_MEAN_LETTERS
+            if own.sum() >= LEAST_RATIO and own.mean() >= least:
                 more.append((m.start(), len(PATTERNS), m.end()))
     return sorted(found + more)
 
