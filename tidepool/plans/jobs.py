@@ -232,7 +232,7 @@ def load_table(spark: SparkSession, table: str, root: str, batch_id: str, fmt: s
         else:
             source = _read_parquet_snapshot(spark, raw, contract).select(*contract.fieldNames())
         variants = JSON_COLUMNS[table] if json_as_variant else ()
-        apply_contract(source, contract, variants).write.mode("errorifexists").parquet(staged)
+        apply_contract(source, contract, variants).write.mode("errorifexists").options(**lake.PARQUET_WRITE).parquet(staged)
     except Exception as exc:
         fs.delete(spark, staged)
         return audit.finish(record, status="FAILED", error_message=_why(spark, table, root, fmt, json_as_variant, exc))
@@ -361,7 +361,7 @@ def build_models(spark: SparkSession, root: str, calendar_start: str, calendar_d
         record = audit.new_record("build", LAYER_OF[name], name, batch_id) | {"parameters": made_with}
         target = model_path(root, name)
         staged = _stage_dir(root, "models", name, target, publish_mode)
-        frame.write.mode("errorifexists").parquet(staged)
+        frame.write.mode("errorifexists").options(**lake.PARQUET_WRITE).parquet(staged)
         _publish(spark, staged, target, publish_mode, audit.finish(record, started, status="SUCCESS", destination=target))
         _register(spark, databases, LAYER_OF[name], name, target, root)
         return spark.read.schema(frame.schema).parquet(published(spark, target))

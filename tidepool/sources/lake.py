@@ -1,7 +1,7 @@
 """Raw lake: ingestion-date partitioned snapshots, CSV or Parquet.
 
 Layout: ``<root>/raw/<table>/year=YYYY/month=MM/day=DD/part-*`` (zero-padded
-strings, the ingestion date of the batch). A table folder always holds one
+strings, the ingestion date of the batch). Parquet is compressed with zstd. A table folder always holds one
 full snapshot: a new batch replaces it (optionally keeping the old one under
 ``_history``).
 
@@ -26,6 +26,8 @@ CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "em
              "dateFormat": "yyyy-MM-dd"}
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
             "enforceSchema": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: All Parquet that the jobs write.
+PARQUET_WRITE = {"compression": "zstd"}
 NULL_TOKENS = ("", "NULL")
 # multiLine CSV cannot be split on read: one file = one read task. Bounding the
 # rows per file keeps files (and read tasks) at a few hundred MB at most.
@@ -60,7 +62,7 @@ def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet")
     if fmt == "csv":
         w.options(**CSV_WRITE).option("maxRecordsPerFile", CSV_MAX_RECORDS_PER_FILE).csv(path)
     elif fmt == "parquet":
-        w.parquet(path)
+        w.options(**PARQUET_WRITE).parquet(path)
     else:
         raise ValueError(f"unsupported lake format {fmt!r}")
 
