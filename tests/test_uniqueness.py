@@ -124,3 +124,42 @@ def test_models_with_salted_joins_have_the_same_rows(spark):
     for name in ("dim_customer", "fact_treatment_activities", "mart_operations_booking"):
         assert Counter(map(tuple, salted[name].collect())) == Counter(map(tuple, plain[name].collect())), name
         assert salted[name].columns == plain[name].columns
+
+
+def test_a_column_that_fails_lets_no_other_columns_values_through(spark, monkeypatch):
+    """Shares of the sieve: column s repeats everywhere and fills its own; the values of id, all different, stay out of the exact grouping."""
+    monkeypatch.setattr(uniqueness, "SLOTS", 4)
+    rows = spark.range(4000).select(F.inline(F.array(
+        F.struct(F.lit(0).alias("g"), F.col("id").cast("string").alias("v")), F.struct(F.lit(1).alias("g"), F.concat(F.lit("s"), F.col("id") % 2000).alias("v")))))
+    grouped = {}
+    for apart in (None, ("g", 2)):
+        df = uniqueness.repeated(rows, ["g", "v"], apart)
+        assert sorted((r["g"], r["v"], r["n"]) for r in df.collect()) == sorted((1, f"s{k}", 2) for k in range(2000))
+        grouped[apart] = _rows_of_the_exact_grouping(df)
+    assert grouped[None] == 8000 and grouped["g", 2] == 4000   # rows of the exact grouping's shuffle: the second column's only
+
+
+def test_more_repeated_keys_than_longs_in_the_sieve(spark, monkeypatch):
+    """A long of the sieve has 64 slots: 64 repeated keys in 16 longs let few of 4,000 others through."""
+    monkeypatch.setattr(uniqueness, "SLOTS", 16)
+    rows = spark.range(4000).select("id").unionAll(spark.range(64))
+    df = uniqueness.repeated(rows, ["id"])
+    assert sorted((r["id"], r["n"]) for r in df.collect()) == [(k, 2) for k in range(64)]
+    assert _rows_of_the_exact_grouping(df) < 600
+
+
+def _rows_of_the_exact_grouping(df):
+    """Rows out of the semi-join's first aggregate, from the executed plan's metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        if "Exchange" in node.nodeName() and "LeftSemi" in node.toString() and "hashpartitioning(_hash" not in node.toString().split("\n")[0]:
+            found.append(node)
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    top = found[0]
+    return top.metrics().apply("shuffleRecordsWritten").value()

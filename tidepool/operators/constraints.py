@@ -8,9 +8,10 @@ Failures counted per test:
 
 Row-level tests (not_null, accepted_values) scan each model once, and only the failing
 cells are counted, in the map tasks: one row a task reaches the fold. Columns under a unique
-test are scanned once a model, too, and shuffled as 64-bit hashes
+test are scanned once a model, too, and shuffled as hashes
 that combine map-side, so a hot value is one hash per task; only values whose hash occurs
-twice are grouped as (test, value) pairs (``uniqueness``).
+twice are grouped as (test, value) pairs (``uniqueness``). Each test has its own share of the
+sieve, so the values of a column that fails don't let those of others through.
 """
 
 from __future__ import annotations
@@ -68,7 +69,8 @@ def _repeated(frames: Mapping[str, DataFrame], tests: dict[str, list[tuple[int,
     """(g, failing) of the unique tests: how many values occur more than once. One scan a model holds all its tested columns."""
     values = _union([frames[model].select(F.inline(F.array(*[F.struct(F.lit(g).alias("g"), _as_key(frames[model], c).alias("v")) for g, c in own])))
                      for model, own in tests.items()])
-    dup = (uniqueness.repeated(values.where(F.col("v").isNotNull()), ["g", "v"])
+    tests_at_most = 1 + max(g for own in tests.values() for g, _ in own)
+    dup = (uniqueness.repeated(values.where(F.col("v").isNotNull()), ["g", "v"], apart=("g", tests_at_most))
            .groupBy("g").agg(F.count(F.lit(1)).alias("failing")))
     none = spark.createDataFrame([(g, 0) for own in tests.values() for g, _ in own], "g int, failing long")
     return dup.unionByName(none).groupBy("g").agg(F.max("failing").alias("failing"))   # a test without values has its row

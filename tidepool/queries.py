@@ -311,7 +311,7 @@ def _suite_frames(spark, sf_dir, specs):
 
     def write(name, frame):
         path = scratch_path(spark, "suite", name)
-        frame.write.parquet(path)
+        frame.write.options(**lake.PARQUET_WRITE).parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
     jobs.materialise(m, selected([f"+{name}" for name in ALL_MODELS if name in tested]), write, jobs.DEFAULT_PARALLELISM).check()
