@@ -382,3 +382,33 @@ def test_cli_splits(tmp_path):
     assert _split(args, "orders") == {"partition_column": "seq", "lower": "1", "upper": "900", "num_partitions": 8}
     assert _split(args, "logs") == {"predicates": ["created_at < '2024-01-01'", "created_at >= '2024-01-01'"]}
     assert _split(args, "other") == {}
+
+
+def test_jobs_write_compressed_files(spark, workdir):
+    """Raw CSV is gzip, raw and staging Parquet and the models are zstd: far fewer bytes are written than with the plain formats."""
+    from tidepool.sources.bindings import bind
+    from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
+    feed = bind(spark, "/root/testdata/sf0.001", "completed_items")
+    sources = {"completed_items": feed}
+    for fmt in ("csv", "parquet"):
+        root = f"{workdir}/{fmt}"
+        assert jobs.ingest(spark, sources, root, "b", fmt=fmt, ingest_date=dt.date(2026, 8, 9))[0]["status"] == "SUCCESS"
+        assert jobs.load_staging(spark, root, list(sources), "b", fmt=fmt)[0]["status"] == "SUCCESS"
+    build = jobs.build_models(spark, f"{workdir}/parquet", FIXTURE_CALENDAR_START, FIXTURE_CALENDAR_DAYS, FIXTURE_AS_OF,
+                              select=["fact_completed_items"])
+    files = {"csv": spark.read.option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").format("binaryFile").load(lake.table_path(f"{workdir}/csv", "completed_items"))}
+    assert {r.path.split(".", 1)[1].split(".", 1)[-1] for r in files["csv"].select("path").collect()} == {"csv.gz"}
+    parquet = [lake.table_path(f"{workdir}/parquet", "completed_items"), jobs.staging_path(f"{workdir}/parquet", "completed_items"), *build.values()]
+    for folder in parquet:
+        names = [f for f in spark.read.parquet(jobs.published(spark, folder)).inputFiles()]
+        assert names and all(f.endswith(".zstd.parquet") for f in names), names
+    staged = spark.read.parquet(jobs.staging_path(f"{workdir}/csv", "completed_items"))
+    assert staged.exceptAll(feed).count() == feed.exceptAll(staged).count() == 0
+
+
+def test_plain_and_compressed_csv_files_are_read_side_by_side(spark, workdir):
+    frame = spark.createDataFrame([("1", 'two\nlines, "quoted"'), ("2", None)], "id string, v string")
+    lake.write_batch(frame, f"{workdir}/b", dt.date(2026, 8, 9), fmt="csv", csv_compression="gzip")
+    frame.write.options(**lake.CSV_WRITE).mode("append").csv(f"{workdir}/b/plain")
+    assert sorted(map(tuple, lake.read_csv_text(spark, f"{workdir}/b", ["id", "v"]).collect()), key=str) == sorted(2 * [tuple(r) for r in frame.collect()], key=str)
+    assert lake.read_csv_located(spark, f"{workdir}/b", ["id", "v"]).count() == 4

@@ -1,7 +1,8 @@
 """Raw lake: ingestion-date partitioned snapshots, CSV or Parquet.
 
 Layout: ``<root>/raw/<table>/year=YYYY/month=MM/day=DD/part-*`` (zero-padded
-strings, the ingestion date of the batch). Parquet is compressed with zstd. A table folder always holds one
+strings, the ingestion date of the batch). The jobs' files are compressed: Parquet with
+zstd, CSV with gzip (``*.csv.gz``; plain ``*.csv`` files are read as well). A table folder always holds one
 full snapshot: a new batch replaces it (optionally keeping the old one under
 ``_history``).
 
@@ -26,7 +27,9 @@ CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "em
              "dateFormat": "yyyy-MM-dd"}
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
             "enforceSchema": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-#: All Parquet that the jobs write.
+#: The jobs' CSV batches (a multi-line file is read by one task, compressed or not) and all Parquet that they write.
+CSV_COMPRESSION = "gzip"
+CSV_FILES = "*.{csv,csv.gz}"
 PARQUET_WRITE = {"compression": "zstd"}
 NULL_TOKENS = ("", "NULL")
 # multiLine CSV cannot be split on read: one file = one read task. Bounding the
@@ -51,7 +54,7 @@ def partition_path_under(folder: str, ingest: dt.date) -> str:
     return f"{folder.rstrip('/')}/year={p['year']}/month={p['month']}/day={p['day']}"
 
 
-def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet") -> None:
+def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet", csv_compression: str = "none") -> None:
     """Write one batch under ``path`` partitioned by its ingestion date."""
     p = partition_values(ingest)
     clash = [c for c in df.columns if c.lower() in p]
@@ -60,7 +63,7 @@ def write_batch(df: DataFrame, path: str, ingest: dt.date, fmt: str = "parquet")
     out = df.select("*", *[F.lit(v).alias(k) for k, v in p.items()])
     w = out.write.mode("errorifexists").partitionBy("year", "month", "day")
     if fmt == "csv":
-        w.options(**CSV_WRITE).option("maxRecordsPerFile", CSV_MAX_RECORDS_PER_FILE).csv(path)
+        w.options(**CSV_WRITE, compression=csv_compression).option("maxRecordsPerFile", CSV_MAX_RECORDS_PER_FILE).csv(path)
     elif fmt == "parquet":
         w.options(**PARQUET_WRITE).parquet(path)
     else:
@@ -81,13 +84,13 @@ def apply_null_rules(df: DataFrame) -> DataFrame:
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str], recursive: bool = True) -> DataFrame:
-    """Positional text read of every ``*.csv`` below ``path``; null rules applied.
+    """Positional text read of every ``*.csv`` and ``*.csv.gz`` below ``path``; null rules applied.
 
     ``recursiveFileLookup`` reads all partition folders without turning
     year/month/day into columns; the header is skipped, columns bind by
     position to ``columns``.
     """
-    r = spark.read.schema(_string_schema(columns)).options(**CSV_READ).option("pathGlobFilter", "*.csv")
+    r = spark.read.schema(_string_schema(columns)).options(**CSV_READ).option("pathGlobFilter", CSV_FILES)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     return apply_null_rules(r.csv(path))
@@ -99,7 +102,7 @@ def read_csv_located(spark: SparkSession, path: str, columns: list[str]) -> Data
     A multi-line file is read by one task in order, so a row's number is its id less the
     file's first one.
     """
-    r = spark.read.schema(_string_schema(columns)).options(**CSV_READ).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    r = spark.read.schema(_string_schema(columns)).options(**CSV_READ).option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", "true")
     rows = r.csv(path).select(*columns, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
     first = rows.groupBy("_file").agg(F.min("_at").alias("_first"))
     return (rows.withColumns({c: _null_rule(c) for c in columns}).join(first, "_file")
