@@ -384,12 +384,14 @@ def test_cli_splits(tmp_path):
     assert _split(args, "other") == {}
 
 
-def test_jobs_write_compressed_files(spark, workdir):
-    """Raw CSV is gzip, raw and staging Parquet and the models are zstd: far fewer bytes are written than with the plain formats."""
+def test_jobs_write_compressed_files(spark, workdir, monkeypatch):
+    """Large raw CSV batches are gzip, raw and staging Parquet and the models are zstd."""
     from tidepool.sources.bindings import bind
     from tidepool.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR_DAYS, FIXTURE_CALENDAR_START
     feed = bind(spark, "/root/testdata/sf0.001", "completed_items")
     sources = {"completed_items": feed}
+    assert (lake.csv_compression(lake.CSV_PLAIN_ROWS), lake.csv_compression(lake.CSV_PLAIN_ROWS + 1)) == ("none", "gzip")
+    monkeypatch.setattr(lake, "CSV_PLAIN_ROWS", 1000)
     for fmt in ("csv", "parquet"):
         root = f"{workdir}/{fmt}"
         assert jobs.ingest(spark, sources, root, "b", fmt=fmt, ingest_date=dt.date(2026, 8, 9))[0]["status"] == "SUCCESS"

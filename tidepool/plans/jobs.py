@@ -146,7 +146,7 @@ def extract_table(spark: SparkSession, source: DataFrame, table: str, root: str,
         source_count = count_source() if count_source else source.count()   # S2
         # S1 + S5: one pass writes the batch and sums the row-level rule violations
         # of the extracted rows (what the original gate saw before serialising)
-        observed = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt, lake.CSV_COMPRESSION),
+        observed = _write_observed(source, lambda d: lake.write_batch(d, staged, ingest_date, fmt, lake.csv_compression(source_count)),
                                    quality.observed_metrics(source, rules) if validate else ())
         written = int(observed["_rows"])
         batch = _read_raw(spark, staged, fmt, source.schema)
