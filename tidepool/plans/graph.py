@@ -11,9 +11,10 @@ directly or not; the others still run.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
+from queue import SimpleQueue
 
 THREADS = 4
 
@@ -91,22 +92,24 @@ def run(inputs: Mapping[str, Iterable[str]], names: Iterable[str], prepare: Call
     sorter.prepare()
     outcome = Outcome()
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        running = {}
+        running, over = {}, SimpleQueue()   # over: the jobs in the order in which they end
         while True:
             for name in sorter.get_ready():
                 try:
-                    running[pool.submit(prepare(name))] = name
+                    future = pool.submit(prepare(name))
+                    running[future] = name
+                    future.add_done_callback(over.put)
                 except Exception as error:   # its plan can't be made
                     outcome.failed[name] = error
             if not running:
                 break
-            for future in wait(running, return_when=FIRST_COMPLETED).done:
-                name = running.pop(future)
-                if future.exception() is not None:
-                    outcome.failed[name] = future.exception()
-                    continue
-                outcome.done[name] = future.result()
-                ended(name, future.result())
-                sorter.done(name)
+            future = over.get()
+            name = running.pop(future)
+            if future.exception() is not None:
+                outcome.failed[name] = future.exception()
+                continue
+            outcome.done[name] = future.result()
+            ended(name, future.result())
+            sorter.done(name)
     outcome.skipped = [n for n in names if n not in outcome.done and n not in outcome.failed]
     return outcome
